@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("domain",)
+MODULES = ("ingest", "domain")
 
 
 def load_queries():

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from ledgermill.sources.seeds import threshold_file
+
 AS_OF = "timestamp '2001-08-01 00:00:00'"
 TODAY = "date '2001-08-01'"
 SPLIT = "timestamp '2001-01-01 00:00:00'"
@@ -169,20 +171,17 @@ MODELS["price_history"] = """
     ) v(discount, valid_from, valid_to)
     where distribution_center_id <= 25"""
 
-MODELS["thresholds"] = """
-    select * from (values
-        ('outerwear & coats', 'High', 10000), ('suits & sport coats', 'High', 10000),
-        ('suits', 'High', 10000), ('blazers & jackets', 'High', 10000),
-        ('dresses', 'Medium', 5000), ('sweaters', 'Medium', 5000),
-        ('fashion hoodies & sweatshirts', 'Medium', 5000), ('jeans', 'Medium', 5000),
-        ('pants', 'Medium', 5000), ('pants & capris', 'Medium', 5000),
-        ('active', 'Medium', 5000), ('accessories', 'Medium', 5000),
-        ('maternity', 'Medium', 5000), ('plus', 'Medium', 5000), ('skirts', 'Medium', 5000),
-        ('jumpsuits & rompers', 'Medium', 5000), ('clothing sets', 'Medium', 5000),
-        ('intimates', 'Low', 2500), ('swim', 'Low', 2500), ('tops & tees', 'Low', 2500),
-        ('sleep & lounge', 'Low', 2500), ('shorts', 'Low', 2500), ('underwear', 'Low', 2500),
-        ('leggings', 'Low', 2500), ('socks', 'Low', 2500), ('socks & hosiery', 'Low', 2500)
-    ) t(product_category, risk_tier, materiality_threshold)"""
+
+
+def _threshold_rows() -> str:
+    lines = threshold_file().splitlines()[1:]
+    quoted = [line.replace("'", "''").split(",", 3) for line in lines]
+    return ", ".join(f"('{c}', '{tier}', {amount}, '{why}')" for c, tier, amount, why in quoted)
+
+
+MODELS["thresholds"] = f"""
+    select * from (values {_threshold_rows()})
+        t(product_category, risk_tier, materiality_threshold, rationale)"""
 
 MODELS["aggregated"] = f"""
     select order_id, user_id,
@@ -388,6 +387,10 @@ MODELS["inventory_fiscal_report"] = """
     ) b left join thresholds t on t.product_category = b.product_category
     where period_purchase_amount > 0 or period_cogs_amount > 0 or ending_inv_qty > 0"""
 
+# The marts as they were before the incremental tables arrived.
+MODELS["base_aggregated"] = MODELS["aggregated"].replace("order_items", "stg_raw_order_items")
+MODELS["base_refunds"] = MODELS["refund_reconciliation"].replace("aggregated", "base_aggregated")
+
 _WORD = re.compile(r"[a-z_]+")
 
 

@@ -57,11 +57,14 @@ def fiscal_years(cells: DataFrame) -> Column:
 def cell_years(cells: DataFrame, years: Column) -> DataFrame:
     """Each cell repeated for the listed years from arrival to departure."""
     arrived, left = F.col("inbound_fiscal_year"), F.col("outbound_fiscal_year")
-
-    def counts_in(year: Column) -> Column:
-        return (year >= F.coalesce(arrived, left)) & (left.isNull() | (year <= left))
-
-    return cells.withColumn("fiscal_year", F.explode(F.filter(years, counts_in)))
+    last = F.array_max("listed_years")
+    span = F.sequence(F.coalesce(arrived, left), F.coalesce(left, last))
+    return (
+        cells.withColumn("listed_years", years)
+        .withColumn("fiscal_year", F.explode(span))
+        .filter(F.array_contains("listed_years", F.col("fiscal_year")))
+        .drop("listed_years")
+    )
 
 
 def product_years(cells: DataFrame, years: Column) -> DataFrame:
@@ -78,10 +81,10 @@ def year_end_prices(history: DataFrame, years: Column, as_of: AsOf) -> DataFrame
             fiscal_year_end(year, as_of), F.col("dbt_valid_from"), F.col("dbt_valid_to")
         )
 
-    return history.select(
+    return history.withColumn("listed_years", years).select(
         "product_id",
         F.col("retail_price").alias("year_end_price"),
-        F.explode(F.filter(years, covers)).alias("fiscal_year"),
+        F.explode(F.filter("listed_years", covers)).alias("fiscal_year"),
     )
 
 

@@ -17,9 +17,30 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Settings that only a new session can take. Origin tracking sends several messages to the
+# JVM for every column expression, which costs seconds on wide plans.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 STAGE_DIR_CONF = "spark.checkpoint.dir"
 
 
+def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
+    """A session for one machine, as the tests and the benchmark use it."""
+    builder = SparkSession.builder.master(f"local[{cores}]").appName("ledgermill")
+    settings = STATIC_CONF | RUNTIME_CONF
+    settings |= {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "12g",
+    }
+    for key, value in (settings | conf).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Pin UTC and the adaptive settings on a running session."""
     for key, value in RUNTIME_CONF.items():

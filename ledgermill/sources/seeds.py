@@ -12,6 +12,12 @@ from ledgermill.schemas import THRESHOLDS
 THRESHOLD_FILE = "audit_materiality_thresholds.csv"
 
 
+def threshold_file() -> str:
+    """Text of the shipped file without its comment."""
+    text = resources.files("ledgermill.sources").joinpath(THRESHOLD_FILE).read_text("utf-8")
+    return "\n".join(line for line in text.splitlines() if line and not line.startswith("#"))
+
+
 def thresholds(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The materiality thresholds, from ``path`` or from the file shipped with the package.
 
@@ -21,10 +27,8 @@ def thresholds(spark: SparkSession, path: str | None = None) -> DataFrame:
     """
     if path is not None:
         return spark.read.schema(THRESHOLDS).csv(path, header=True, comment="#")
-    text = resources.files("ledgermill.sources").joinpath(THRESHOLD_FILE).read_text("utf-8")
-    lines = [line for line in text.splitlines() if line and not line.startswith("#")]
     rows = []
-    for line in lines[1:]:
+    for line in threshold_file().splitlines()[1:]:
         category, tier, threshold, rationale = line.split(",", 3)
         rows.append((category, tier, int(threshold), rationale))
     return spark.createDataFrame(rows, THRESHOLDS)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from ledgermill.schemas import GROWING_TABLES, RAW_TABLES
 
@@ -57,23 +56,19 @@ def export_csv(marts: dict[str, DataFrame], out_dir: str) -> None:
         )
 
 
-def materialize(df: DataFrame, name: str, kind: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, kind: str, path: str | None = None) -> DataFrame:
     """Publish a model as a temporary ``view`` or a fully rebuilt ``table``.
 
-    Keyed incremental tables go through ``operators.merge.merge_table``.
+    Keyed incremental tables go through ``operators.merge``.
     """
     spark = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(name)
     elif kind == "table":
-        df.write.mode("overwrite").saveAsTable(name)
+        writer = df.write.mode("overwrite")
+        if path is not None:
+            writer = writer.option("path", path)
+        writer.saveAsTable(name)
     else:
         raise ValueError(f"unknown kind of model: {kind}")
     return spark.table(name)
-
-
-def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None

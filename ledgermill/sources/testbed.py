@@ -43,6 +43,21 @@ def _days(n: int) -> Column:
     return F.make_dt_interval(days=F.lit(n))
 
 
+# Schemas of the test tables that are read, so that no footer is opened to infer them.
+TEST_TABLES = {
+    "orders": """o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "part": """p_partkey long, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "customer": """c_custkey long, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+
 class Testbed:
     """Raw, staged, intermediate and mart frames over one folder of test tables."""
 
@@ -53,7 +68,8 @@ class Testbed:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        reader = self.spark.read.schema(TEST_TABLES[name])
+        return reader.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # raw tables
 
