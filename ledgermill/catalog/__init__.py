@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("ingest", "domain")
+MODULES = ("ingest", "primitives", "domain")
 
 
 def load_queries():

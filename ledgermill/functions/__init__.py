@@ -5,7 +5,7 @@ from ledgermill.functions.calendar import (
     month_of,
     within_lookback,
 )
-from ledgermill.functions.money import exact_sum, guarded_ratio, money_sum
+from ledgermill.functions.money import exact_sum, guarded_ratio, money_sum, round_to
 from ledgermill.functions.text import distinct_list
 
 __all__ = [
@@ -17,5 +17,6 @@ __all__ = [
     "guarded_ratio",
     "money_sum",
     "month_of",
+    "round_to",
     "within_lookback",
 ]

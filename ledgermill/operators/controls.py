@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.functions import guarded_ratio
+from ledgermill.functions import guarded_ratio, round_to
 from ledgermill.operators.orders import RECONCILED, VARIANCE
 
 # Fixed value: share of shipped lines that may leave before their order date.
@@ -70,6 +70,6 @@ def lead_time_above_baseline(items: DataFrame) -> DataFrame:
         shipped.agg(
             F.count(F.lit(1)).alias("total_shipped"), early.alias("negative_lead_time_count")
         )
-        .withColumn("negative_lead_time_rate", F.round(rate, 4))
+        .withColumn("negative_lead_time_rate", round_to(rate, 4))
         .filter(F.col("negative_lead_time_rate") > NEGATIVE_LEAD_BASELINE)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.functions import exact_sum, guarded_ratio, money_sum, month_of
+from ledgermill.functions import exact_sum, guarded_ratio, money_sum, month_of, round_to
 from ledgermill.operators.orders import (
     CUTOFF_RISK,
     PARTIAL_REFUND,
@@ -56,7 +56,7 @@ def refund_rate_trend(refunds: DataFrame) -> DataFrame:
         )
         .withColumn(
             "refund_rate",
-            F.round(guarded_ratio(F.col("refund_amount"), F.col("gross_revenue")), 4),
+            round_to(guarded_ratio(F.col("refund_amount"), F.col("gross_revenue")), 4),
         )
     )
 
@@ -70,7 +70,7 @@ def return_rate_by_category(items: DataFrame) -> DataFrame:
         )
         .withColumn(
             "return_rate",
-            F.round(
+            round_to(
                 guarded_ratio(F.col("returned_count").cast("double"), F.col("item_count")), 4
             ),
         )
@@ -96,7 +96,7 @@ def inventory_controls(report: DataFrame) -> DataFrame:
         money_sum(F.col("ending_gross_inv_value")).alias("ending_gross_inv_value"),
         money_sum(F.col("ending_allowance_lcm")).alias("lcm_write_down"),
         F.count_if(breach).alias("materiality_breaches"),
-        F.round(
+        round_to(
             guarded_ratio(
                 weighted_age.cast("double"), F.sum(F.when(age.isNotNull(), quantity))
             ),
@@ -115,7 +115,7 @@ def unsold_share(sellthrough: DataFrame) -> DataFrame:
         )
         .withColumn(
             "unsold_share",
-            F.round(
+            round_to(
                 guarded_ratio(F.col("units_unsold").cast("double"), F.col("units_received")), 4
             ),
         )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgermill.functions import fiscal_year_end, guarded_ratio, money_sum
+from ledgermill.functions import fiscal_year_end, guarded_ratio, money_sum, round_to
 from ledgermill.functions.calendar import AsOf
 from ledgermill.functions.money import join_amount, split_amount, to_cents
 from ledgermill.operators.inventory import DAYS_PER_YEAR
@@ -134,7 +134,7 @@ def product_year_flow(cells: DataFrame, history: DataFrame, as_of: AsOf = None)
         )
         .withColumn(
             "avg_days_on_hand_at_year_end",
-            F.round(
+            round_to(
                 guarded_ratio(
                     (year_end_day * F.col("units_held") - F.col("inbound_days")).cast("double"),
                     F.col("units_held"),
@@ -192,10 +192,10 @@ def valuation_report(flow: DataFrame, thresholds: DataFrame) -> DataFrame:
             "risk_tier",
             "materiality_threshold",
             F.when(F.abs(unexplained) <= BALANCE_TOLERANCE, 0.0)
-            .otherwise(F.round(unexplained, 2))
+            .otherwise(round_to(unexplained, 2))
             .alias("audit_check_diff"),
-            F.round(guarded_ratio(cogs, (begin + end) / 2), 3).alias("inventory_turnover_ratio"),
-            F.round(guarded_ratio(sales - cogs, sales), 4).alias("gross_profit_margin"),
+            round_to(guarded_ratio(cogs, (begin + end) / 2), 3).alias("inventory_turnover_ratio"),
+            round_to(guarded_ratio(sales - cogs, sales), 4).alias("gross_profit_margin"),
             F.when(age > OBSOLETE_YEARS * DAYS_PER_YEAR, OBSOLETE)
             .when(age > SLOW_YEARS * DAYS_PER_YEAR, SLOW_MOVING)
             .when(written_down, WRITE_DOWN)

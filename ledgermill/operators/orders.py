@@ -13,6 +13,7 @@ from ledgermill.functions import (
     money_sum,
     month_of,
     within_lookback,
+    round_to,
 )
 from ledgermill.functions.calendar import AsOf
 from ledgermill.operators.joins import full_outer
@@ -190,7 +191,7 @@ def refund_reconciliation(aggregated: DataFrame, lookback: Lookback | None = Non
     returned, items = F.col("total_returned_items"), F.col("total_item_count")
 
     def rate(part: Column, whole: Column) -> Column:
-        return F.round(F.coalesce(guarded_ratio(part, whole), F.lit(0.0)), 4)
+        return round_to(F.coalesce(guarded_ratio(part, whole), F.lit(0.0)), 4)
 
     return aggregated.select(
         "order_id",
