@@ -74,18 +74,18 @@ class Testbed:
     # raw tables
 
     @cached_property
-    def lines(self) -> DataFrame:
-        items = self.table("lineitem").select(
-            "*", F.col("l_shipdate").cast("timestamp").alias("ship_at")
-        )
+    def line_table(self) -> DataFrame:
+        return with_line_status(self.table("lineitem"))
+
+    def with_headers(self, lines: DataFrame) -> DataFrame:
         headers = self.table("orders").select(
             "o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp").alias("ordered_at")
         )
-        return with_line_status(items).join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
+        return lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
 
-    @cached_property
-    def all_order_items(self) -> DataFrame:
-        return self.lines.select(
+    def order_items_of(self, line_items: DataFrame) -> DataFrame:
+        """Order items of all or some test line items."""
+        return self.with_headers(with_line_status(line_items)).select(
             F.col("line_id").alias("id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("o_custkey").alias("user_id"),
@@ -99,14 +99,13 @@ class Testbed:
             "returned_at",
         )
 
+    @cached_property
+    def all_order_items(self) -> DataFrame:
+        return self.order_items_of(self.table("lineitem"))
+
     @cached_property
     def all_orders(self) -> DataFrame:
-        items = with_line_status(
-            self.table("lineitem").select(
-                "*", F.col("l_shipdate").cast("timestamp").alias("ship_at")
-            )
-        )
-        per_order = items.groupBy("l_orderkey").agg(
+        per_order = self.line_table.groupBy("l_orderkey").agg(
             F.count(F.lit(1)).alias("line_count"),
             F.min("shipped_at").alias("shipped_at"),
             F.max("returned_at").alias("returned_at"),
@@ -141,7 +140,8 @@ class Testbed:
         discount_steps = F.round(F.col("l_discount") * 100, 0).cast("int")
         list_price = F.col("retail_price").cast("decimal(10,2)")
         return (
-            self.lines.join(self.raw_products.alias("p"), F.col("l_partkey") == F.col("p.id"))
+            self.with_headers(self.line_table)
+            .join(self.raw_products.alias("p"), F.col("l_partkey") == F.col("p.id"))
             .select(
                 F.col("line_id").alias("id"),
                 F.col("l_partkey").alias("product_id"),
@@ -328,7 +328,7 @@ class Testbed:
 def with_line_status(lines: DataFrame) -> DataFrame:
     """Line id, status, shipment and return times of the test line items."""
     returned = F.col("l_returnflag") == "R"
-    status, ship_at = F.col("status"), F.col("ship_at")
+    status, ship_at = F.col("status"), F.col("l_shipdate").cast("timestamp")
     unshipped = (status == "Cancelled") | (
         (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")
     )
