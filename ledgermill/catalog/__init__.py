@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("ingest", "primitives", "incremental", "quality", "domain")
+MODULES = ("ingest", "primitives", "incremental", "quality", "metrics", "domain")
 
 
 def load_queries():
