@@ -105,6 +105,25 @@ def join_master_subledger(orders: DataFrame, aggregated: DataFrame) -> DataFrame
     )
 
 
+def touched_ledgers(
+    orders: DataFrame, items: DataFrame, lookback: Lookback
+) -> tuple[DataFrame, DataFrame]:
+    """Headers and lines of every order an incremental run may recompute.
+
+    An order qualifies by its first line, its last refund or its shipment, and then has a
+    recent line, a recent return or a recent shipment itself. Taking all rows of those
+    orders leaves the old ledger out of the shuffles of aggregation and join; the exact
+    condition is applied to the result.
+    """
+    recent_lines = items.filter(lookback.touched("created_at", "returned_at"))
+    shipped = orders.filter(lookback.touched("shipped_at"))
+    order_ids = recent_lines.select("order_id").union(shipped.select("order_id")).distinct()
+    return (
+        orders.join(order_ids, "order_id", "left_semi"),
+        items.join(order_ids, "order_id", "left_semi"),
+    )
+
+
 def _existence(agreed: str) -> Column:
     return (
         F.when(F.col("master_order_id").isNull(), ORPHAN)
