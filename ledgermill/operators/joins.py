@@ -36,10 +36,12 @@ def full_outer_many_to_one(
     """Full outer equi-join where ``many`` may repeat a key any number of times.
 
     Written as the left outer join plus the unmatched rows of ``one``: unlike a full outer
-    join, adaptive execution may split both of these at a hot (or null) key.
+    join, adaptive execution may split both of these at a hot (or null) key. The keys that
+    did match are made distinct before their shuffle, so a hot key moves once per task.
     """
     matched = many.join(one, F.col(many_key) == F.col(one_key), "left_outer")
-    unmatched = one.join(many.select(many_key), F.col(one_key) == F.col(many_key), "left_anti")
+    keys = many.select(many_key).distinct()
+    unmatched = one.join(keys, F.col(one_key) == F.col(many_key), "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgermill.session import staged
 
@@ -77,23 +77,31 @@ def current_path(spark: SparkSession, path: str) -> str | None:
     return f"{path}/{complete[-1]}" if complete else None
 
 
-def _read_periods(spark: SparkSession, folder: str) -> DataFrame:
-    reader = spark.read.option("mergeSchema", True)
-    return reader.parquet(folder).withColumn(PERIOD, F.col(PERIOD).cast("string"))
+def _read_periods(
+    spark: SparkSession, folder: str, schema: StructType | None = None
+) -> DataFrame:
+    """A generation with its period column.
+
+    A declared schema reads old files too: columns they lack are NULL, columns no longer
+    declared are skipped. Only without one are the schemas of all files merged, which opens
+    every footer.
+    """
+    if schema is None:
+        mart = spark.read.option("mergeSchema", True).parquet(folder)
+        return mart.withColumn(PERIOD, F.col(PERIOD).cast("string"))
+    fields = [f for f in schema.fields if f.name != PERIOD]
+    full = StructType([*fields, StructField(PERIOD, StringType())])
+    return spark.read.schema(full).parquet(folder)
 
 
 def read_mart(
     spark: SparkSession, path: str, schema: StructType | None = None
 ) -> DataFrame | None:
-    """The newest complete generation of a mart, or None before the first.
-
-    Files written before a schema change are read in the mart's present ``schema``.
-    """
+    """The newest complete generation of a mart, or None before the first."""
     folder = current_path(spark, path)
     if folder is None:
         return None
-    mart = _read_periods(spark, folder).drop(PERIOD)
-    return mart if schema is None else sync_columns(mart, schema)
+    return _read_periods(spark, folder, schema).drop(PERIOD)
 
 
 def rebuild_mart(df: DataFrame, path: str, period: Column | None = None) -> None:
@@ -117,7 +125,7 @@ def merge_mart(
     if folder is None:
         rebuild_mart(batch.drop(PERIOD), path, period)
         return
-    mart = _read_periods(spark, folder)
+    mart = _read_periods(spark, folder, batch.schema)
     old_places = mart.select(key, PERIOD).join(batch.select(key), key, "left_semi")
     # Periods are calendar months: the driver sees a short list, never rows.
     touched = {

@@ -25,7 +25,7 @@ def snowball_subset(tables: dict[str, DataFrame], n: int, seed: str = "0") -> di
     """
     items = tables["raw_order_items"]
     products = sample_products(items, n, seed)
-    order_ids = items.join(products, "product_id", "left_semi").select("order_id")
+    order_ids = items.join(products, "product_id", "left_semi").select("order_id").distinct()
     orders = tables["raw_orders"].join(order_ids, "order_id", "left_semi")
     kept_items = items.join(orders.select("order_id"), "order_id", "left_semi")
     product_ids = kept_items.select("product_id").distinct()

@@ -24,7 +24,7 @@ def file_stream(
 
 def touched_orders(all_items: DataFrame, batch: DataFrame) -> DataFrame:
     """All lines of the orders a batch has lines of, for marts at order grain."""
-    return all_items.join(batch.select("order_id"), "order_id", "left_semi")
+    return all_items.join(batch.select("order_id").distinct(), "order_id", "left_semi")
 
 
 def stream_upsert(
