@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NULL_SPREAD = 1024
 _SPREAD = "__null_spread"
 
 
 def _with_null_spread(df: DataFrame, key: str) -> DataFrame:
-    """Number the rows without a key from their content, the same on every attempt."""
-    by_content = F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD))
-    return df.withColumn(_SPREAD, F.when(F.col(key).isNull(), by_content).otherwise(F.lit(0)))
+    """Number rows by their key, or without one by their content: the same on every attempt.
+
+    The number of a keyed row depends on its key, not on a constant, which the optimizer
+    would fold out of the join keys where a key cannot be NULL.
+    """
+    by_content = F.xxhash64(*df.columns)
+    by_key = F.xxhash64(F.col(key))
+    return df.withColumn(_SPREAD, F.when(F.col(key).isNull(), by_content).otherwise(by_key))
 
 
 def full_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

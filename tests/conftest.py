@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         4,
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.driver.memory": "6g",
             "spark.checkpoint.dir": str(base / "stage"),
             "spark.sql.warehouse.dir": str(base / "warehouse"),
