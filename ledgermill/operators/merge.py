@@ -104,12 +104,23 @@ def read_mart(
     return _read_periods(spark, folder, schema).drop(PERIOD)
 
 
+def _write_periods(rows: DataFrame, folder: str, **options: str) -> None:
+    """Write rows in their period folders.
+
+    The rebalance hint gathers each period into files of the advised size, splits a period
+    that holds most of the rows, and keeps a thousand tasks from writing a thousand small
+    files per period.
+    """
+    balanced = rows.hint("rebalance", PERIOD)
+    balanced.write.mode("overwrite").options(**options).partitionBy(PERIOD).parquet(folder)
+
+
 def rebuild_mart(df: DataFrame, path: str, period: Column | None = None) -> None:
     """Write ``df`` as the next generation."""
     complete = generations(df.sparkSession, path)
     number = int(complete[-1].removeprefix(GENERATION)) + 1 if complete else 1
     rows = df.withColumn(PERIOD, F.lit(NO_PERIOD) if period is None else period)
-    rows.write.mode("overwrite").partitionBy(PERIOD).parquet(f"{path}/{GENERATION}{number:08d}")
+    _write_periods(rows, f"{path}/{GENERATION}{number:08d}")
 
 
 def merge_mart(
@@ -136,12 +147,7 @@ def merge_mart(
         upsert(mart.filter(F.col(PERIOD).isin(list(touched))), batch, key), "merged"
     )
     left = {row[PERIOD] for row in rows.select(PERIOD).distinct().collect()}
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PERIOD)
-        .parquet(folder)
-    )
+    _write_periods(rows, folder, partitionOverwriteMode="dynamic")
     for emptied in touched - left:
         partition, fs = _hadoop_path(spark, f"{folder}/{PERIOD}={emptied}")
         fs.delete(partition, True)

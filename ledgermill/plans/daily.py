@@ -77,67 +77,62 @@ def take_snapshot(
     return read_mart(spark, path)
 
 
-def order_marts(
-    sources: dict[str, DataFrame], lookback: Lookback | None
-) -> dict[str, DataFrame]:
-    """The four order and item marts: whole, or the rows of the look-back window.
+def order_ledgers(
+    sources: dict[str, DataFrame], lookback: Lookback | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Sub-ledger and joined ledgers, whole or for the orders a look-back window touches.
 
-    The joined ledgers are written once, since two marts read them.
+    Each is written once, since several marts and constraints read it.
     """
     headers, lines = _both(sources, "orders"), _both(sources, "order_items")
     if lookback is not None:
-        headers, touched_lines = orders.touched_ledgers(headers, lines, lookback)
-    else:
-        touched_lines = lines
-    aggregated = staged(orders.aggregate_order_items(touched_lines), "aggregated")
-    joined = staged(orders.join_master_subledger(headers, aggregated), "joined")
+        headers, lines = orders.touched_ledgers(headers, lines, lookback)
+    aggregated = staged(orders.aggregate_order_items(lines), "aggregated")
+    return aggregated, staged(orders.join_master_subledger(headers, aggregated), "joined")
+
+
+def order_marts(
+    sources: dict[str, DataFrame],
+    aggregated: DataFrame,
+    joined: DataFrame,
+    lookback: Lookback | None,
+) -> dict[str, DataFrame]:
+    """The four order and item marts: whole, or the rows of the look-back window."""
+    lines, products = _both(sources, "order_items"), sources["raw_products"]
     return {
         "order_reconciliation": orders.order_reconciliation(joined, lookback),
         "revenue": orders.revenue(joined, lookback),
         "refund_reconciliation": orders.refund_reconciliation(aggregated, lookback),
-        "order_item_revenue": orders.order_item_revenue(lines, sources["raw_products"], lookback),
+        "order_item_revenue": orders.order_item_revenue(lines, products, lookback),
     }
 
 
 def inventory_marts(
-    sources: dict[str, DataFrame], history: DataFrame, thresholds: DataFrame, as_of: AsOf
+    sources: dict[str, DataFrame],
+    lifecycle: DataFrame,
+    history: DataFrame,
+    thresholds: DataFrame,
+    as_of: AsOf,
 ) -> dict[str, DataFrame]:
     """The two inventory marts, always whole: balances carry over from year to year."""
-    units = _both(sources, "inventory_items")
-    lifecycle = inventory.inventory_lifecycle(units, _both(sources, "order_items"), as_of)
     return {
         "inventory_fiscal_report": fiscal.inventory_fiscal_report(
             lifecycle, history, thresholds, as_of
         ),
-        "inventory_sellthrough": inventory.inventory_sellthrough(units),
+        "inventory_sellthrough": inventory.inventory_sellthrough(_both(sources, "inventory_items")),
     }
 
 
-def constrained_tables(
-    raw: dict[str, DataFrame],
-    sources: dict[str, DataFrame],
-    thresholds: DataFrame,
-    marts: dict[str, DataFrame],
-    as_of: AsOf,
+def source_tables(
+    raw: dict[str, DataFrame], sources: dict[str, DataFrame]
 ) -> dict[str, DataFrame]:
-    """Every table the declared constraints name; joined models are written once."""
-    lines = _both(sources, "order_items")
-    aggregated = staged(orders.aggregate_order_items(lines), "aggregated")
-    joined = orders.join_master_subledger(_both(sources, "orders"), aggregated)
-    units = _both(sources, "inventory_items")
-    lifecycle = inventory.inventory_lifecycle(units, lines, as_of)
+    """Raw, staged and united tables under the names the constraints use."""
     tested = {name: df for name, df in raw.items() if name.startswith("raw_")}
     for name, df in sources.items():
         origin, table = name.split("_", 1)
         tested[f"staged_{table}" if origin == "raw" else f"staged_incremental_{table}"] = df
-    return tested | marts | {
-        "thresholds": thresholds,
-        "order_items": lines,
-        "aggregated": aggregated,
-        "joined": staged(joined, "joined"),
-        "inventory_items": units,
-        "lifecycle": staged(lifecycle, "lifecycle"),
-    }
+    united = {table: _both(sources, table) for table in ("order_items", "inventory_items")}
+    return tested | united
 
 
 def run(
@@ -168,8 +163,15 @@ def run(
     first_run = any(read_mart(spark, paths[n]) is None for n, (key, _) in MARTS.items() if key)
     whole = full_refresh or first_run
     lookback = None if whole else Lookback(as_of, lookback_days)
-    built = order_marts(sources, lookback)
-    built |= inventory_marts(sources, history, thresholds, as_of)
+    aggregated, joined = order_ledgers(sources, lookback)
+    lifecycle = staged(
+        inventory.inventory_lifecycle(
+            _both(sources, "inventory_items"), _both(sources, "order_items"), as_of
+        ),
+        "lifecycle",
+    )
+    built = order_marts(sources, aggregated, joined, lookback)
+    built |= inventory_marts(sources, lifecycle, history, thresholds, as_of)
     marts = {}
     for name, (key, time) in MARTS.items():
         period = None if time is None else month_period(time)
@@ -179,7 +181,10 @@ def run(
             merge_mart(spark, paths[name], built[name], key, period)
         marts[name] = read_mart(spark, paths[name], built[name].schema)
 
-    tested = constrained_tables(raw, sources, thresholds, marts, as_of)
+    if lookback is not None:
+        aggregated, joined = order_ledgers(sources)
+    models = {"aggregated": aggregated, "joined": joined, "lifecycle": lifecycle}
+    tested = source_tables(raw, sources) | models | marts | {"thresholds": thresholds}
     results = staged(run_constraints(tested, declared_constraints()), "constraint-results")
     if export_dir is not None:
         tables.export_csv(marts, export_dir)
