@@ -174,10 +174,11 @@ class MetricStore:
             entity, *rest = item.split("__")
             name = rest[0] if rest and rest[0] not in GRAINS else None
             if entity == METRIC_TIME:
-                if GRAINS.index(grain or "day") < GRAINS.index(model.finest_grain):
+                grain = grain or model.finest_grain
+                if GRAINS.index(grain) < GRAINS.index(model.finest_grain):
                     raise ValueError(f"{model.name} has no grain finer than {model.finest_grain}")
                 time = self._expr(model.time_dimensions[model.metric_time])
-                df = df.withColumn(item, _truncate(grain or "day", time))
+                df = df.withColumn(item, _truncate(grain, time))
                 continue
             column = self._local(model, name, grain) if entity == model.primary else None
             if column is not None:
@@ -275,8 +276,11 @@ class MetricStore:
             raise ValueError("a condition on metric_time needs metric_time in group_by")
         columns = frame.columns
         for item in ITEM.findall(condition):
-            if item not in columns and item.startswith(METRIC_TIME):
-                frame = frame.withColumn(item, _truncate(_grain_of(item) or "day", F.col(time)))
+            if item in columns:
+                continue
+            if not item.startswith(METRIC_TIME):
+                raise ValueError(f"give the condition on {item} apart from metric_time")
+            frame = frame.withColumn(item, _truncate(_grain_of(item) or "day", F.col(time)))
         return frame.filter(condition).select(*columns)
 
     def _running(

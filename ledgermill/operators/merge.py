@@ -104,14 +104,16 @@ def read_mart(
     return _read_periods(spark, folder, schema).drop(PERIOD)
 
 
-def _write_periods(rows: DataFrame, folder: str, **options: str) -> None:
+def _write_periods(
+    rows: DataFrame, folder: str, by_period: bool, **options: str
+) -> None:
     """Write rows in their period folders.
 
     The rebalance hint gathers each period into files of the advised size, splits a period
     that holds most of the rows, and keeps a thousand tasks from writing a thousand small
     files per period.
     """
-    balanced = rows.hint("rebalance", PERIOD)
+    balanced = rows.hint("rebalance", PERIOD) if by_period else rows.hint("rebalance")
     balanced.write.mode("overwrite").options(**options).partitionBy(PERIOD).parquet(folder)
 
 
@@ -120,15 +122,15 @@ def rebuild_mart(df: DataFrame, path: str, period: Column | None = None) -> None
     complete = generations(df.sparkSession, path)
     number = int(complete[-1].removeprefix(GENERATION)) + 1 if complete else 1
     rows = df.withColumn(PERIOD, F.lit(NO_PERIOD) if period is None else period)
-    _write_periods(rows, f"{path}/{GENERATION}{number:08d}")
+    _write_periods(rows, f"{path}/{GENERATION}{number:08d}", period is not None)
 
 
 def merge_mart(
     spark: SparkSession, path: str, updates: DataFrame, key: str, period: Column | None = None
 ) -> None:
     """Merge a batch into a mart; the first batch creates it."""
-    period = F.lit(NO_PERIOD) if period is None else period
-    batch = staged(updates.withColumn(PERIOD, period), "batch")
+    place = F.lit(NO_PERIOD) if period is None else period
+    batch = staged(updates.withColumn(PERIOD, place), "batch")
     repeated = duplicate_keys(batch, key).limit(3).collect()
     if repeated:
         raise ValueError(f"duplicate {key} in the updates: {[row[key] for row in repeated]}")
@@ -147,7 +149,7 @@ def merge_mart(
         upsert(mart.filter(F.col(PERIOD).isin(list(touched))), batch, key), "merged"
     )
     left = {row[PERIOD] for row in rows.select(PERIOD).distinct().collect()}
-    _write_periods(rows, folder, partitionOverwriteMode="dynamic")
+    _write_periods(rows, folder, period is not None, partitionOverwriteMode="dynamic")
     for emptied in touched - left:
         partition, fs = _hadoop_path(spark, f"{folder}/{PERIOD}={emptied}")
         fs.delete(partition, True)

@@ -65,8 +65,18 @@ def stage_root(spark: SparkSession) -> str:
     return root
 
 
+def application_folder(spark: SparkSession) -> str:
+    return f"{stage_root(spark)}/ledgermill-{spark.sparkContext.applicationId}"
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete what this application staged, once its frames are no longer needed."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

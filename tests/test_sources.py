@@ -87,3 +87,15 @@ def test_subset_is_closed_and_repeatable(testbed):
     ):
         keys = subset[parent].select(subset[parent][field].alias(key))
         assert child.join(keys, key, "left_anti").count() == 0
+
+
+def test_clearing_removes_only_what_this_application_staged(spark, frame, monkeypatch):
+    from ledgermill import session
+
+    mine, other = (f"{stage_root(spark)}/ledgermill-{name}" for name in ("mine", "other"))
+    monkeypatch.setattr(session, "application_folder", lambda _: mine)
+    frame("a long", (1,)).write.parquet(other)
+    assert rows(session.staged(frame("a long", (2,)), "t")) == [(2,)]
+    session.clear_stages(spark)
+    assert not tables.path_exists(spark, mine)
+    assert tables.path_exists(spark, other)
