@@ -473,19 +473,17 @@ def _(t):
     "w03_month_offset",
     """, monthly as (
         select product_category, date_trunc('month', received) as month, count(*) as units
-        from (select product_category, created_at as received from inventory_items
-              where product_category = 'socks' or sold_at is null) group by 1, 2)
+        from (select product_category, created_at as received from inventory_items)
+        group by 1, 2)
     select n.product_category, cast(n.month as date) as month, n.units,
         p.units as units_month_before
     from monthly n left join monthly p on p.product_category = n.product_category
         and p.month = n.month - interval 1 month""",
 )
 def _(t):
-    kept = (col("product_category") == "socks") | col("sold_at").isNull()
-    monthly = (
-        t.inventory_items.filter(kept)
-        .groupBy("product_category", month_of(col("created_at")).cast("date").alias("month"))
-        .agg(F.count(F.lit(1)).alias("units"))
+    received = month_of(col("created_at")).cast("date").alias("month")
+    monthly = t.inventory_items.groupBy("product_category", received).agg(
+        F.count(F.lit(1)).alias("units")
     )
     before = monthly.select(
         "product_category",

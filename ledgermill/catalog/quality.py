@@ -1,6 +1,5 @@
 """Constraints: violating rows one by one, and the whole suite."""
 
-from pyspark.sql import functions as F
 
 from ledgermill.catalog.registry import query
 from ledgermill.operators import quality as q

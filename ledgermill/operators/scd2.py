@@ -18,8 +18,8 @@ PRICE_CHECK_COLUMNS = ("cost", "retail_price", "product_name", "category")
 
 def empty_history(current: DataFrame) -> DataFrame:
     """A history without rows for ``current``."""
-    never = F.lit(None).cast("timestamp")
-    return current.limit(0).withColumns({VALID_FROM: never, VALID_TO: never})
+    schema = current.schema.add(VALID_FROM, "timestamp").add(VALID_TO, "timestamp")
+    return current.sparkSession.createDataFrame([], schema)
 
 
 def scd2_snapshot(
