@@ -22,6 +22,7 @@ from ledgermill.operators.fiscal import inventory_fiscal_report
 from ledgermill.session import configure
 from ledgermill.sources import seeds
 from ledgermill.sources.staging import stage
+from ledgermill.sources.tables import spread_few_splits
 
 AS_OF = "2001-08-01 00:00:00"
 SPLIT_DATE = "2001-01-01 00:00:00"
@@ -69,7 +70,8 @@ class Testbed:
 
     def table(self, name: str) -> DataFrame:
         reader = self.spark.read.schema(TEST_TABLES[name])
-        return reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread_few_splits(df, "l_orderkey") if name == "lineitem" else df
 
     # raw tables
 
