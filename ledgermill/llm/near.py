@@ -143,14 +143,18 @@ def _node_rows(n: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            sizes, keys = [], []
-            for features in text_sets(batch.column(1), words, n):
-                sizes.append(len(features))
-                keys.append(set_key(features))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())],
-                names=["id", "n_shingles", "node"],
-            )
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                sets = list(text_sets(part.column(1), words, n))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([set_key(s) for s in sets], pa.int64()),
+                        pa.array([sketch(s) for s in sets], pa.binary()),
+                    ],
+                    names=["id", "n_shingles", "node", "sketch"],
+                )
 
     return rows
 
@@ -213,16 +217,28 @@ def _set_rows(n: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([set_key(s) for s in sets], pa.int64()),
-                        pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([s.tobytes() for s in sets], pa.binary()),
-                        pa.array([sketch(s) for s in sets], pa.binary()),
                     ],
-                    names=["node", "size", "features", "sketch"],
+                    names=["node", "features"],
                 )
 
     return rows
 
 
+def _plausible(
+    size_a: pa.Array, sketch_a: pa.Array, size_b: pa.Array, sketch_b: pa.Array
+) -> pa.Array:
+    """False only for pairs that sizes or sketches rule out."""
+    found = []
+    for m, x, n, y in zip(*(c.to_pylist() for c in (size_a, sketch_a, size_b, sketch_b)), strict=True):
+        ok = 4 * min(m, n) >= 3 * max(m, n)
+        if ok:
+            width = min(len(x), len(y))
+            ok = 7 * int(np.bitwise_count(folded(x, width) ^ folded(y, width)).sum()) <= m + n
+        found.append(ok)
+    return pa.array(found, pa.bool_())
+
+
 def _linked(percent: int):
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted by (a, salt, kind): the set of ``a``, then those it is compared with."""
@@ -253,7 +269,6 @@ def _linked(percent: int):
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough. Each pair moves one set; a node with
     many partners is dealt out in salted groups."""
-    light = sets.select("node", "features")
     partners = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_SALT).cast("int").alias("salts"))
     own = partners.select(
         "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
@@ -263,7 +278,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     rows = own.withColumn("b", F.col("a")).unionByName(others)
     return (
-        rows.join(light.withColumnRenamed("node", "b"), "b")
+        rows.join(sets.withColumnRenamed("node", "b"), "b")
         .select("a", "salt", "kind", "b", "features")
         .repartition("a", "salt")
         .sortWithinPartitions("a", "salt", "kind")
@@ -335,7 +350,20 @@ def near_copies(
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     id_type = dict(texts.dtypes)["id"]
     rows = staged(
-        texts.mapInArrow(_node_rows(n), f"id {id_type}, n_shingles long, node long"), "nodes"
+        texts.mapInArrow(
+            _node_rows(n), f"id {id_type}, n_shingles long, node long, sketch binary"
+        ),
+        "rows",
+    )
+    nodes = staged(
+        rows.filter("n_shingles > 0")
+        .groupBy("node")
+        .agg(
+            F.min("id").alias("id"),
+            F.first("n_shingles").alias("size"),
+            F.first("sketch").alias("sketch"),
+        ),
+        "nodes",
     )
     signed_rows = texts.select("text").mapInArrow(_signature_rows(n), "sig long, node long")
     buckets = staged(
@@ -344,58 +372,63 @@ def near_copies(
         .mapInArrow(_leader_rows, "sig long, lead long, node long"),
         "buckets",
     )
-    candidates = buckets.select(F.explode(F.array("lead", "node")).alias("node")).distinct()
-    chosen = staged(
-        rows.groupBy("node").agg(F.min("id").alias("id")).join(candidates, "node", "left_semi")
-        .select("id"),
-        "chosen",
-    )
-    sets = staged(
-        texts.join(if_small(chosen).withColumnRenamed("id", "__id"), F.col("id").eqNullSafe(F.col("__id")), "left_semi")
-        .select("text")
-        .mapInArrow(_set_rows(n), "node long, size long, features binary, sketch binary"),
-        "sets",
-    )
+
+    def sketched(pairs: DataFrame, column: str, name: str) -> DataFrame:
+        own = nodes.select(
+            F.col("node").alias(column),
+            F.struct("size", "sketch").alias(name),
+        )
+        return pairs.join(own, column)
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The sets of all nodes of ``pairs``, from the text of one document of each."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        ids = nodes.select("node", "id").join(wanted, "node", "left_semi").select("id")
+        chosen = if_small(staged(ids, "chosen")).withColumnRenamed("id", "__id")
+        picked = texts.join(chosen, F.col("id").eqNullSafe(F.col("__id")), "left_semi")
+        return staged(
+            picked.select("text").mapInArrow(_set_rows(n), "node long, features binary"), "sets"
+        )
+
+    test = F.arrow_udf(_plausible, returnType="boolean")
+    starred = buckets.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     first = staged(
-        buckets.groupBy("node").agg(F.min("lead").alias("lead"))
-        .select(F.col("lead").alias("a"), F.col("node").alias("b")),
+        sketched(sketched(starred, "a", "x"), "b", "y")
+        .filter(test("x.size", "x.sketch", "y.size", "y.sketch"))
+        .groupBy("b")
+        .agg(F.min("a").alias("a"))
+        .select("a", "b"),
         "pairs",
-    )
-    links = components(verified(if_small(first), sets, percent))
+    )
+    links = components(verified(if_small(first), sets_of(first), percent))
     labels = staged(links, "labels")
 
     def labelled(df: DataFrame, column: str, name: str) -> DataFrame:
         found = labels.select(F.col("node").alias(column), F.col("component").alias(name))
         return df.join(found, column, "left").withColumn(name, F.coalesce(name, column))
 
-    both = labelled(labelled(buckets, "node", "label"), "lead", "lead_label")
-    mixed_up = staged(both, "labelled")
-    split = mixed_up.filter("label <> lead_label").select("sig").distinct()
-    inside = mixed_up.join(split, "sig", "left_semi")
+    both = staged(labelled(labelled(buckets, "node", "label"), "lead", "lead_label"), "labelled")
+    split = both.filter("label <> lead_label").select("sig").distinct()
+    inside = both.join(split, "sig", "left_semi")
     members = inside.select("sig", "node", "label").unionAll(
         inside.select("sig", F.col("lead"), F.col("lead_label")).distinct()
     )
     crossing = staged(
-        members.join(sets.select("node", "size", "sketch").dropDuplicates(["node"]), "node")
-        .select("sig", "node", "size", "label", "sketch")
+        sketched(members, "node", "x")
+        .select("sig", "node", "x.size", "label", "x.sketch")
         .repartition("sig")
         .sortWithinPartitions("sig", "node")
         .mapInArrow(_cross_pairs, "a long, b long")
         .distinct(),
         "pairs",
     )
-    more = verified(if_small(crossing), sets, percent)
+    more = verified(if_small(crossing), sets_of(crossing), percent)
     joined = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)
     final = components(joined).withColumnRenamed("component", "found")
-    nodes = (
-        rows.filter("n_shingles > 0")
-        .groupBy("node")
-        .agg(F.min("id").alias("least"))
-        .join(final, "node", "left")
-        .withColumn("found", F.coalesce("found", "node"))
-    )
-    groups = nodes.groupBy("found").agg(F.min("least").alias("component_id"))
-    named = nodes.join(groups, "found").select("node", "component_id")
+    found = nodes.select("node", F.col("id").alias("least")).join(final, "node", "left")
+    found = found.withColumn("found", F.coalesce("found", "node"))
+    groups = found.groupBy("found").agg(F.min("least").alias("component_id"))
+    named = found.join(groups, "found").select("node", "component_id")
     full = rows.filter("n_shingles > 0").join(named, "node")
     empty = rows.filter("n_shingles = 0").withColumn("component_id", F.col("id"))
     return full.unionByName(empty).select(
