@@ -10,15 +10,17 @@ Steps:
 1. Every text becomes its set of shingles; texts with equal sets are one node.
 2. Signatures are shuffled and sorted; each bucket links its members to its first one.
 3. One such candidate per node is verified on the sets; components of the links follow.
-4. Buckets that still hold several components give all their pairs between components that
-   size and a parity sketch cannot rule out (both tests lose nothing); these are verified.
+4. While buckets hold several components, the closest pair of every two is verified; when no
+   more of them join, all pairs between components that are left are.
 
-Dense groups of copies cost one verification per member, not per pair.
+Sizes and parity sketches rule out pairs before that, and both tests lose nothing. Dense
+groups of copies cost about one verification per member, not one per pair.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -29,13 +31,13 @@ from pyspark.sql import functions as F
 from ledgermill.llm.components import components
 from ledgermill.llm.text import (
     MIX,
-    WordHashes,
     if_small,
     mixed,
     plain_words,
     raw,
     shingles,
     signed,
+    word_hashes,
 )
 from ledgermill.session import staged
 
@@ -75,8 +77,18 @@ def level_shape(level: int) -> tuple[int, int, int]:
     return groups, each, may_differ
 
 
+@lru_cache(maxsize=None)
+def _combinations(level: int) -> list[tuple[tuple[int, ...], np.ndarray]]:
+    """The partitions that may agree within a group, and a tag per group for each choice."""
+    groups, each, may_differ = level_shape(level)
+    return [
+        (chosen, mixed(np.arange(groups, dtype=np.uint64) * np.uint64(1 << 16) + np.uint64(level * 64 + k)))
+        for k, chosen in enumerate(combinations(range(each), each - may_differ))
+    ]
+
+
 def signatures(features: np.ndarray) -> np.ndarray:
-    """The signatures of a set of distinct 64-bit features.
+    """The signatures of a set of distinct 64-bit features, which are evenly spread hashes.
 
     The set takes part in its own level and, as the larger of a pair, in the lower levels
     that it can meet. Combinations without any feature are left out when enough groups hold
@@ -87,35 +99,35 @@ def signatures(features: np.ndarray) -> np.ndarray:
     size = len(features)
     if size < FIRST_SIZE:
         return np.empty(0, np.uint64)
-    scrambled = mixed(features)
+    content_of = mixed(features + MIX)
     out = []
     lowest = max(FIRST_SIZE, -(-3 * size // 4))
     for level in range(level_of(lowest), level_of(size) + 1):
         groups, each, may_differ = level_shape(level)
         parts = groups * each
-        place = (scrambled % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(place, kind="stable")
-        filled, first, counts = np.unique(place[order], return_index=True, return_counts=True)
+        place = (features % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.int64)
+        number = np.bincount(place, minlength=parts)
+        filled = np.flatnonzero(number)
+        starts = (np.cumsum(number) - number)[filled]
         content = np.zeros(parts, np.uint64)
-        content[filled] = np.add.reduceat(mixed(scrambled + MIX)[order], first)
-        number = np.zeros(parts, np.int64)
-        number[filled] = counts
+        content[filled] = np.add.reduceat(content_of[np.argsort(place, kind="stable")], starts)
         content, number = content.reshape(groups, each), number.reshape(groups, each)
         end = int(LEVEL_ENDS[level])
         differing = size // 3 if size <= end else (size + end) // 7
         sound = ((number > 0).sum(1) > may_differ).sum()
         keep_empty = sound * (may_differ + 1) <= differing
-        for which, chosen in enumerate(combinations(range(each), each - may_differ)):
-            total = content[:, chosen].sum(1, dtype=np.uint64)
-            tag = np.uint64(level * 64 + which) + np.arange(groups, dtype=np.uint64) * np.uint64(1 << 20)
-            found = mixed(total ^ mixed(tag))
-            out.append(found if keep_empty else found[number[:, chosen].sum(1) > 0])
+        for chosen, tags in _combinations(level):
+            total, count = content[:, chosen[0]], number[:, chosen[0]]
+            for column in chosen[1:]:
+                total, count = total + content[:, column], count + number[:, column]
+            found = total ^ tags
+            out.append(mixed(found if keep_empty else found[count > 0]))
     return np.concatenate(out)
 
 
 def set_key(features: np.ndarray) -> int:
     """A 64-bit hash of a set, as a signed integer; equal sets are taken to be one node."""
-    total = mixed(features).sum(dtype=np.uint64) ^ np.uint64(len(features))
+    total = features.sum(dtype=np.uint64) ^ np.uint64(len(features))
     return int(signed(mixed(np.array([total], np.uint64)))[0])
 
 
@@ -126,7 +138,7 @@ def sketch(features: np.ndarray) -> bytes:
     never exceeds the number of differing features. Halves can be folded onto each other.
     """
     width = 1 << max(6, int(2 * len(features) - 1).bit_length())
-    spots = (mixed(features ^ MIX) & np.uint64(width - 1)).astype(np.int64)
+    spots = ((features >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64)
     return np.packbits(np.bincount(spots, minlength=width) & 1).astype(np.uint8).tobytes()
 
 
@@ -135,17 +147,16 @@ def folded(data: bytes, width: int) -> np.ndarray:
     return np.bitwise_xor.reduce(np.frombuffer(data, np.uint8).reshape(-1, width), axis=0)
 
 
-def text_sets(array: pa.Array, words: WordHashes, n: int) -> Iterator[np.ndarray]:
-    return (shingles(words.of(plain_words(text)), n) for text in raw(array))
+def text_sets(array: pa.Array, n: int) -> Iterator[np.ndarray]:
+    return (shingles(word_hashes(plain_words(text)), n) for text in raw(array))
 
 
 def _node_rows(n: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                sets = list(text_sets(part.column(1), words, n))
+                sets = list(text_sets(part.column(1), n))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -161,11 +172,11 @@ def _node_rows(n: int):
 
 def _signature_rows(n: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = WordHashes(), set()  # copies within a task sign once
+        seen = set()  # copies within a task sign once
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 found, nodes = [], []
-                for features in text_sets(batch.column(0).slice(at, 500), words, n):
+                for features in text_sets(batch.column(0).slice(at, 500), n):
                     node = set_key(features)
                     if node in seen or len(features) < FIRST_SIZE:
                         continue
@@ -210,10 +221,9 @@ def _leader_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _set_rows(n: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
-                sets = list(text_sets(batch.column(0).slice(at, 500), words, n))
+                sets = list(text_sets(batch.column(0).slice(at, 500), n))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([set_key(s) for s in sets], pa.int64()),
@@ -287,50 +297,70 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _cross_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted by sig: pairs of members of different components that may be similar."""
-
-    def pairs(members: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        members.sort(key=lambda m: m[1])
-        nodes = np.array([m[0] for m in members], np.int64)
-        sizes = np.array([m[1] for m in members], np.int64)
-        labels = np.array([m[2] for m in members], np.int64)
-        width = min(len(m[3]) for m in members)
-        bits = np.stack([folded(m[3], width) for m in members])
-        left, right = [], []
-        for i in range(len(members) - 1):
-            end = int(np.searchsorted(sizes, 4 * sizes[i] // 3, side="right"))
-            j = np.arange(i + 1, end)
-            j = j[labels[j] != labels[i]]
-            if len(j):
-                apart = np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64)
-                j = j[7 * apart <= sizes[i] + sizes[j]]
-                left.append(np.minimum(nodes[i], nodes[j]))
-                right.append(np.maximum(nodes[i], nodes[j]))
-        empty = [np.empty(0, np.int64)]
-        return np.concatenate(left or empty), np.concatenate(right or empty)
-
-    def batch_of(found):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b"]
-        )
+def _bucket_pairs(members: list[tuple], best: bool) -> np.ndarray:
+    """Pairs of members of different components that may be similar, as rows (a, b).
 
-    sig, members, found, held = None, [], [], 0
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[0] != sig:
-                if len(members) > 1:
-                    found.append(pairs(members))
-                    held += len(found[-1][0])
-                sig, members = row[0], []
-            members.append(row[1:])
-        if held > 50_000:
+    ``best`` keeps the closest pair by sketch of every two components.
+    """
+    members.sort(key=lambda m: m[1])
+    nodes, sizes, labels = (np.array([m[i] for m in members], np.int64) for i in range(3))
+    width = min(len(m[3]) for m in members)
+    bits = np.stack([folded(m[3], width) for m in members])
+    found = []
+    for i in range(len(members) - 1):
+        end = int(np.searchsorted(sizes, 4 * sizes[i] // 3, side="right"))
+        j = np.arange(i + 1, end)
+        j = j[labels[j] != labels[i]]
+        if len(j):
+            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64)
+            ok = 7 * apart <= sizes[i] + sizes[j]
+            j, apart = j[ok], apart[ok]
+        if best and len(j):
+            order = np.argsort(apart, kind="stable")
+            _, first = np.unique(labels[j[order]], return_index=True)
+            j, apart = j[order[first]], apart[order[first]]
+        if len(j):
+            found.append(np.stack([np.full(len(j), i), j, apart], 1))
+    if not found:
+        return np.empty((0, 2), np.int64)
+    i, j, apart = np.concatenate(found).T
+    if best:
+        low, high = np.minimum(labels[i], labels[j]), np.maximum(labels[i], labels[j])
+        order = np.lexsort((apart, high, low))
+        ends = np.stack([low, high], 1)[order]
+        first = np.concatenate([[True], (ends[1:] != ends[:-1]).any(1)])
+        i, j = i[order[first]], j[order[first]]
+    return np.stack([np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])], 1)
+
+
+def _cross_pairs(best: bool):
+    """Rows sorted by sig (sig, node, size, label, sketch) to distinct pairs (a, b)."""
+
+    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(found):
+            pairs = np.unique(np.concatenate(found), axis=0)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(c)) for c in pairs.T], names=["a", "b"]
+            )
+
+        sig, members, found, held = None, [], [], 0
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[0] != sig:
+                    if len(members) > 1:
+                        found.append(_bucket_pairs(members, best))
+                        held += len(found[-1])
+                    sig, members = row[0], []
+                    if held > 500_000:
+                        yield batch_of(found)
+                        found, held = [], 0
+                members.append(row[1:])
+        if len(members) > 1:
+            found.append(_bucket_pairs(members, best))
+        if found:
             yield batch_of(found)
-            found, held = [], 0
-    if len(members) > 1:
-        found.append(pairs(members))
-    if found:
-        yield batch_of(found)
+
+    return cross
 
 
 def near_copies(
@@ -400,31 +430,43 @@ def near_copies(
         .select("a", "b"),
         "pairs",
     )
-    links = components(verified(if_small(first), sets_of(first), percent))
-    labels = staged(links, "labels")
+    labels = staged(components(verified(if_small(first), sets_of(first), percent)), "labels")
 
     def labelled(df: DataFrame, column: str, name: str) -> DataFrame:
         found = labels.select(F.col("node").alias(column), F.col("component").alias(name))
         return df.join(found, column, "left").withColumn(name, F.coalesce(name, column))
 
-    both = staged(labelled(labelled(buckets, "node", "label"), "lead", "lead_label"), "labelled")
-    split = both.filter("label <> lead_label").select("sig").distinct()
-    inside = both.join(split, "sig", "left_semi")
-    members = inside.select("sig", "node", "label").unionAll(
-        inside.select("sig", F.col("lead"), F.col("lead_label")).distinct()
-    )
-    crossing = staged(
-        sketched(members, "node", "x")
-        .select("sig", "node", "x.size", "label", "x.sketch")
-        .repartition("sig")
-        .sortWithinPartitions("sig", "node")
-        .mapInArrow(_cross_pairs, "a long, b long")
-        .distinct(),
-        "pairs",
-    )
-    more = verified(if_small(crossing), sets_of(crossing), percent)
-    joined = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)
-    final = components(joined).withColumnRenamed("component", "found")
+    def crossing(best: bool) -> DataFrame:
+        """Candidates between components that still share a bucket."""
+        both = staged(
+            labelled(labelled(buckets, "node", "label"), "lead", "lead_label"), "labelled"
+        )
+        split = both.filter("label <> lead_label").select("sig").distinct()
+        inside = both.join(split, "sig", "left_semi")
+        members = inside.select("sig", "node", "label").unionAll(
+            inside.select("sig", F.col("lead"), F.col("lead_label")).distinct()
+        )
+        pairs = (
+            sketched(members, "node", "x")
+            .select("sig", "node", "x.size", "label", "x.sketch")
+            .repartition("sig")
+            .sortWithinPartitions("sig", "node")
+            .mapInArrow(_cross_pairs(best), "a long, b long")
+        )
+        return staged(pairs.distinct(), "pairs")
+
+    # One pair of every two components at a time while that joins some, then all pairs.
+    best = True
+    while not (pairs := crossing(best)).isEmpty():
+        more = staged(verified(if_small(pairs), sets_of(pairs), percent), "links")
+        joins = not more.isEmpty()
+        if joins:
+            known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            labels = staged(components(known.unionAll(more)), "labels")
+        if not best:
+            break
+        best = joins
+    final = labels.withColumnRenamed("component", "found")
     found = nodes.select("node", F.col("id").alias("least")).join(final, "node", "left")
     found = found.withColumn("found", F.coalesce("found", "node"))
     groups = found.groupBy("found").agg(F.min("least").alias("component_id"))

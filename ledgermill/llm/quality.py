@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.text import WordHashes, ngram_hashes, raw, with_results
+from ledgermill.llm.text import ngram_hashes, raw, with_results, word_hashes
 
 DIMENSION_BITS = 18
 TRAINING_ROWS = 8_000  # bound of the labelled sample that the model is fitted on
@@ -29,37 +29,19 @@ _SHAPE = bytes(
 _RUN = re.compile(rb"(.)\1+", re.S)
 
 
-class _Shapes(WordHashes):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        shape = _RUN.sub(rb"\1", word.translate(_SHAPE))
-        value = self[word] = hash_of(b"shape " + shape)
-        return value
-
-
-def hash_of(data: bytes) -> int:
-    return WordHashes().__missing__(data)
-
-
-class Features:
-    """Texts to sorted distinct feature numbers; feature 0 is the constant."""
-
-    def __init__(self):
-        self.words, self.shapes = WordHashes(), _Shapes()
-
-    def of(self, text: bytes) -> np.ndarray:
-        words = text.split()
-        plain, shapes = self.words.of(words), self.shapes.of(words)
-        grams = [plain, ngram_hashes(plain, 2)]
-        grams += [np.unique(ngram_hashes(shapes, n)) for n in (1, 2, 3)]
-        found = np.concatenate(grams) >> np.uint64(64 - DIMENSION_BITS)
-        present = np.zeros(1 << DIMENSION_BITS, bool) if len(found) > 50_000 else None
-        if present is None:
-            return np.unique(np.append(found, np.uint64(0))).astype(np.int32)
-        present[found.astype(np.int64)] = True
-        present[0] = True
-        return np.flatnonzero(present).astype(np.int32)
+def features_of(text: bytes) -> np.ndarray:
+    """The sorted distinct feature numbers of a text; feature 0 is the constant."""
+    plain = word_hashes(text.split())
+    shapes = word_hashes(_RUN.sub(rb"\1", text.translate(_SHAPE)).split())
+    grams = [plain, ngram_hashes(plain, 2)]
+    grams += [np.unique(ngram_hashes(shapes, n)) for n in (1, 2, 3)]
+    found = np.concatenate(grams) >> np.uint64(64 - DIMENSION_BITS)
+    present = np.zeros(1 << DIMENSION_BITS, bool) if len(found) > 50_000 else None
+    if present is None:
+        return np.unique(np.append(found, np.uint64(0))).astype(np.int32)
+    present[found.astype(np.int64)] = True
+    present[0] = True
+    return np.flatnonzero(present).astype(np.int32)
 
 
 @dataclass
@@ -167,8 +149,7 @@ def training_rows(
     texts = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("__text"))
 
     def extract(array: pa.Array) -> pa.Array:
-        features = Features()
-        return pa.array([features.of(t) for t in raw(array)], pa.list_(pa.int32()))
+        return pa.array([features_of(t) for t in raw(array)], pa.list_(pa.int32()))
 
     udf = F.arrow_udf(extract, returnType="array<int>")
     # ``bound`` rows of an id and a label
@@ -202,8 +183,7 @@ def score_quality(
     model = docs.sparkSession.sparkContext.broadcast(fit(rows, marks))
 
     def score(array: pa.Array) -> pa.Array:
-        features = Features()
-        scores = [model.value.score(features.of(t)) for t in raw(array)]
+        scores = [model.value.score(features_of(t)) for t in raw(array)]
         return pa.StructArray.from_arrays(
             [pa.array(scores, pa.float64())], names=["score"]
         )

@@ -36,21 +36,9 @@ def letter_words(text: bytes) -> list[bytes]:
     return text.translate(_ALNUM).split()
 
 
-class WordHashes(dict):
-    """Word to 64-bit hash, kept between batches; emptied when it holds ``limit`` words."""
-
-    def __init__(self, limit: int = 300_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash per word. Hashing is cheaper than remembering: vocabularies are open."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -71,8 +59,9 @@ def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     total = np.full(count, n, np.uint64)
     for i in range(n):
-        total = mixed(total * MIX + hashes[i : i + count])
-    return total
+        total *= MIX
+        total += hashes[i : i + count]
+    return mixed(total)
 
 
 def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
