@@ -29,16 +29,18 @@ SAMPLE_ROWS = 4096  # bound of the sample that trees and entry points are fitted
 TREE_DEPTH = 8
 ENTRIES = 512
 BEAM = 48
-EXPANDED = 6
+EXPANDED = 16
 SEARCH_ROUNDS = 40
 
 
-def _distance(x: Column, y: Column) -> Column:
+def _distances(xs: pa.Array, ys: pa.Array) -> pa.Array:
+    apart = _matrix(xs) - _matrix(ys)
+    return pa.array(np.einsum("nd,nd->n", apart, apart))
+
+
+def _distance(x: str, y: str) -> Column:
     """Squared Euclidean distance in double precision."""
-    squares = F.zip_with(
-        x, y, lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))
-    )
-    return F.aggregate(squares, F.lit(0.0), lambda total, v: total + v)
+    return F.arrow_udf(_distances, returnType="double")(x, y)
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -310,21 +312,19 @@ class NeighbourIndex:
         walk, nodes = self._walkable(), self.nodes.select(F.col("node"), "vector")
         entry = F.explode(_entries(self.spark.sparkContext.broadcast(self._points(ENTRIES)))("qv"))
         near = asked.select("q", "qv", entry.alias("node")).join(nodes, "node").select(
-            "q", "node", _distance(F.col("qv"), F.col("vector")).alias("d")
+            "q", "node", _distance("qv", "vector").alias("d")
         )
         own = asked.join(self.rows.select(F.col("id").alias("q")), "q").join(
             self.nodes.select(F.explode("ids").alias("q"), "node"), "q"
         )
-        seen = near.unionByName(own.select("q", "node", F.lit(0.0).alias("d")))
-        seen = seen.groupBy("q", "node").agg(F.min("d").alias("d")).withColumn("done", F.lit(False))
-        seen = staged(seen, "walked")
+        start = near.unionByName(own.select("q", "node", F.lit(0.0).alias("d")))
+        start = start.groupBy("q", "node").agg(F.min("d").alias("d"))
+        seen = staged(start.withColumn("done", F.lit(False)), "walked")
         beam = max(BEAM, 2 * k + 2)
         for _ in range(SEARCH_ROUNDS):
             closest = _nearest(seen, "q", ["d", "node"], beam)
-            front = staged(
-                _nearest(closest.filter("not done"), "q", ["d", "node"], EXPANDED).select("q", "node"),
-                "front",
-            )
+            front = _nearest(closest.filter("not done"), "q", ["d", "node"], EXPANDED)
+            front = front.select("q", "node")
             if front.isEmpty():
                 break
             reached = (
@@ -334,7 +334,7 @@ class NeighbourIndex:
                 .join(seen.select("q", "node"), ["q", "node"], "left_anti")
                 .join(nodes, "node")
                 .join(asked, "q")
-                .select("q", "node", _distance(F.col("qv"), F.col("vector")).alias("d"))
+                .select("q", "node", _distance("qv", "vector").alias("d"))
                 .withColumn("done", F.lit(False))
             )
             expanded = front.withColumn("now", F.lit(True))
