@@ -211,7 +211,7 @@ def first_verdict(block: Block) -> str:
         return "short"
     if stops >= STOP_HIGH:
         return "good" if size > LONG or block.inside else "near"
-    if stops >= STOP_LOW or block.inside:
+    if stops >= STOP_LOW or block.inside or size > LONG:
         return "near"
     return "bad"
 

@@ -113,6 +113,8 @@ def _entries(points):
     def entries(vectors: pa.Array) -> pa.Array:
         ids, x = points.value
         asked, near = _matrix(vectors), []
+        if not len(ids):
+            return pa.array([[]] * len(asked), pa.list_(pa.int64()))
         for at in range(0, len(asked), 256):
             part = asked[at : at + 256]
             apart = (part**2).sum(1)[:, None] + (x**2).sum(1) - 2 * part @ x.T
@@ -264,8 +266,8 @@ class NeighbourIndex:
     def _points(self, limit: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and vectors of the first rows of the bounded sample."""
         rows = self.sample.slice(0, limit).to_pylist()
-        vectors = np.array([r["vector"] for r in rows], np.float64)
-        return np.array([r["node"] for r in rows], np.int64), vectors.reshape(len(rows), -1)
+        vectors = np.array([r["vector"] for r in rows] or np.empty((0, 1)), np.float64)
+        return np.array([r["node"] for r in rows], np.int64), vectors
 
     def _build(self, seed: int) -> DataFrame:
         points = self._points(SAMPLE_ROWS)[1]
