@@ -8,11 +8,13 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import bag
+from ledgermill.catalog import load_queries
 from tests.conftest import SF_DIR
 
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES = {name: q.run for name, q in load_queries().items()}
+ORACLES = {name: q.sql for name, q in load_queries().items() if q.sql is not None}
 
 
 @pytest.fixture(scope="module")
