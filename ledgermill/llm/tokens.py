@@ -107,13 +107,14 @@ class Encoder:
     such blanks only. The memory is emptied at ``limit`` words.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        [self.newline] = self._ids(["\n"])[0]
         self.limit = limit
         self.heads: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -123,14 +124,26 @@ class Encoder:
         if len(memory) + len(new) > self.limit:
             memory.clear()
             new = list(words)
-        for i in range(0, len(new), 50_000):
-            part = new[i : i + 50_000]
-            found = self.tokenizer.encode_batch_fast(
-                [prefix + w for w in part], add_special_tokens=False
-            )
-            memory.update(
-                (w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, found, strict=True)
-            )
+        for i in range(0, len(new), 20_000):
+            part = new[i : i + 20_000]
+            memory.update(zip(part, self._encode_words(part, prefix), strict=True))
+
+    def _encode_words(self, words: list[str], prefix: str) -> list[bytes]:
+        """Words without white space go through the tokenizer as the lines of one text, whose
+        line ends are tokens of their own; others one by one."""
+        width = np.dtype(self.dtype).itemsize
+        if "\n".join(words).split() == words:
+            text = "".join(f"{prefix}{w}\n" for w in words)
+            ids = np.array(self._ids([text])[0], self.dtype)
+            ends = np.flatnonzero(ids == self.newline)
+            if len(ends) == len(words):
+                data = ids.tobytes()
+                starts = [0, *((ends[:-1] + 1) * width).tolist()]
+                return [data[a:b] for a, b in zip(starts, (ends * width).tolist(), strict=True)]
+        return [np.array(ids, self.dtype).tobytes() for ids in self._ids([prefix + w for w in words])]
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
