@@ -500,11 +500,14 @@ def _(t):
     "o01_severity_order",
     "select order_id, cutoff_status, gross_revenue from revenue order by case cutoff_status "
     "when 'POTENTIAL CUT-OFF RISK' then 1 when 'SHIPPING_PENDING' then 2 else 3 end, "
-    "gross_revenue desc",
+    "gross_revenue desc, order_id",
 )
 def _(t):
+    # the key at the end spreads equal amounts over range partitions
     return t.revenue.orderBy(
-        by_severity("cutoff_status", CUTOFF_RISK, PENDING), col("gross_revenue").desc()
+        by_severity("cutoff_status", CUTOFF_RISK, PENDING),
+        col("gross_revenue").desc(),
+        "order_id",
     ).select("order_id", "cutoff_status", "gross_revenue")
 
 

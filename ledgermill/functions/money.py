@@ -1,9 +1,10 @@
 """Exact, order-independent money arithmetic that stays in generated code.
 
 A sum of doubles depends on the order of its rows, which on a cluster changes from run
-to run. Amounts are therefore added as integer micro-units. The running total is kept as
-a high and a low part, two plain long sums: eight times faster than a decimal sum and
-with room for 9.6e18 currency units per group.
+to run. Amounts are therefore cut into whole units and millionths of a unit, and both are
+added as plain longs: eight times faster than a decimal sum, with room for 9.2e18 currency
+units per group. An amount outside that range is an error in every session, whatever its
+ANSI setting. What is below half a millionth of a unit is rounded away per amount.
 """
 
 from __future__ import annotations
@@ -13,21 +14,22 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MICROS_PER_UNIT = 1_000_000
-LOW_BITS = 20
-LOW_RANGE = 1 << LOW_BITS
+PLACES = 6
+LIMIT = 9.2e18
 
 
 def split_amount(amount: Column) -> tuple[Column, Column]:
-    """High and low part of an amount in micro-units, as longs."""
-    micros = F.rint(amount * F.lit(float(MICROS_PER_UNIT))).cast("long")
-    return F.shiftright(micros, LOW_BITS), micros.bitwiseAND(F.lit(LOW_RANGE - 1))
+    """Whole units and millionths of an amount, as longs."""
+    whole = F.floor(amount)
+    beyond = F.raise_error(F.lit(f"an amount is not a number within {LIMIT:g}"))
+    units = F.when(F.abs(amount) >= F.lit(LIMIT), beyond.cast("long")).otherwise(whole)
+    return units, F.rint((amount - whole) * F.lit(float(10**PLACES))).cast("long")
 
 
 def join_amount(high: Column, low: Column) -> Column:
     """The two parts put back together, as a decimal with six places."""
-    micros = high.cast("decimal(20,0)") * F.lit(Decimal(LOW_RANGE)) + low.cast("decimal(20,0)")
-    return micros * F.lit(Decimal("0.000001"))
+    millionths = low.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-PLACES))
+    return high.cast("decimal(20,0)") + millionths
 
 
 def exact_sum(amount: Column, weight: Column | None = None) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,3 +75,37 @@ def lead_time_above_baseline(items: DataFrame) -> DataFrame:
         .withColumn("negative_lead_time_rate", round_to(rate, 4))
         .filter(F.col("negative_lead_time_rate") > NEGATIVE_LEAD_BASELINE)
     )
+
+
+def run_controls(
+    reconciliation: DataFrame, aggregated: DataFrame, revenue: DataFrame, items: DataFrame
+) -> DataFrame:
+    """Failures and status of the four controls, in the columns of the constraint results.
+
+    Order variances and recognition are errors; the lead-time baseline is a warning.
+    """
+    found = [
+        ("order_reconciliation", unsuccessful_reconciliation(reconciliation), "error"),
+        ("order_reconciliation", unexpected_order_variance(reconciliation, aggregated), "error"),
+        ("revenue", wrong_revenue_recognition(revenue), "error"),
+        ("order_item_revenue", lead_time_above_baseline(items), "warn"),
+    ]
+    names = (
+        "unsuccessful_reconciliation",
+        "unexpected_order_variance",
+        "wrong_revenue_recognition",
+        "lead_time_above_baseline",
+    )
+    results = [
+        broken.agg(F.count(F.lit(1)).alias("failures")).select(
+            F.lit(table).alias("table_name"),
+            F.lit(name).alias("test_name"),
+            F.lit(severity).alias("severity"),
+            "failures",
+            F.when(F.col("failures") == 0, "pass")
+            .otherwise("warn" if severity == "warn" else "fail")
+            .alias("status"),
+        )
+        for name, (table, broken, severity) in zip(names, found, strict=True)
+    ]
+    return reduce(DataFrame.unionByName, results)

@@ -16,7 +16,7 @@ from ledgermill.functions import (
     round_to,
 )
 from ledgermill.functions.calendar import AsOf
-from ledgermill.operators.joins import full_outer_many_to_one
+from ledgermill.operators.joins import full_outer
 
 # The labels the audit reports show.
 ORPHAN = "ERR: ORPHAN SUB-LEDGER"
@@ -96,9 +96,8 @@ def join_master_subledger(orders: DataFrame, aggregated: DataFrame) -> DataFrame
         "returned_at",
         "delivered_at",
     )
-    joined = full_outer_many_to_one(
-        lines, headers, "subledger_order_id", "master_order_id"
-    )
+    # both sides hold about one row per order, so only rows without a key can pile up
+    joined = full_outer(lines, headers, "subledger_order_id", "master_order_id")
     return joined.select(
         F.coalesce("subledger_order_id", "master_order_id").alias("order_id"),
         F.coalesce("subledger_user_id", "master_user_id").alias("user_id"),

@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.calendar import AsOf
 from ledgermill.operators import fiscal, inventory, orders
+from ledgermill.operators.controls import run_controls
 from ledgermill.operators.freshness import freshness
-from ledgermill.operators.merge import merge_mart, month_period, read_mart, rebuild_mart
+from ledgermill.operators.merge import (
+    current_path,
+    merge_mart,
+    month_period,
+    read_mart,
+    rebuild_mart,
+)
 from ledgermill.operators.orders import LOOKBACK_DAYS, Lookback
 from ledgermill.operators.quality import run_constraints
 from ledgermill.operators.scd2 import snapshot_prices
@@ -43,8 +50,26 @@ MARTS: dict[str, tuple[str | None, str | None]] = {
 class DailyResult:
     freshness: DataFrame
     constraints: DataFrame
+    controls: DataFrame
     marts: dict[str, DataFrame]
 
+    def blocking(self) -> list[str]:
+        """What must keep the marts from being exported: failed tests, stale sources."""
+        failed = self.constraints.unionByName(self.controls).filter("status = 'fail'")
+        stale = self.freshness.filter("status = 'error'")
+        return [
+            *(f"{r.table_name}: {r.test_name} ({r.failures})" for r in failed.collect()),
+            *(f"{r.source}: not fresh" for r in stale.collect()),
+        ]
+
+
+class ExportBlocked(RuntimeError):
+    """Tests failed or sources are stale; ``result`` holds the run, nothing was exported."""
+
+    def __init__(self, result: DailyResult, reasons: list[str]):
+        super().__init__("; ".join(reasons))
+        self.result = result
+
 
 def is_full_refresh_day(as_of: datetime) -> bool:
     """Sundays rebuild everything, to catch corrections older than the look-back window."""
@@ -144,11 +169,14 @@ def run(
     lookback_days: int = LOOKBACK_DAYS,
     seed_path: str | None = None,
     export_dir: str | None = None,
+    force: bool = False,
 ) -> DailyResult:
     """Bring all marts up to date and test them.
 
     Without an explicit choice, Sundays rebuild the incremental marts and other days merge
-    the look-back window into them.
+    the look-back window into them. Constraints and the four business controls run on what
+    is there afterwards. A failed one of error severity, or a source past its error age, keeps
+    the marts from being exported (``ExportBlocked``) unless ``force`` is set.
     """
     configure(spark)
     raw = tables.load_all(spark, sources_root)
@@ -160,7 +188,7 @@ def run(
     if full_refresh is None:
         full_refresh = is_full_refresh_day(as_of)
     paths = {name: f"{root}/marts/{name}" for name in MARTS}
-    first_run = any(read_mart(spark, paths[n]) is None for n, (key, _) in MARTS.items() if key)
+    first_run = any(current_path(spark, paths[n]) is None for n, (key, _) in MARTS.items() if key)
     whole = full_refresh or first_run
     lookback = None if whole else Lookback(as_of, lookback_days)
     aggregated, joined = order_ledgers(sources, lookback)
@@ -186,6 +214,12 @@ def run(
     models = {"aggregated": aggregated, "joined": joined, "lifecycle": lifecycle}
     tested = source_tables(raw, sources) | models | marts | {"thresholds": thresholds}
     results = staged(run_constraints(tested, declared_constraints()), "constraint-results")
+    controls = run_controls(
+        marts["order_reconciliation"], aggregated, marts["revenue"], marts["order_item_revenue"]
+    )
+    result = DailyResult(fresh, results, staged(controls, "control-results"), marts)
     if export_dir is not None:
+        if not force and (reasons := result.blocking()):
+            raise ExportBlocked(result, reasons)
         tables.export_csv(marts, export_dir)
-    return DailyResult(fresh, results, marts)
+    return result

@@ -29,16 +29,6 @@ def load_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: load(spark, root, name) for name in RAW_TABLES}
 
 
-def spread_few_splits(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input that has fewer splits than the cluster has cores.
-
-    A file with one row group is one task, however many cores wait. An input large enough to
-    keep them busy passes through unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_parquet(df: DataFrame, path: str) -> bool:
     """Overwrite ``path``; an empty frame leaves it untouched. True when written."""
     if df.isEmpty():

@@ -47,7 +47,20 @@ def folders(spark, frame):
 
 def test_daily_runs(spark, frame, folders):
     source_root, root = folders
-    first = daily.run(spark, source_root, root, SATURDAY, export_dir=f"{root}/export")
+    # The new order has two items in its header and one line: a control fails and nothing
+    # leaves until the caller insists.
+    with pytest.raises(daily.ExportBlocked, match="unexpected_order_variance"):
+        daily.run(spark, source_root, root, SATURDAY, export_dir=f"{root}/export")
+    assert not tables.path_exists(spark, f"{root}/export")
+    first = daily.run(
+        spark, source_root, root, SATURDAY, export_dir=f"{root}/export", force=True
+    )
+    assert rows(first.controls, "test_name", "status") == [
+        ("lead_time_above_baseline", "pass"),
+        ("unexpected_order_variance", "fail"),
+        ("unsuccessful_reconciliation", "pass"),
+        ("wrong_revenue_recognition", "pass"),
+    ]
     assert rows(first.freshness, "source", "status") == [
         ("incr_order_items", "warn"), ("incr_orders", "warn"),
     ]

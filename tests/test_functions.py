@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 from decimal import Decimal
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -27,6 +28,21 @@ def test_sums_beyond_a_long_of_micros(spark):
     assert df.agg(money_sum(F.col("amount")).alias("s")).first().s == 3.6e13
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_of_large_amounts_in_any_session(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for value in (1e13, -1e13, 1234567890123.25):
+            df = spark.range(3).select(F.lit(value).alias("amount"))
+            assert df.agg(money_sum(F.col("amount")).alias("s")).first().s == 3 * value
+        beyond = spark.range(1).select(F.lit(1e19).alias("amount"))
+        with pytest.raises(Exception, match="not a number within|CAST_OVERFLOW"):
+            beyond.agg(money_sum(F.col("amount"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_sum_of_nothing_is_null(spark):
     df = spark.createDataFrame([(None,)], "amount double")
     assert df.agg(money_sum(F.col("amount")).alias("s")).first().s is None
