@@ -183,7 +183,11 @@ def score_quality(
     model = docs.sparkSession.sparkContext.broadcast(fit(rows, marks))
 
     def score(array: pa.Array) -> pa.Array:
-        scores = [model.value.score(features_of(t)) for t in raw(array)]
+        scores = [
+            model.value.score(features_of(t))
+            for at in range(0, len(array), 500)
+            for t in raw(array.slice(at, 500))
+        ]
         return pa.StructArray.from_arrays(
             [pa.array(scores, pa.float64())], names=["score"]
         )

@@ -99,15 +99,33 @@ class EliasFano:
         return (upper.astype(np.int64) << self.low_bits) | lower
 
 
+class WordMemory:
+    """Words in two generations of about ``limit`` entries: when the newer one is full it
+    becomes the older, and words that are still in use come over from there."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def missing(self, words: set[str]) -> list[str]:
+        """The words that neither generation has; the others are in ``now`` afterwards."""
+        new = [w for w in words if w not in self.now]
+        if len(self.now) + len(new) > self.limit:
+            self.before, self.now, new = self.now, {}, list(words)
+        self.now.update((w, self.before[w]) for w in new if w in self.before)
+        return [w for w in new if w not in self.now]
+
+
 class Encoder:
     """Whole texts to token ids through the tokenizers library, with a memory of words.
 
     A byte-level vocabulary never merges across a blank that a word follows, so a text may be
     cut there and each word encoded once. Texts with neighbouring white space are cut before
-    such blanks only. The memory is emptied at ``limit`` words.
+    such blanks only.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 150_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -115,18 +133,13 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         [self.newline] = self._ids(["\n"])[0]
-        self.limit = limit
-        self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str], memory: dict[str, bytes], prefix: str) -> None:
-        new = [w for w in words if w not in memory]
-        if len(memory) + len(new) > self.limit:
-            memory.clear()
-            new = list(words)
+        self.heads, self.tails = WordMemory(limit), WordMemory(limit)
+
+    def _learn(self, words: set[str], memory: WordMemory, prefix: str) -> None:
+        new = memory.missing(words)
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
-            memory.update(zip(part, self._encode_words(part, prefix), strict=True))
+            memory.now.update(zip(part, self._encode_words(part, prefix), strict=True))
 
     def _encode_words(self, words: list[str], prefix: str) -> list[bytes]:
         """Words without white space go through the tokenizer as the lines of one text, whose
@@ -161,7 +174,7 @@ class Encoder:
                 cut.append(lines)
         self._learn(heads, self.heads, "")
         self._learn(tails, self.tails, " ")
-        head, tail = self.heads.__getitem__, self.tails.__getitem__
+        head, tail = self.heads.now.__getitem__, self.tails.now.__getitem__
         newline = head("\n")
         out = []
         for parts in cut:
