@@ -196,8 +196,19 @@ def _signature_rows(n: int):
 
 
 def _leader_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (sig, node) rows to (sig, lead, node): each further node of a bucket once."""
+    """Sorted (sig, node) rows to (sig, lead, node, many): each further node of a bucket once.
+
+    ``many`` marks buckets of three nodes or more. The last row of a batch waits for the next
+    one to tell.
+    """
     last_sig = last_lead = last_node = None
+    many_sig = None  # the last bucket, once it is known to have three nodes
+    held = [np.empty(0, np.int64)] * 3
+
+    def batch_of(sig, lead, node, many):
+        columns = [pa.array(x) for x in (sig, lead, node, many)]
+        return pa.RecordBatch.from_arrays(columns, names=["sig", "lead", "node", "many"])
+
     for batch in batches:
         sig, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         if not len(sig):
@@ -213,10 +224,22 @@ def _leader_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lead = np.where(begin == 0, last_lead, lead)
         kept = new_node & (node != lead)
         last_sig, last_lead, last_node = sig[-1], lead[-1], node[-1]
-        if kept.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[kept]) for x in (sig, lead, node)], names=["sig", "lead", "node"]
-            )
+        rows = [np.concatenate([h, x[kept]]) for h, x in zip(held, (sig, lead, node), strict=True)]
+        if not len(rows[0]):
+            continue
+        same = rows[0][1:] == rows[0][:-1]
+        many = np.concatenate([[rows[0][0] == many_sig], same]) | np.concatenate([same, [False]])
+        if many[-1] or rows[0][-1] != last_sig:
+            many_sig = rows[0][-1] if many[-1] else None
+            held = [x[:0] for x in rows]
+            yield batch_of(*rows, many)
+        else:
+            many_sig = None
+            held = [x[-1:] for x in rows]
+            if len(many) > 1:
+                yield batch_of(*(x[:-1] for x in rows), many[:-1])
+    if len(held[0]):
+        yield batch_of(*held, np.array([False]))
 
 
 def _set_rows(n: int):
@@ -399,7 +422,7 @@ def near_copies(
     buckets = staged(
         signed_rows.repartition("sig")
         .sortWithinPartitions("sig", "node")
-        .mapInArrow(_leader_rows, "sig long, lead long, node long"),
+        .mapInArrow(_leader_rows, "sig long, lead long, node long, many boolean"),
         "buckets",
     )
 
@@ -422,14 +445,15 @@ def near_copies(
 
     test = F.arrow_udf(_plausible, returnType="boolean")
     starred = buckets.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    first = staged(
+    plausible = staged(
         sketched(sketched(starred, "a", "x"), "b", "y")
         .filter(test("x.size", "x.sketch", "y.size", "y.sketch"))
-        .groupBy("b")
-        .agg(F.min("a").alias("a"))
         .select("a", "b"),
-        "pairs",
+        "plausible",
     )
+    # buckets of two are done with their one pair
+    larger = staged(buckets.filter("many").select("sig", "lead", "node"), "larger")
+    first = staged(plausible.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
     labels = staged(components(verified(if_small(first), sets_of(first), percent)), "labels")
 
     def labelled(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -439,8 +463,13 @@ def near_copies(
     def crossing(best: bool) -> DataFrame:
         """Candidates between components that still share a bucket."""
         both = staged(
-            labelled(labelled(buckets, "node", "label"), "lead", "lead_label"), "labelled"
+            labelled(labelled(larger, "node", "label"), "lead", "lead_label"), "labelled"
         )
+        open_pairs = labelled(labelled(plausible, "a", "x"), "b", "y").filter("x <> y")
+        if best:
+            ends = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")]
+            open_pairs = open_pairs.groupBy(*ends).agg(F.min(F.struct("a", "b")).alias("p"))
+            open_pairs = open_pairs.select("p.*")
         split = both.filter("label <> lead_label").select("sig").distinct()
         inside = both.join(split, "sig", "left_semi")
         members = inside.select("sig", "node", "label").unionAll(
@@ -453,7 +482,8 @@ def near_copies(
             .sortWithinPartitions("sig", "node")
             .mapInArrow(_cross_pairs(best), "a long, b long")
         )
-        return staged(pairs.distinct(), "pairs")
+        ordered = open_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return staged(pairs.unionByName(ordered).distinct(), "pairs")
 
     # One pair of every two components at a time while that joins some, then all pairs.
     best = True

@@ -455,3 +455,26 @@ def test_no_python_in_the_native_plan(spark):
 def test_shingles_of_short_texts():
     assert len(shingles(word_hashes([b"a", b"b"]), 5)) == 1
     assert len(shingles(word_hashes([]), 5)) == 0
+
+
+def test_bucket_leaders_in_any_batches():
+    import pyarrow as pa
+
+    from ledgermill.llm.near import _leader_rows
+
+    chance = random.Random(9)
+    rows = sorted((chance.randint(0, 12), chance.randint(0, 5)) for _ in range(90))
+    expected = []
+    for sig, group in itertools.groupby(rows, key=lambda r: r[0]):
+        nodes = sorted({n for _, n in group})
+        expected += [(sig, nodes[0], n, len(nodes) > 2) for n in nodes[1:]]
+    for size in (1, 2, 3, 7, 90):
+        batches = (
+            pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows[at : at + size]], pa.int64()) for i in (0, 1)],
+                names=["sig", "node"],
+            )
+            for at in range(0, len(rows), size)
+        )
+        found = [tuple(r.values()) for b in _leader_rows(batches) for r in b.to_pylist()]
+        assert found == expected, size
