@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from ledgermill.llm.components import components
 from ledgermill.llm.text import (
     MIX,
+    bound_batches,
     if_small,
     mixed,
     plain_words,
@@ -400,6 +401,7 @@ def near_copies(
     """
     if percent < 75:
         raise ValueError("the signatures are laid out for a similarity of 0.75 or more")
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     id_type = dict(texts.dtypes)["id"]
     rows = staged(

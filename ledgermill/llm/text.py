@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The white space of the word counts: space and \t \n \v \f \r.
@@ -17,6 +17,8 @@ _ALNUM = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 32
     for c in range(256)
 )
+BATCH_ROWS = 2000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BROADCAST_ROWS = 1_000_000  # rows of a few numbers each
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -80,6 +82,16 @@ def md5_text(*parts: Column) -> Column:
     return F.md5(F.concat_ws("/", *[F.coalesce(p.cast("string"), F.lit("null")) for p in parts]))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Keep the Arrow batches that travel to Python small, unless the session says otherwise.
+
+    Batches are cut by rows; texts may be long, and Spark's 10,000 of them fill both sides of
+    the pipe.
+    """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, str(BATCH_ROWS))
+
+
 def with_results(
     df: DataFrame, inputs: Iterable[str], function: Callable[..., pa.Array], fields: str
 ) -> DataFrame:
@@ -88,6 +100,7 @@ def with_results(
     Only ``inputs`` travel to Python; the other columns stay in the JVM. A column of the
     input that has the name of a result is replaced.
     """
+    bound_batches(df.sparkSession)
     names = [part.split()[0] for part in fields.split(",")]
     udf = F.arrow_udf(function, returnType=f"struct<{fields.replace(' ', ':').replace(',:', ',')}>")
     made = df.withColumn("__made", udf.asNondeterministic()(*[F.col(c) for c in inputs]))

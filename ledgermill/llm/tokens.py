@@ -21,6 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgermill.llm.text import bound_batches
+
 BLOCK_IDS = 1 << 20
 _HEADER = struct.Struct("<4sBIQ")
 _MAGIC = b"EFB1"
@@ -135,6 +137,10 @@ class Encoder:
         [self.newline] = self._ids(["\n"])[0]
         self.heads, self.tails = WordMemory(limit), WordMemory(limit)
 
+    def forget(self) -> None:
+        """Drop the remembered words, so that an idle worker holds no memory for them."""
+        self.heads, self.tails = WordMemory(self.heads.limit), WordMemory(self.tails.limit)
+
     def _learn(self, words: set[str], memory: WordMemory, prefix: str) -> None:
         new = memory.missing(words)
         for i in range(0, len(new), 20_000):
@@ -228,6 +234,7 @@ def _packed(tokenizer_path: str, end_id: int, block_ids: int, id_type: pa.DataTy
                     number, start, held, names, lengths = number + 1, start + size, [], [], []
         if names:
             yield block()[0]
+        own.forget()
 
     return pack
 
@@ -249,6 +256,7 @@ def write_tokens(
     Other columns are ignored.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     ordered = (
