@@ -127,7 +127,7 @@ class Encoder:
     such blanks only.
     """
 
-    def __init__(self, path: str, limit: int = 150_000):
+    def __init__(self, path: str, limit: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -137,10 +137,6 @@ class Encoder:
         [self.newline] = self._ids(["\n"])[0]
         self.heads, self.tails = WordMemory(limit), WordMemory(limit)
 
-    def forget(self) -> None:
-        """Drop the remembered words, so that an idle worker holds no memory for them."""
-        self.heads, self.tails = WordMemory(self.heads.limit), WordMemory(self.tails.limit)
-
     def _learn(self, words: set[str], memory: WordMemory, prefix: str) -> None:
         new = memory.missing(words)
         for i in range(0, len(new), 20_000):
@@ -234,7 +230,6 @@ def _packed(tokenizer_path: str, end_id: int, block_ids: int, id_type: pa.DataTy
                     number, start, held, names, lengths = number + 1, start + size, [], [], []
         if names:
             yield block()[0]
-        own.forget()
 
     return pack
 
