@@ -22,6 +22,7 @@ WHITE_SPACE = (
 )
 WORD = re.compile(f"[^{WHITE_SPACE}]+")
 WORD_START = "▁"
+UNKNOWN_UNIT = 1 << 40  # above the pieces of any one text; Python's integers do not overflow
 
 
 def sentencepiece_vocabulary(path: str) -> list[tuple[str, float]]:
@@ -52,41 +53,75 @@ class CountOnlyViterbi:
 
     def count(self, word: str) -> tuple[int, int]:
         """(pieces, of them unknown)."""
+        return unpacked(self.packed_count(word))
+
+    def packed_count(self, word: str) -> int:
+        """Pieces plus ``UNKNOWN_UNIT`` times the unknown ones.
+
+        The automaton names the pieces that end at a character from the longest to the
+        shortest, so they are used as they come.
+        """
         size = len(word)
-        ends: list[list[tuple[int, float, bool]]] = [[] for _ in range(size + 1)]
-        for last, piece in self.automaton.iter(word):
-            ends[last + 1].append(piece)
-        scores, counts = [0.0] * (size + 1), [0] * (size + 1)
-        unknowns, is_unknown = [0] * (size + 1), [False] * (size + 1)
-        for end in range(1, size + 1):
-            best = None
-            pieces = sorted(ends[end], key=lambda p: -p[0])
-            if not pieces or pieces[-1][0] != 1:
-                pieces.append((1, self.unknown_score, True))
-            for length, score, unknown in pieces:
-                start = end - length
-                total = scores[start] + score
-                if best is None or total > best:
-                    best = total
-                    joined = unknown and is_unknown[start]
-                    counts[end] = counts[start] + (not joined)
-                    unknowns[end] = unknowns[start] + (unknown and not joined)
-                    is_unknown[end] = unknown
-            scores[end] = best
-        return counts[size], unknowns[size]
+        scores, counts, is_unknown = [0.0] * (size + 1), [0] * (size + 1), [False] * (size + 1)
+
+        def try_unknown(end: int, best: float, score: float, length: int = 1) -> float:
+            start = end - length
+            total = scores[start] + score
+            if total > best:
+                scores[end] = best = total
+                counts[end] = counts[start] + (not is_unknown[start]) * (1 + UNKNOWN_UNIT)
+                is_unknown[end] = True
+            return best
+
+        worst = float("-inf")
+        end, best, has_single = 0, 0.0, True
+        for last, (length, score, unknown) in self.automaton.iter(word):
+            if last >= end:
+                if not has_single:
+                    try_unknown(end, best, self.unknown_score)
+                for skipped in range(end + 1, last + 1):
+                    try_unknown(skipped, worst, self.unknown_score)
+                end, best, has_single = last + 1, worst, False
+            if length == 1:
+                has_single = True
+            if unknown:
+                best = try_unknown(end, best, score, length)
+                continue
+            start = end - length
+            total = scores[start] + score
+            if total > best:
+                scores[end] = best = total
+                counts[end] = counts[start] + 1
+                is_unknown[end] = False
+        if not has_single:
+            try_unknown(end, best, self.unknown_score)
+        for skipped in range(end + 1, size + 1):
+            try_unknown(skipped, worst, self.unknown_score)
+        return counts[size]
+
+
+def unpacked(packed: int) -> tuple[int, int]:
+    """(pieces, of them unknown); sums of packed counts unpack to the sums of both."""
+    return packed % UNKNOWN_UNIT, packed // UNKNOWN_UNIT
 
 
 class WordCounts(dict):
-    """Counts per word, kept between batches; emptied when it holds ``limit`` words."""
+    """Packed counts per word, kept between batches in two generations of ``limit`` words: when
+    the newer one is full it becomes the older, and words still in use come over from there."""
 
-    def __init__(self, viterbi: CountOnlyViterbi, limit: int = 400_000):
+    def __init__(self, viterbi: CountOnlyViterbi, limit: int = 300_000):
         super().__init__()
         self.viterbi, self.limit = viterbi, limit
+        self.before: dict[str, int] = {}
 
-    def __missing__(self, word: str) -> tuple[int, int]:
+    def __missing__(self, word: str) -> int:
         if len(self) >= self.limit:
+            self.before = dict(self)
             self.clear()
-        value = self[word] = self.viterbi.count(WORD_START + word)
+        value = self.before.get(word)
+        if value is None:
+            value = self.viterbi.packed_count(WORD_START + word)
+        self[word] = value
         return value
 
 
@@ -113,9 +148,10 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, text_column: str = "text
         counter = _counter(name)
         totals, unknowns, words = [], [], []
         for text in array.to_pylist():
-            found = [counter[w] for w in WORD.findall(text or "")]
-            totals.append(sum(n for n, _ in found))
-            unknowns.append(sum(u for _, u in found))
+            found = WORD.findall(text or "")
+            pieces, unknown = unpacked(sum(map(counter.__getitem__, found)))
+            totals.append(pieces)
+            unknowns.append(unknown)
             words.append(len(found))
         return pa.StructArray.from_arrays(
             [pa.array(x, pa.int64()) for x in (totals, unknowns, words)],
