@@ -16,7 +16,13 @@ from pyspark.sql import functions as F
 from check import bag
 from ledgermill.llm import queries as Q
 from ledgermill.llm import tables
-from ledgermill.llm.counts import CountOnlyViterbi, count_tokens, sentencepiece_vocabulary
+from ledgermill.llm.counts import (
+    CountOnlyViterbi,
+    WordCounts,
+    count_tokens,
+    sentencepiece_vocabulary,
+    unpacked,
+)
 from ledgermill.llm.decontaminate import find_contamination, without_documents, without_spans
 from ledgermill.llm.extract import extract_main_text, main_text
 from ledgermill.llm.mixing import apportion, capped_targets, mix_sources
@@ -139,6 +145,16 @@ def test_counts_on_ties_and_unknown_characters():
             assert own.count("▁" + word)[0] == len(whole.encode(word).ids), word
 
 
+def test_remembered_counts_equal_fresh_ones():
+    rng = random.Random(5)
+    viterbi = CountOnlyViterbi([("<unk>", 0.0), ("▁", -2.0), ("a", -1.0), ("ab", -2.0), ("▁b", -3.0)])
+    counter = WordCounts(viterbi, limit=7)
+    for _ in range(2000):
+        word = "".join(rng.choice("ab☃") for _ in range(rng.randint(1, 5)))
+        assert unpacked(counter[word]) == viterbi.count("▁" + word)
+        assert len(counter) <= 7 and len(counter.before) <= 7
+
+
 def test_counts_of_nothing(nothing):
     assert count_tokens(nothing, PIECES).count() == 0
 
