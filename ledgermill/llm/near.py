@@ -10,16 +10,19 @@ Steps:
 1. Every text becomes its set of shingles; texts with equal sets are one node.
 2. Signatures are shuffled and sorted; each bucket links its members to its first one.
 3. One such candidate per node is verified on the sets; components of the links follow.
-4. While buckets hold several components, the closest pair of every two is verified; when no
+4. In one of ``PROBE`` buckets, dealt into chunks of bounded size, the closest other component
+   of every component is tried. This joins groups whose copies differ from their first one.
+5. While buckets hold several components, the closest pair of every two is verified; when no
    more of them join, all pairs between components that are left are.
 
 Sizes and parity sketches rule out pairs before that, and both tests lose nothing. Dense
-groups of copies cost about one verification per member, not one per pair.
+groups of copies cost a few verifications per member, not one per pair. The probe only joins
+early what the last step would join too.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import combinations
 
@@ -47,6 +50,8 @@ LEVEL_RATIO = 16 / 9
 SLACK = 1.2  # more partitions than the bound needs, so that empty ones are never needed
 SUBSETS_UP_TO = 256  # sets up to this size use pairs out of three partitions
 FIRST_SIZE = 3  # distinct smaller sets cannot reach 3/4
+PROBE = 8  # one of so many buckets is probed for near components
+CHUNK = 512  # members of a bucket that are probed together
 PER_SALT = 4096  # candidates of one node that are verified in one group
 
 
@@ -321,67 +326,95 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _bucket_pairs(members: list[tuple], best: bool) -> np.ndarray:
-    """Pairs of members of different components that may be similar, as rows (a, b).
-
-    ``best`` keeps the closest pair by sketch of every two components.
-    """
+def _bucket_pairs(members: list[tuple]) -> np.ndarray:
+    """Pairs of members of different components that may be similar, as rows
+    (smaller node, larger node, differing sketch bits, smaller label, larger label)."""
+    if len(members) < 2:
+        return np.empty((0, 5), np.int64)
     members.sort(key=lambda m: m[1])
     nodes, sizes, labels = (np.array([m[i] for m in members], np.int64) for i in range(3))
     width = min(len(m[3]) for m in members)
-    bits = np.stack([folded(m[3], width) for m in members])
+    bits = np.stack([folded(m[3], width) for m in members]).view(np.uint64)
+    starts = np.searchsorted(sizes, -(-3 * sizes // 4))
+    ends = np.searchsorted(sizes, 4 * sizes // 3, side="right")
+    names, number = np.unique(labels, return_counts=True)
+    main = labels == names[number.argmax()]  # only the others look for partners
     found = []
-    for i in range(len(members) - 1):
-        end = int(np.searchsorted(sizes, 4 * sizes[i] // 3, side="right"))
-        j = np.arange(i + 1, end)
-        j = j[labels[j] != labels[i]]
+    for i in np.flatnonzero(~main):
+        j = np.arange(starts[i], ends[i])
+        j = j[(labels[j] != labels[i]) & (main[j] | (j > i))]
         if len(j):
             apart = np.bitwise_count(bits[j] ^ bits[i]).sum(1, dtype=np.int64)
             ok = 7 * apart <= sizes[i] + sizes[j]
-            j, apart = j[ok], apart[ok]
-        if best and len(j):
-            order = np.argsort(apart, kind="stable")
-            _, first = np.unique(labels[j[order]], return_index=True)
-            j, apart = j[order[first]], apart[order[first]]
-        if len(j):
-            found.append(np.stack([np.full(len(j), i), j, apart], 1))
+            if ok.any():
+                found.append(np.stack([np.full(int(ok.sum()), i), j[ok], apart[ok]]))
     if not found:
-        return np.empty((0, 2), np.int64)
-    i, j, apart = np.concatenate(found).T
-    if best:
-        low, high = np.minimum(labels[i], labels[j]), np.maximum(labels[i], labels[j])
-        order = np.lexsort((apart, high, low))
-        ends = np.stack([low, high], 1)[order]
-        first = np.concatenate([[True], (ends[1:] != ends[:-1]).any(1)])
-        i, j = i[order[first]], j[order[first]]
-    return np.stack([np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j])], 1)
+        return np.empty((0, 5), np.int64)
+    i, j, apart = np.concatenate(found, axis=1)
+    x, y, p, q = nodes[i], nodes[j], labels[i], labels[j]
+    ends = np.minimum(x, y), np.maximum(x, y), apart, np.minimum(p, q), np.maximum(p, q)
+    return np.stack(ends, 1)
+
+
+def _closest(pairs: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """The rows of ``pairs`` with the fewest differing bits for each combination of ``keys``."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0], pairs[:, 2], *keys))
+    ends = np.stack(keys, 1)[order]
+    first = np.concatenate([[True], (ends[1:] != ends[:-1]).any(1)])
+    return pairs[order[first]]
+
+
+def _nearest(pairs: np.ndarray) -> np.ndarray:
+    """For each component the closest pair with any other one."""
+    if not len(pairs):
+        return pairs
+    ends = np.concatenate([pairs[:, 3], pairs[:, 4]])
+    return _every(_closest(np.concatenate([pairs, pairs]), ends))
+
+
+def _best(pairs: np.ndarray) -> np.ndarray:
+    """For every two components their closest pair."""
+    return _closest(pairs, pairs[:, 3], pairs[:, 4]) if len(pairs) else pairs
 
 
-def _cross_pairs(best: bool):
-    """Rows sorted by sig (sig, node, size, label, sketch) to distinct pairs (a, b)."""
+def _every(pairs: np.ndarray) -> np.ndarray:
+    return np.unique(pairs, axis=0)
+
+
+def _cross_pairs(keep: Callable, chunk: int | None = None):
+    """Rows sorted by sig (sig, node, size, label, sketch) to pairs (a, b, apart, x, y).
+
+    ``keep`` picks pairs from those of a bucket and again from those of many buckets;
+    ``chunk`` cuts buckets into parts of that size.
+    """
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch_of(found):
-            pairs = np.unique(np.concatenate(found), axis=0)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.ascontiguousarray(c)) for c in pairs.T], names=["a", "b"]
-            )
+            columns = [pa.array(np.ascontiguousarray(c)) for c in found.T]
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "apart", "x", "y"])
+
+        sig, members, found = None, [], np.empty((0, 5), np.int64)
+        fresh, held = [], 0
+
+        def gather():
+            nonlocal found, fresh, held
+            found, fresh, held = keep(np.concatenate([found, *fresh])), [], 0
 
-        sig, members, found, held = None, [], [], 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[0] != sig:
-                    if len(members) > 1:
-                        found.append(_bucket_pairs(members, best))
-                        held += len(found[-1])
+                if row[0] != sig or len(members) == chunk:
+                    fresh.append(keep(_bucket_pairs(members)))
+                    held += len(fresh[-1])
                     sig, members = row[0], []
-                    if held > 500_000:
-                        yield batch_of(found)
-                        found, held = [], 0
+                    if held > 250_000 or len(fresh) > 10_000:
+                        gather()
+                        if len(found) > 250_000:  # little was repeated
+                            yield batch_of(found)
+                            found = found[:0]
                 members.append(row[1:])
-        if len(members) > 1:
-            found.append(_bucket_pairs(members, best))
-        if found:
+        fresh.append(keep(_bucket_pairs(members)))
+        gather()
+        if len(found):
             yield batch_of(found)
 
     return cross
@@ -462,42 +495,57 @@ def near_copies(
         found = labels.select(F.col("node").alias(column), F.col("component").alias(name))
         return df.join(found, column, "left").withColumn(name, F.coalesce(name, column))
 
-    def crossing(best: bool) -> DataFrame:
-        """Candidates between components that still share a bucket."""
+    def crossing(buckets: DataFrame, keep: Callable, chunk: int | None = None) -> DataFrame:
+        """Candidates (a, b, apart, x, y) between components x and y that share a bucket."""
         both = staged(
-            labelled(labelled(larger, "node", "label"), "lead", "lead_label"), "labelled"
+            labelled(labelled(buckets, "node", "label"), "lead", "lead_label"), "labelled"
         )
-        open_pairs = labelled(labelled(plausible, "a", "x"), "b", "y").filter("x <> y")
-        if best:
-            ends = [F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")]
-            open_pairs = open_pairs.groupBy(*ends).agg(F.min(F.struct("a", "b")).alias("p"))
-            open_pairs = open_pairs.select("p.*")
         split = both.filter("label <> lead_label").select("sig").distinct()
         inside = both.join(split, "sig", "left_semi")
         members = inside.select("sig", "node", "label").unionAll(
             inside.select("sig", F.col("lead"), F.col("lead_label")).distinct()
         )
-        pairs = (
+        return (
             sketched(members, "node", "x")
             .select("sig", "node", "x.size", "label", "x.sketch")
             .repartition("sig")
-            .sortWithinPartitions("sig", "node")
-            .mapInArrow(_cross_pairs(best), "a long, b long")
+            .sortWithinPartitions("sig", F.xxhash64("sig", "node"))
+            .mapInArrow(_cross_pairs(keep, chunk), "a long, b long, apart long, x long, y long")
+        )
+
+    def open_pairs() -> DataFrame:
+        """The pairs of step 2 that still lie between components."""
+        found = labelled(labelled(plausible, "a", "x"), "b", "y").filter("x <> y")
+        return found.select(
+            F.least("a", "b").alias("a"),
+            F.greatest("a", "b").alias("b"),
+            F.lit(2**40).alias("apart"),
+            F.least("x", "y").alias("x"),
+            F.greatest("x", "y").alias("y"),
         )
-        ordered = open_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        return staged(pairs.unionByName(ordered).distinct(), "pairs")
 
-    # One pair of every two components at a time while that joins some, then all pairs.
-    best = True
-    while not (pairs := crossing(best)).isEmpty():
+    def join_components(pairs: DataFrame) -> bool:
+        """Verify pairs (a, b) and join the components that they link; whether any did."""
+        nonlocal labels
+        pairs = staged(pairs, "pairs")
+        if pairs.isEmpty():
+            return False
         more = staged(verified(if_small(pairs), sets_of(pairs), percent), "links")
-        joins = not more.isEmpty()
-        if joins:
-            known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            labels = staged(components(known.unionAll(more)), "labels")
-        if not best:
-            break
-        best = joins
+        if more.isEmpty():
+            return False
+        known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = staged(components(known.unionAll(more)), "labels")
+        return True
+
+    def closest_pairs() -> DataFrame:
+        pairs = crossing(larger, _best).unionByName(open_pairs())
+        return pairs.groupBy("x", "y").agg(F.min(F.struct("apart", "a", "b")).alias("p"))
+
+    probe = larger.filter(F.pmod(F.xxhash64("sig"), F.lit(PROBE)) == 0)
+    join_components(crossing(probe, _nearest, CHUNK).select("a", "b").distinct())
+    while join_components(closest_pairs().select("p.a", "p.b")):
+        pass
+    join_components(crossing(larger, _every).unionByName(open_pairs()).select("a", "b").distinct())
     final = labels.withColumnRenamed("component", "found")
     found = nodes.select("node", F.col("id").alias("least")).join(final, "node", "left")
     found = found.withColumn("found", F.coalesce("found", "node"))
