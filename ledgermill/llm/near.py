@@ -12,8 +12,8 @@ Steps:
 3. One such candidate per node is verified on the sets; components of the links follow.
 4. In one of ``PROBE`` buckets, dealt into chunks of bounded size, the closest other component
    of every component is tried. This joins groups whose copies differ from their first one.
-5. While buckets hold several components, the closest pair of every two is verified; when no
-   more of them join, all pairs between components that are left are.
+5. Where buckets hold several components, the closest pair of every two is verified, then all
+   pairs of those components that had such a pair and are still apart.
 
 Sizes and parity sketches rule out pairs before that, and both tests lose nothing. Dense
 groups of copies cost a few verifications per member, not one per pair. The probe only joins
@@ -52,6 +52,7 @@ SUBSETS_UP_TO = 256  # sets up to this size use pairs out of three partitions
 FIRST_SIZE = 3  # distinct smaller sets cannot reach 3/4
 PROBE = 8  # one of so many buckets is probed for near components
 CHUNK = 512  # members of a bucket that are probed together
+PER_TASK = 50_000  # rows of one component's buckets that are sent to one task
 PER_SALT = 4096  # candidates of one node that are verified in one group
 
 
@@ -495,21 +496,33 @@ def near_copies(
         found = labels.select(F.col("node").alias(column), F.col("component").alias(name))
         return df.join(found, column, "left").withColumn(name, F.coalesce(name, column))
 
-    def crossing(buckets: DataFrame, keep: Callable, chunk: int | None = None) -> DataFrame:
-        """Candidates (a, b, apart, x, y) between components x and y that share a bucket."""
+    def crossing(
+        buckets: DataFrame, keep: Callable, chunk: int | None = None, among: DataFrame | None = None
+    ) -> DataFrame:
+        """Candidates (a, b, apart, x, y) between components x and y that share a bucket.
+
+        Buckets led by one component share tasks, as many as their rows need, so that a pair
+        which meets in many buckets is rarely sent on twice. ``among`` lists the components
+        (column label) to look at; all of them if it is None.
+        """
         both = staged(
             labelled(labelled(buckets, "node", "label"), "lead", "lead_label"), "labelled"
         )
         split = both.filter("label <> lead_label").select("sig").distinct()
         inside = both.join(split, "sig", "left_semi")
-        members = inside.select("sig", "node", "label").unionAll(
-            inside.select("sig", F.col("lead"), F.col("lead_label")).distinct()
+        members = inside.select("sig", "node", "label", "lead_label").unionAll(
+            inside.select("sig", "lead", F.col("lead_label").alias("label"), "lead_label").distinct()
         )
+        if among is not None:
+            members = members.join(among, "label", "left_semi")
+        tasks = members.groupBy("lead_label").agg(F.ceil(F.count("*") / PER_TASK).alias("tasks"))
+        turn = F.pmod(F.xxhash64("sig"), "tasks")
+        spread = members.join(tasks, "lead_label").withColumn("task", F.xxhash64("lead_label", turn))
         return (
-            sketched(members, "node", "x")
-            .select("sig", "node", "x.size", "label", "x.sketch")
-            .repartition("sig")
+            sketched(spread, "node", "x")
+            .repartition("task")
             .sortWithinPartitions("sig", F.xxhash64("sig", "node"))
+            .select("sig", "node", "x.size", "label", "x.sketch")
             .mapInArrow(_cross_pairs(keep, chunk), "a long, b long, apart long, x long, y long")
         )
 
@@ -524,28 +537,30 @@ def near_copies(
             F.greatest("x", "y").alias("y"),
         )
 
-    def join_components(pairs: DataFrame) -> bool:
-        """Verify pairs (a, b) and join the components that they link; whether any did."""
+    def join_components(pairs: DataFrame) -> None:
+        """Verify pairs (a, b) and join the components that they link."""
         nonlocal labels
-        pairs = staged(pairs, "pairs")
-        if pairs.isEmpty():
-            return False
         more = staged(verified(if_small(pairs), sets_of(pairs), percent), "links")
-        if more.isEmpty():
-            return False
-        known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        labels = staged(components(known.unionAll(more)), "labels")
-        return True
-
-    def closest_pairs() -> DataFrame:
-        pairs = crossing(larger, _best).unionByName(open_pairs())
-        return pairs.groupBy("x", "y").agg(F.min(F.struct("apart", "a", "b")).alias("p"))
+        if not more.isEmpty():
+            known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            labels = staged(components(known.unionAll(more)), "labels")
 
     probe = larger.filter(F.pmod(F.xxhash64("sig"), F.lit(PROBE)) == 0)
-    join_components(crossing(probe, _nearest, CHUNK).select("a", "b").distinct())
-    while join_components(closest_pairs().select("p.a", "p.b")):
-        pass
-    join_components(crossing(larger, _every).unionByName(open_pairs()).select("a", "b").distinct())
+    nearest = staged(crossing(probe, _nearest, CHUNK).select("a", "b").distinct(), "pairs")
+    if not nearest.isEmpty():
+        join_components(nearest)
+    closest = crossing(larger, _best).unionByName(open_pairs())
+    closest = closest.groupBy("x", "y").agg(F.min(F.struct("apart", "a", "b")).alias("p"))
+    closest = staged(closest.select("x", "y", "p.a", "p.b"), "pairs")
+    if not closest.isEmpty():
+        join_components(closest.select("a", "b"))
+        # components without such a pair have no candidates at all, and joins add none
+        apart = labelled(labelled(closest, "x", "p"), "y", "q").filter("p <> q")
+        among = staged(apart.select(F.explode(F.array("p", "q")).alias("label")).distinct(), "apart")
+        every = crossing(larger, _every, among=if_small(among)).unionByName(open_pairs())
+        every = staged(every.select("a", "b").distinct(), "pairs")
+        if not every.isEmpty():
+            join_components(every)
     final = labels.withColumnRenamed("component", "found")
     found = nodes.select("node", F.col("id").alias("least")).join(final, "node", "left")
     found = found.withColumn("found", F.coalesce("found", "node"))
