@@ -10,6 +10,7 @@ Equal vectors are one node, so a vector that a third of the rows share costs one
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +22,25 @@ from ledgermill.session import staged
 LINKS = 20  # links per node
 SAMPLED = 10  # links per node and direction that one join brings together
 PROPOSED = 6  # best partners that a join proposes to each of its members
-ROUNDS = 6
 ENOUGH = 0.002  # stop when fewer links than this share were replaced
 TREES = 3
 BLOCK = 64
-SAMPLE_ROWS = 4096  # bound of the sample that trees and entry points are fitted on
-TREE_DEPTH = 8
+SAMPLE_ROWS = 4096  # least size of the sample that trees and entry points are fitted on
+LEAF_SAMPLE = 16  # rows of the sample per leaf
+MOST_DEPTH = 12  # bounds the sample at 65,536 rows
 ENTRIES = 512
-BEAM = 48
-EXPANDED = 16
-SEARCH_ROUNDS = 40
+BEAM = 48  # least beam; it grows with the root of the number of nodes
+BEAM_GROWTH = 2.0
+EXPANDED = 16  # least number of nodes that a query expands at once, else an eighth of the beam
+
+
+def tree_depth(nodes: int) -> int:
+    """The depth at which a leaf holds about one block."""
+    return min(MOST_DEPTH, max(1, round(np.log2(max(1, nodes) / BLOCK))))
+
+
+def beam_width(nodes: int, k: int) -> int:
+    return max(BEAM, 2 * k + 2, int(np.ceil(BEAM_GROWTH * np.sqrt(nodes))))
 
 
 def _distances(xs: pa.Array, ys: pa.Array) -> pa.Array:
@@ -61,10 +71,10 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     return rows.filter(F.size("vector") == (length.n if length else 0))
 
 
-def _trees(sample: np.ndarray, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _trees(sample: np.ndarray, seed: int, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per tree, directions and thresholds of its inner nodes in heap order."""
     generator, out = np.random.default_rng(seed), []
-    size = (1 << TREE_DEPTH) - 1
+    size = (1 << depth) - 1
     for _ in range(TREES):
         directions = np.zeros((size, sample.shape[1]))
         thresholds = np.zeros(size)
@@ -89,13 +99,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.astype(np.float64).reshape(len(column), -1)
 
 
-def _leaves(trees):
+def _leaves(trees, depth: int):
     def leaves(vectors: pa.Array) -> pa.Array:
         x = _matrix(vectors)
         leaf_columns, along_columns = [], []
         for directions, thresholds in trees.value:
             at = np.zeros(len(x), np.int64)
-            for _ in range(TREE_DEPTH):
+            for _ in range(depth):
                 along = np.einsum("nd,nd->n", x, directions[at])
                 at = 2 * at + 1 + (along > thresholds[at])
             leaf_columns.append(at)
@@ -257,23 +267,28 @@ class NeighbourIndex:
             F.min("id").alias("node"), F.array_sort(F.collect_list("id")).alias("ids")
         )
         self.nodes = staged(grouped.select("node", "ids", F.col("k.vector").alias("vector")), "nodes")
+        self.count = self.nodes.count()
+        wanted = max(SAMPLE_ROWS, LEAF_SAMPLE << tree_depth(self.count))
         sample = (
-            self.nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE_ROWS).select("node", "vector")
+            self.nodes.orderBy(F.xxhash64("node"), "node").limit(wanted).select("node", "vector")
         ).toArrow()
         self.sample = sample
         self.graph = self._build(seed)
 
     def _points(self, limit: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and vectors of the first rows of the bounded sample."""
-        rows = self.sample.slice(0, limit).to_pylist()
-        vectors = np.array([r["vector"] for r in rows] or np.empty((0, 1)), np.float64)
-        return np.array([r["node"] for r in rows], np.int64), vectors
+        rows = self.sample.slice(0, limit).combine_chunks()
+        if not rows.num_rows:
+            return np.empty(0, np.int64), np.empty((0, 1))
+        ids, vectors = (rows.column(n).combine_chunks() for n in ("node", "vector"))
+        return ids.to_numpy(zero_copy_only=False).astype(np.int64), _matrix(vectors)
 
     def _build(self, seed: int) -> DataFrame:
-        points = self._points(SAMPLE_ROWS)[1]
-        trees = self.spark.sparkContext.broadcast(_trees(points, seed))
+        points, depth = self._points(self.sample.num_rows)[1], tree_depth(self.count)
+        trees = self.spark.sparkContext.broadcast(_trees(points, seed, depth))
         placed = staged(
-            self.nodes.select("node", "vector", _leaves(trees)("vector").alias("place")), "leaves"
+            self.nodes.select("node", "vector", _leaves(trees, depth)("vector").alias("place")),
+            "leaves",
         )
         starts = None
         for tree in range(TREES):
@@ -289,12 +304,11 @@ class NeighbourIndex:
             starts = edges if starts is None else starts.unionAll(edges)
         vectors = self.nodes.select("node", "vector")
         graph = staged(_best_links(starts.withColumn("fresh", F.lit(True)).repartition("a")), "graph")
-        for number in range(ROUNDS):
+        for number in count():  # ends: links only get nearer, and each is tried once
             graph = staged(_descent_round(vectors, graph, number), "graph")
             fresh, links = graph.agg(F.count_if("fresh"), F.count("*")).first()
             if fresh <= ENOUGH * links:
-                break
-        return graph
+                return graph
 
     def _walkable(self) -> DataFrame:
         """Links in both directions, the nearest twice LINKS of each node."""
@@ -316,16 +330,19 @@ class NeighbourIndex:
         near = asked.select("q", "qv", entry.alias("node")).join(nodes, "node").select(
             "q", "node", _distance("qv", "vector").alias("d")
         )
-        own = asked.join(self.rows.select(F.col("id").alias("q")), "q").join(
-            self.nodes.select(F.explode("ids").alias("q"), "node"), "q"
+        # the node of an equal vector, however many rows share it
+        kind = dict(nodes.dtypes)["vector"]
+        own = asked.join(nodes, F.col("qv").cast(kind) == F.col("vector")).select(
+            "q", "node", _distance("qv", "vector").alias("d")
         )
-        start = near.unionByName(own.select("q", "node", F.lit(0.0).alias("d")))
+        start = near.unionByName(own)
         start = start.groupBy("q", "node").agg(F.min("d").alias("d"))
         seen = staged(start.withColumn("done", F.lit(False)), "walked")
-        beam = max(BEAM, 2 * k + 2)
-        for _ in range(SEARCH_ROUNDS):
+        beam = beam_width(self.count, k)
+        expanded_at_once = max(EXPANDED, beam // 8)
+        while True:  # ends: every round expands nodes that were not
             closest = _nearest(seen, "q", ["d", "node"], beam)
-            front = _nearest(closest.filter("not done"), "q", ["d", "node"], EXPANDED)
+            front = _nearest(closest.filter("not done"), "q", ["d", "node"], expanded_at_once)
             front = front.select("q", "node")
             if front.isEmpty():
                 break

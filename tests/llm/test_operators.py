@@ -10,6 +10,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -436,6 +437,45 @@ def test_neighbours(spark):
     ]
 
 
+def test_neighbours_of_many_rows(spark):
+    points = np.random.default_rng(1).normal(size=(20_000, 64)).astype(np.float32)
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    table = spark.createDataFrame(
+        pa.table({"vec_id": np.arange(len(points)), "embedding": pa.array(list(points))})
+    )
+    index = NeighbourIndex(table)
+    found = index.search(index.rows.filter("id % 200 = 0"), k=10).collect()
+    asked = np.arange(0, len(points), 200)
+    exact = points.astype(np.float64)
+    hits = 0
+    for block in np.split(asked, 10):
+        apart = ((exact[block][:, None, :8] - exact[:, :8]) ** 2).sum(2)
+        for at in range(8, 64, 8):
+            apart += ((exact[block][:, None, at : at + 8] - exact[:, at : at + 8]) ** 2).sum(2)
+        apart[np.arange(len(block)), block] = np.inf
+        for query, near in zip(block, np.argsort(apart, axis=1)[:, :10], strict=True):
+            hits += len(set(near.tolist()) & {r.vec_id for r in found if r.query_id == query})
+    assert hits >= 0.9 * 10 * len(asked)
+
+
+def test_queries_start_from_an_equal_vector(spark, monkeypatch):
+    from ledgermill.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "ENTRIES", 0)  # nothing else leads to it
+    points = np.random.default_rng(6).normal(size=(200, 8))
+    points[20:60] = points[20]
+    table = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)],
+                                  "vec_id long, embedding array<double>")
+    index = NeighbourIndex(table)
+    queries = index.rows.filter("id = 55").unionByName(
+        spark.createDataFrame([(-1, points[20].tolist())], "id long, vector array<double>")
+    )
+    found = index.search(queries, k=10).collect()
+    for query in (55, -1):
+        own = sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == query)
+        assert own == [(i + 1, 20 + i, 0.0) for i in range(10)]
+
+
 def test_neighbours_of_nothing(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     index = NeighbourIndex(table)
