@@ -52,6 +52,7 @@ SUBSETS_UP_TO = 256  # sets up to this size use pairs out of three partitions
 FIRST_SIZE = 3  # distinct smaller sets cannot reach 3/4
 PROBE = 8  # one of so many buckets is probed for near components
 CHUNK = 512  # members of a bucket that are probed together
+SIDE = 4096  # comparisons of a larger bucket than SIDE x SIDE are dealt into chunk pairs
 PER_TASK = 50_000  # rows of one component's buckets that are sent to one task
 PER_SALT = 4096  # candidates of one node that are verified in one group
 
@@ -94,14 +95,49 @@ def _combinations(level: int) -> list[tuple[tuple[int, ...], np.ndarray]]:
     ]
 
 
+def _left_out(contents: np.ndarray, most: int) -> np.ndarray:
+    """The sums of ``contents`` with each choice of up to ``most`` of them left out."""
+    total = contents.sum(dtype=np.uint64)
+    sums = [np.array([total])]
+    for number in range(1, most + 1):
+        chosen = np.array(list(combinations(range(len(contents)), number)))
+        sums.append(total - contents[chosen].sum(1, dtype=np.uint64))
+    return np.concatenate(sums)
+
+
+def _shared_parts(content_of: np.ndarray, level: int, differing: int) -> np.ndarray:
+    """Signatures of a small or uneven set: features dealt into parts, each part signed with
+    up to so many features left out, never all of them.
+
+    A pair that differs in at most ``differing`` features meets: it shares features in all
+    parts but some number ``r``, and of the other parts one holds no more than an even share
+    of the differing features. The features in the ``r`` parts all differ, so ``r`` parts with
+    the fewest features bound that share from either set's own view.
+    """
+    k = int(LEVEL_ENDS[level]) // 3
+    parts = 1 if k <= 2 else k // 2 + 1
+    place = (content_of % np.uint64(parts)).astype(np.int64)
+    spent = np.cumsum(np.concatenate([[0], np.sort(np.bincount(place, minlength=parts))[:-1]]))
+    spare = (differing - spent) // (parts - np.arange(parts))
+    lost = len(content_of) // 4 if len(content_of) <= LEVEL_ENDS[level] else differing
+    most = min(lost, int(spare[spent <= differing].max()))
+    out = []
+    for part in range(parts):
+        own = content_of[place == part]
+        if len(own):
+            tag = mixed(np.array([(part << 16) + level * 64 + 63], np.uint64))
+            out.append(mixed(_left_out(own, min(most, len(own) - 1)) ^ tag))
+    return np.concatenate(out)
+
+
 def signatures(features: np.ndarray) -> np.ndarray:
     """The signatures of a set of distinct 64-bit features, which are evenly spread hashes.
 
     The set takes part in its own level and, as the larger of a pair, in the lower levels
-    that it can meet. Combinations without any feature are left out when enough groups hold
-    more than ``may_differ`` filled partitions: then one of those agrees, and not by being
-    empty. One set of a pair with that property is enough; if neither has it, both keep the
-    empty combinations.
+    that it can meet. Combinations without any feature are left out: when enough groups hold
+    more than ``may_differ`` filled partitions, one of those agrees, and not by being empty.
+    One set of a pair with that property is enough; sets without it, mostly small ones, also
+    sign parts with some features left out, so two of them meet there.
     """
     size = len(features)
     if size < FIRST_SIZE:
@@ -122,13 +158,14 @@ def signatures(features: np.ndarray) -> np.ndarray:
         end = int(LEVEL_ENDS[level])
         differing = size // 3 if size <= end else (size + end) // 7
         sound = ((number > 0).sum(1) > may_differ).sum()
-        keep_empty = sound * (may_differ + 1) <= differing
         for chosen, tags in _combinations(level):
             total, count = content[:, chosen[0]], number[:, chosen[0]]
             for column in chosen[1:]:
                 total, count = total + content[:, column], count + number[:, column]
             found = total ^ tags
-            out.append(mixed(found if keep_empty else found[count > 0]))
+            out.append(mixed(found[count > 0]))
+        if sound * (may_differ + 1) <= differing:
+            out.append(_shared_parts(content_of, level, differing))
     return np.concatenate(out)
 
 
@@ -383,7 +420,8 @@ def _every(pairs: np.ndarray) -> np.ndarray:
 
 
 def _cross_pairs(keep: Callable, chunk: int | None = None):
-    """Rows sorted by sig (sig, node, size, label, sketch) to pairs (a, b, apart, x, y).
+    """Rows sorted by sig and part (sig, part, node, size, label, sketch) to pairs
+    (a, b, apart, x, y). Members with the same sig and part are compared.
 
     ``keep`` picks pairs from those of a bucket and again from those of many buckets;
     ``chunk`` cuts buckets into parts of that size.
@@ -394,7 +432,7 @@ def _cross_pairs(keep: Callable, chunk: int | None = None):
             columns = [pa.array(np.ascontiguousarray(c)) for c in found.T]
             return pa.RecordBatch.from_arrays(columns, names=["a", "b", "apart", "x", "y"])
 
-        sig, members, found = None, [], np.empty((0, 5), np.int64)
+        group, members, found = None, [], np.empty((0, 5), np.int64)
         fresh, held = [], 0
 
         def gather():
@@ -403,16 +441,16 @@ def _cross_pairs(keep: Callable, chunk: int | None = None):
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[0] != sig or len(members) == chunk:
+                if row[:2] != group or len(members) == chunk:
                     fresh.append(keep(_bucket_pairs(members)))
                     held += len(fresh[-1])
-                    sig, members = row[0], []
+                    group, members = row[:2], []
                     if held > 250_000 or len(fresh) > 10_000:
                         gather()
                         if len(found) > 250_000:  # little was repeated
                             yield batch_of(found)
                             found = found[:0]
-                members.append(row[1:])
+                members.append(row[2:])
         fresh.append(keep(_bucket_pairs(members)))
         gather()
         if len(found):
@@ -502,7 +540,8 @@ def near_copies(
         """Candidates (a, b, apart, x, y) between components x and y that share a bucket.
 
         Buckets led by one component share tasks, as many as their rows need, so that a pair
-        which meets in many buckets is rarely sent on twice. ``among`` lists the components
+        which meets in many buckets is rarely sent on twice. A large bucket is dealt into chunks,
+        and every two of them are a part with a task of its own. ``among`` lists the components
         (column label) to look at; all of them if it is None.
         """
         both = staged(
@@ -518,11 +557,31 @@ def near_copies(
         tasks = members.groupBy("lead_label").agg(F.ceil(F.count("*") / PER_TASK).alias("tasks"))
         turn = F.pmod(F.xxhash64("sig"), "tasks")
         spread = members.join(tasks, "lead_label").withColumn("task", F.xxhash64("lead_label", turn))
+        spread = spread.withColumn("part", F.lit(0).cast("long"))
+        if chunk is None:
+            size = F.count("*").cast("double")
+            work = size * F.count_if(F.expr("label <> lead_label"))
+            chunks = F.ceil(F.greatest(F.sqrt(work) / SIDE, size / PER_TASK)).cast("long")
+            large = both.groupBy("sig").agg(chunks.alias("chunks")).filter("chunks > 1")
+            large = staged(large, "large")
+            if not large.isEmpty():
+                # with one chunk more than the work asks for, two of them hold no more than that
+                pairs = F.expr(
+                    "transform(filter(sequence(0L, chunks), k -> k <> chunk), "
+                    "k -> least(k, chunk) * (chunks + 1) + greatest(k, chunk))"
+                )
+                own = F.pmod(F.xxhash64("node", "sig"), F.col("chunks") + 1)
+                dealt = spread.join(if_small(large), "sig").withColumn("chunk", own)
+                dealt = dealt.withColumn("part", F.explode(pairs)).withColumn(
+                    "task", F.xxhash64("sig", "part")
+                )
+                small = spread.join(if_small(large), "sig", "left_anti")
+                spread = small.unionByName(dealt.drop("chunks", "chunk"))
         return (
             sketched(spread, "node", "x")
             .repartition("task")
-            .sortWithinPartitions("sig", F.xxhash64("sig", "node"))
-            .select("sig", "node", "x.size", "label", "x.sketch")
+            .sortWithinPartitions("sig", "part", F.xxhash64("sig", "node"))
+            .select("sig", "part", "node", "x.size", "label", "x.sketch")
             .mapInArrow(_cross_pairs(keep, chunk), "a long, b long, apart long, x long, y long")
         )
 

@@ -336,6 +336,49 @@ def test_similar_sets_share_a_signature():
                     assert len(np.intersect1d(signatures(x), signatures(y))), (len(x), len(y))
 
 
+@pytest.mark.parametrize("size", [3, 4, 5, 6, 7, 8, 10, 12, 13, 17, 22, 23, 30])
+def test_small_sets_share_exact_signatures(size):
+    generator = np.random.default_rng(size)
+    seen: dict[int, int] = {}
+    for _ in range(400):
+        a = np.unique(generator.integers(0, 2**64, size, np.uint64))
+        for s in set(signatures(a).tolist()):
+            seen[s] = seen.get(s, 0) + 1
+        # every way to stay at 3/4 or more: lose some features, gain others
+        for lost in range(size // 4 + 1):
+            most = (4 * (size - lost)) // 3 - size
+            gained = generator.integers(0, most + 1) if most > 0 else 0
+            for new in {0, int(gained), max(0, most)}:
+                kept = generator.permutation(a)[lost:]
+                b = np.unique(np.append(kept, generator.integers(0, 2**64, new, np.uint64)))
+                if len(b) >= 3 and 4 * len(kept) >= 3 * (size + new):
+                    assert len(np.intersect1d(signatures(a), signatures(b))), (size, lost, new)
+    assert max(seen.values()) <= 2  # distinct random sets do not meet
+
+
+def test_large_buckets_are_dealt_into_chunk_pairs(spark, monkeypatch):
+    from ledgermill.llm import near
+
+    dealt, write = [], near.staged
+
+    def noted(df, label):
+        out = write(df, label)
+        if label == "large":
+            dealt.append(out.count())
+        return out
+
+    monkeypatch.setattr(near, "SIDE", 2)
+    monkeypatch.setattr(near, "staged", noted)
+    chance = random.Random(8)
+    head = [f"h{i}" for i in range(12)]
+    texts = {i: " ".join([*head, *(f"t{chance.randrange(10**6)}" for _ in range(6))]) for i in range(60)}
+    for i in range(60, 80):
+        texts[i] = texts[chance.randrange(40)] + " end"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_copies(docs).collect()}
+    assert found == brute_components(texts) and max(dealt) > 0
+
+
 def test_sketches_never_overstate():
     generator = np.random.default_rng(2)
     a = np.unique(generator.integers(0, 2**64, 500, np.uint64))
