@@ -6,6 +6,7 @@ again as the next stage's ``docs``. All but the last return the columns of ``doc
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from ledgermill.llm.decontaminate import find_contamination, without_documents
 from ledgermill.llm.mixing import mix_sources
 from ledgermill.llm.near import near_copies
 from ledgermill.llm.quality import score_quality
-from ledgermill.llm.text import if_small
+from ledgermill.llm.text import WORD_PATTERN, if_small
 from ledgermill.llm.tokens import read_documents, write_tokens
 from ledgermill.session import stage_path, staged
 
@@ -25,19 +26,51 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter("predicted = 1").select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` plus ``__row``, a key of its own for each row that every scan repeats.
+
+    Rows of Parquet files have their file, by its 64-bit hash, and their place in it; rows of
+    other frames are written with a number.
+    """
+    try:
+        place = F.struct(
+            F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")
+        )
+        found = docs.withColumn("__row", place)
+        found.schema  # noqa: B018  fails for frames without files
+        return found
+    except AnalysisException:
+        return staged(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays.
+    """Of each group of near copies one row stays: the one with the smallest id, null ids last,
+    the first row of those that share it.
 
-    Rows that repeat an id and a text stay once; documents without an id stay if their group
-    has no id at all.
+    Rows without words are in no group and stay; those that repeat an id and a text stay once.
     """
-    groups = staged(near_copies(docs), "groups")
-    gone = groups.filter("not (doc_id <=> component_id)").select("doc_id").distinct()
-    gone = if_small(staged(gone, "gone")).withColumnRenamed("doc_id", "__gone")
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
-    counts = groups.filter("doc_id is not null").agg(F.count("*"), F.countDistinct("doc_id"))
-    rows, ids = counts.first()
-    return kept.dropDuplicates(["doc_id", "text"]) if rows > ids else kept
+    rows = keyed(docs)
+    groups = near_copies(rows, id_column="__row")
+    blank = (F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()
+    empty_text = F.when(~F.coalesce(F.regexp_like("text", F.lit(WORD_PATTERN)), F.lit(False)), F.col("text"))
+    placed = (
+        rows.select("__row", "doc_id", empty_text.alias("text"))
+        .join(groups.withColumnRenamed("doc_id", "__row"), "__row")
+        .select(
+            F.struct(
+                F.when(~blank, F.col("component_id")).alias("component"),
+                F.when(blank, F.col("doc_id")).alias("id"),
+                F.when(blank, F.col("text")).alias("text"),
+            ).alias("group"),
+            F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "__row").alias("place"),
+        )
+    )
+    placed = staged(placed, "groups")
+    first = placed.groupBy("group").agg(F.min("place").alias("first"), F.count("*").alias("rows"))
+    first = first.filter("rows > 1").withColumnRenamed("group", "__group")
+    gone = placed.join(first, F.col("group").eqNullSafe(F.col("__group"))).filter("place.__row <> first.__row")
+    gone = if_small(staged(gone.select("place.__row"), "gone"))
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +80,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it: its words taken over its words, rounded."""
-    mixed = mix_sources(docs).filter("taken > 0")
+    """Every row as often as the mix takes it: its words taken over its words, rounded."""
+    rows = keyed(docs)
+    mixed = mix_sources(rows, key_column="__row").filter("taken > 0")
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    taken = mixed.groupBy("doc_id").agg(F.max(copies).alias("__copies")).filter("__copies > 0")
-    taken = if_small(staged(taken, "taken")).withColumnRenamed("doc_id", "__id")
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")))
+    taken = mixed.select("__row", copies.alias("__copies")).filter("__copies > 0")
+    joined = rows.join(if_small(staged(taken, "taken")), "__row")
     repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return repeated.select(*docs.columns)
 

@@ -91,7 +91,7 @@ def plan_sources(
 def mix_sources(
     docs: DataFrame, n_shards: int = 40, id_column: str = "doc_id", text_column: str = "text",
     source_column: str = "source", seed: int = 0, block_words: int = BLOCK_WORDS,
-    repeats: int = MAX_REPEATS,
+    repeats: int = MAX_REPEATS, key_column: str | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, shard.
 
@@ -99,9 +99,11 @@ def mix_sources(
     ``taken`` counts the words that the mix takes of the document, repeats included: whole
     passes over its source plus the part that the last, partial pass reaches. ``shard`` is
     the shard of the first word taken, null if none is. Repeated rows and ids count as
-    documents of their own. Only one row per source reaches the driver: names and totals.
+    documents of their own; ``key_column``, unique per row, is passed through and orders them.
+    Only one row per source reaches the driver: names and totals.
     """
     spark = docs.sparkSession
+    key = [key_column] if key_column else []
     source = F.col(source_column).cast("string")
     light = staged(
         docs.select(
@@ -110,6 +112,7 @@ def mix_sources(
             F.coalesce(F.regexp_count(text_column, F.lit(WORD_PATTERN)), F.lit(0))
             .cast("long")
             .alias("size"),
+            *key,
         ).select(
             "*",
             F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")).alias("__source"),
@@ -135,7 +138,7 @@ def mix_sources(
     if len(rows) <= BROADCAST_SOURCES:
         quotas = F.broadcast(quotas)
     placed = with_running_sum(
-        light, "__source", "__order", ["doc_id", "size"], F.col("size"), "__at"
+        light, "__source", "__order", ["doc_id", "size", *key], F.col("size"), "__at"
     ).join(quotas, "__source")
     passes = F.expr("case when source_size > 0 then quota div source_size else 0 end")
     rest = F.expr("case when source_size > 0 then quota % source_size else 0 end")
@@ -150,4 +153,5 @@ def mix_sources(
         "target",
         "taken",
         F.when(F.col("taken") > 0, F.least(shard, F.lit(n_shards - 1))).cast("int").alias("shard"),
+        *key,
     )
