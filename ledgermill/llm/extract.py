@@ -57,6 +57,12 @@ STOP_WORDS = frozenset(
     "el los las y no una por con para su lo como más pero sus al o este sí porque esta entre "
     "cuando muy sin sobre también me hasta hay donde quien desde todo nos".split()
 )
+# Marks that lists of other articles carry, and words that make a class say
+# what its element has or lacks.
+LISTED = frozenset("comment comments reply ad advert related promo".split())
+HAVING = frozenset("has have with no not without hide show".split())
+# How an element is excluded: for good, together with the articles in it, or up to an article.
+NEVER, HIDDEN, APART, AROUND = 0, 1, 2, 3
 SHORT, LONG = 70, 200  # characters
 STOP_LOW, STOP_HIGH = 0.15, 0.25
 LINKS_HIGH = 0.4
@@ -79,56 +85,80 @@ class Block:
     link_chars: int
     excluded: bool
     inside: bool  # of an article or main element
+    apart: bool = False  # excluded only by what is around its article
+    all_links: bool = False  # no letter or digit outside of links
     verdict: str = ""
 
 
-def is_marked(tag: str, attributes: str) -> bool:
-    """Whether an element's attributes say that it is not the article."""
+def exclusion(tag: str, attributes: str) -> int:
+    """How an element's attributes say that it is not the article."""
     if not attributes.strip():
-        return False
-    words, parts = set(), _ATTRIBUTE.findall(attributes)
+        return NEVER
+    words, firsts, parts = set(), set(), _ATTRIBUTE.findall(attributes)
     bare = attributes.lower()
     if re.search(r"(?:^|\s)hidden(?:\s|$)", bare):
-        return True
+        return HIDDEN
+    apart = False
     for name, a, b, c in parts:
         name, value = name.lower(), (a or b or c).lower()
         if name in ("class", "id"):
-            words.update(_SPLIT.split(value))
+            for own in map(_SPLIT.split, value.split()):
+                own = [w for w in own if w]
+                if own and own[0] not in HAVING:
+                    words.update(own)
+                    firsts.add(own[0])
         elif name == "role" and value in ROLES:
-            return True
+            apart = True
         elif name == "aria-hidden" and value == "true":
-            return True
+            return HIDDEN
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return HIDDEN
+    if apart:
+        return APART
     if tag in ("html", "body", "main"):
-        return False
+        return NEVER
     if tag == "article":
-        return bool(words & {"comment", "comments", "reply", "ad", "advert", "related", "promo"})
-    return bool(words & MARKS)
+        return APART if words & LISTED else NEVER
+    if firsts & LISTED:
+        return APART
+    return AROUND if words & MARKS else NEVER
 
 
 class BlockReader:
-    """One pass over the markup of a page that collects its blocks."""
+    """One pass over the markup of a page that collects its blocks.
+
+    A main element ends the marks around it, an article those of a page's layout. Only what
+    is hidden stays so.
+    """
 
     def __init__(self):
         self.blocks: list[Block] = []
         self.pieces: list[str] = []
         self.link_chars = 0
-        self.stack: list[tuple[str, bool]] = []
+        self.all_links = True
+        self.stack: list[tuple[str, int, tuple | None]] = []
         self.open: dict[str, int] = {}
-        self.excluded = 0
+        self.excluded = [0, 0, 0, 0]  # open elements by kind of exclusion
+        self.outside = 0  # those of kind APART around the innermost article
 
     def _end_block(self) -> None:
         text = _SPACE.sub(" ", "".join(self.pieces)).strip()
         if text:
             inside = bool(self.open.get("article") or self.open.get("main"))
-            self.blocks.append(Block(text, self.link_chars, self.excluded > 0, inside))
-        self.pieces, self.link_chars = [], 0
+            _, hidden, apart, around = self.excluded
+            own = hidden + around + apart - self.outside > 0
+            excluded = own or self.outside > 0
+            self.blocks.append(
+                Block(text, self.link_chars, excluded, inside, excluded and not own, self.all_links)
+            )
+        self.pieces, self.link_chars, self.all_links = [], 0, True
 
     def _pop(self) -> None:
-        tag, marked = self.stack.pop()
+        tag, kind, before = self.stack.pop()
         self.open[tag] -= 1
-        self.excluded -= marked
+        self.excluded[kind] -= 1
+        if before is not None:
+            self.excluded[APART], self.excluded[AROUND], self.outside = before
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
@@ -141,11 +171,21 @@ class BlockReader:
                 self.pieces.append(" ")
             return
         in_article = self.open.get("article") or self.open.get("main")
-        page_part = tag in BOILERPLATE and not (tag == "header" and in_article)
-        marked = page_part or tag in SKIPPED or is_marked(tag, attributes)
-        self.stack.append((tag, marked))
+        kind = HIDDEN if tag in SKIPPED else exclusion(tag, attributes)
+        if tag in BOILERPLATE and not (tag == "header" and in_article) and kind != HIDDEN:
+            kind = AROUND if tag in ("header", "form", "fieldset") else APART
+        before = None
+        if tag in ("article", "main"):
+            before = self.excluded[APART], self.excluded[AROUND], self.outside
+            self.excluded[AROUND] = 0
+            if tag == "main":
+                self.excluded[APART] = 0
+            self.outside = self.excluded[APART]
+            if in_article:  # an article within an article: what is around it counts
+                self.excluded[APART], self.excluded[AROUND], self.outside = before
+        self.stack.append((tag, kind, before))
         self.open[tag] = self.open.get(tag, 0) + 1
-        self.excluded += marked
+        self.excluded[kind] += 1
 
     def _close(self, tag: str) -> None:
         """End an element; an inline one never ends the block around it."""
@@ -183,9 +223,14 @@ class BlockReader:
                 if tag in BLOCKS:
                     self._end_block()
                 self._close(tag)
+            elif tag == "svg" and token.group(3).endswith("/"):
+                continue
             elif tag in RAW_TEXT:
                 end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = end.end() if end else size
+                if end:
+                    at = end.end()
+                elif tag != "svg":  # the text after an svg that is never ended ends it
+                    at = size
             else:
                 self._start(tag, token.group(3))
         self._end_block()
@@ -196,6 +241,8 @@ class BlockReader:
         self.pieces.append(text)
         if self.open.get("a"):
             self.link_chars += len(text.strip())
+        elif self.all_links:
+            self.all_links = not any(map(str.isalnum, text))
 
 
 def first_verdict(block: Block) -> str:
@@ -203,8 +250,9 @@ def first_verdict(block: Block) -> str:
     if block.excluded:
         return "bad"
     size = len(block.text)
-    if block.link_chars > LINKS_HIGH * size and not (block.inside and size > LONG):
-        return "bad"
+    if block.link_chars > LINKS_HIGH * size:
+        if not block.inside or block.all_links and size <= LONG:
+            return "bad"
     words = [w.lower() for w in _WORD.findall(block.text)]
     stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if size < SHORT:
@@ -258,6 +306,9 @@ def second_verdict(blocks: list[Block]) -> None:
 def main_text(page: str) -> str:
     """The article's blocks in page order, one per line."""
     blocks = BlockReader().read(page)
+    if not any(b.inside and not b.excluded for b in blocks):
+        for b in blocks:  # the only articles of the page lie in a part like an aside
+            b.excluded &= not (b.inside and b.apart)
     if any(b.inside and not b.excluded for b in blocks):
         for b in blocks:
             b.excluded |= not b.inside

@@ -414,6 +414,33 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+SENTENCE = "This is the text of the page and it is as long as it has to be for all of them."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<svg width='1' /><article><p>one</p></article><svg><text>x</text></svg>", "one"),
+        ("<article><svg viewBox='0 0 1 1'/><p>one</p></article>", "one"),
+        ("<article><svg viewBox='0 0 1 1'><p>one</p></article>", "one"),
+        ("<div class='page has-sidebar'><article><p>one</p></article></div>", "one"),
+        ("<div class='page sidebar-left'><article><p>one</p><p class=share>x</p></article></div>", "one"),
+        ("<div id='content' class='no-nav with-comments'><article><p>one</p></article></div>", "one"),
+        ("<div class='comments-open'><article><p>one</p></article></div>", "one"),
+        ("<form><nav>home<main><p>one</p></main></form>", "one"),
+        ("<article><p>one</p></article><div class=related><article><p>two</p></article></div>", "one"),
+        ("<article><p>one</p><article class=comment><p>me!</p></article></article>", "one"),
+        ("<article><p>one</p><aside><article><p>ad</p></article></aside><p>two</p></article>", "one\ntwo"),
+        ("<div hidden><article><p>old</p></article></div><article><p>one</p></article>", "one"),
+        ("<article><p>See <a href=x>the list of all the parts</a>.</p><p><a href=y>next</a></p></article>",
+         "See the list of all the parts."),
+        (f"<div class='has-sidebar'><p>{SENTENCE * 3}</p></div>", SENTENCE * 3),
+    ],
+)
+def test_articles_are_not_lost(page, text):
+    assert main_text(page) == text
+
+
 def test_blocks_without_article_take_their_neighbours_verdict():
     long = "The end of the day is as good as it was for all of them and that is what they had. " * 4
     links = "<ul>" + "".join(f"<li><a href=/{i}>topic {i}</a></li>" for i in range(9)) + "</ul>"
