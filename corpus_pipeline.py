@@ -44,8 +44,8 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies one row stays: the one with the smallest id, null ids last,
-    the first row of those that share it.
+    """Of each group of near copies one row stays: the one with the smallest id, null ids last;
+    of those that share it, the one with the least key, which follows no order of the table.
 
     Rows without words are in no group and stay; those that repeat an id and a text stay once.
     """
@@ -74,8 +74,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
-    found = find_contamination(docs, tables.read(spark, sf_dir, "benchmark"))
+    """Documents that hold a window of a benchmark item go, whether the item has an id or not."""
+    found = find_contamination(docs, tables.read(spark, sf_dir, "benchmark"), nameless=True)
     return without_documents(found).select(*docs.columns)
 
 

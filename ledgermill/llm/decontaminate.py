@@ -33,9 +33,9 @@ class _Vocabulary(dict):
 class WindowSet:
     """The windows of some items: hashes for the scan, exact words behind each hash."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.vocabulary = _Vocabulary()
-        self.owners: dict[bytes, set[str]] = defaultdict(set)
+        self.owners: dict[bytes, set[str | None]] = defaultdict(set)
         hashes = defaultdict(set)
         for name, text in items:
             words = letter_words(text)
@@ -94,7 +94,7 @@ def _scan(windows) -> callable:
                 names[doc] |= owners
             counts += sizes
             hits += [sorted(int(x) for x in marks.get(i, ())) for i in range(len(split))]
-            items += [sorted(names.get(i, ())) for i in range(len(split))]
+            items += [sorted(n for n in names.get(i, ()) if n is not None) for i in range(len(split))]
         return pa.StructArray.from_arrays(
             [pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.int32()))]
             + [pa.array(items, pa.list_(pa.string()))],
@@ -104,12 +104,16 @@ def _scan(windows) -> callable:
     return scan
 
 
-def _slices(benchmark: DataFrame, item_column: str, text_column: str, slice_words: int):
+def _slices(
+    benchmark: DataFrame, item_column: str, text_column: str, slice_words: int, nameless: bool
+):
     """The items as lists of at most about ``slice_words`` words each, one list at a time."""
     items = benchmark.select(
         F.col(item_column).cast("string").alias("name"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
-    ).filter("name is not null")
+    )
+    if not nameless:
+        items = items.filter("name is not null")
     # a text of n bytes has at most (n + 1) / 2 words
     words = items.agg(F.sum((F.octet_length("text") + 1) / 2)).first()[0] or 0
     count = max(1, -int(-words // slice_words))
@@ -126,19 +130,21 @@ def find_contamination(
     item_text_column: str = "text",
     window: int = WINDOW,
     slice_words: int = SLICE_WORDS,
+    nameless: bool = False,
 ) -> DataFrame:
     """``docs`` plus n_words, hit_words (word positions), items, n_items and contaminated.
 
     A window is ``window`` consecutive words of an item, or a whole shorter item. Null texts
-    have no words and hit nothing; benchmark rows without an id are ignored; rows with the
-    same item id count as one item; repeated documents are judged row by row. Columns of
-    ``docs`` with the names of results are replaced.
+    have no words and hit nothing; benchmark rows without an id are ignored or, if ``nameless``,
+    hit like others and are only left out of the items; rows with the same item id count as
+    one item; repeated documents are judged row by row. Columns of ``docs`` with the names of
+    results are replaced.
     """
     spark = docs.sparkSession
     context = spark.sparkContext
     slices = [
         context.broadcast(WindowSet(items, window))
-        for items in _slices(benchmark, item_column, item_text_column, slice_words)
+        for items in _slices(benchmark, item_column, item_text_column, slice_words, nameless)
     ]
     if len(slices) == 1:
         found = with_results(docs, [text_column], _scan(slices[0]), _FIELDS)

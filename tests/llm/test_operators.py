@@ -186,6 +186,17 @@ def test_decontamination_of_nothing(spark, awkward, nothing):
     assert find_contamination(nothing, empty).count() == 0
 
 
+def test_items_without_an_id_hit_without_a_name(spark, awkward):
+    items = [(8, "two"), (None, "wörter")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for slice_words in (500_000, 1):
+        found = find_contamination(awkward, benchmark, slice_words=slice_words, nameless=True)
+        rows = {r.doc_id: r for r in found.collect()}
+        assert rows[6].contaminated and len(rows[6].hit_words) == 3000
+        assert rows[6].items == [] and rows[6].n_items == 0
+        assert rows[5].items == ["8"] and not rows[1].contaminated
+
+
 # URL rules
 
 
