@@ -124,15 +124,20 @@ class Encoder:
 
     A byte-level vocabulary never merges across a blank that a word follows, so a text may be
     cut there and each word encoded once. Texts with neighbouring white space are cut before
-    such blanks only.
+    such blanks only. The names of special tokens are ordinary text or, if ``special``, the
+    tokens themselves, as the library has it by default; texts with one go through it whole.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 300_000, special: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # words never hold special tokens
+        self.whole, self.special = Tokenizer.from_file(path), []
+        if special:
+            added = self.whole.get_added_tokens_decoder().values()
+            self.special = [t.content for t in added if t.special]
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         [self.newline] = self._ids(["\n"])[0]
         self.heads, self.tails = WordMemory(limit), WordMemory(limit)
@@ -163,6 +168,10 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
         cut, heads, tails = [], {"", "\n"}, set()
+        whole = [i for i, text in enumerate(texts) if any(name in text for name in self.special)]
+        if whole:
+            taken = [texts[i] for i in whole]
+            texts = ["" if any(name in t for name in self.special) else t for t in texts]
         for text in texts:
             if _TWO_BLANKS.search(text):
                 pieces = _WORD_START.split(text)
@@ -186,6 +195,10 @@ class Encoder:
                 out.append(
                     newline.join(head(x[0]) + b"".join(map(tail, x[1:])) for x in parts)
                 )
+        if whole:
+            found = self.whole.encode_batch_fast(taken, add_special_tokens=False)
+            for i, made in zip(whole, found, strict=True):
+                out[i] = np.array(made.ids, self.dtype).tobytes()
         return out
 
 
@@ -195,7 +208,7 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """One encoder per Python worker, so that its memory outlives a task."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, special=True)
     return _ENCODERS[path]
 
 

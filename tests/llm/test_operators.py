@@ -111,6 +111,21 @@ def test_token_files(spark, awkward):
         at += len(ids)
 
 
+def test_special_tokens_as_the_library_has_them(spark):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(BPE)
+    texts = ["one<|endoftext|>two", "<|endoftext|>", "a  <|endoftext|>\n b", "plain text", ""]
+    for text, ids in zip(texts, Encoder(BPE, special=True).encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path = stage_path(spark, "tokens")
+    write_tokens(docs, path, BPE, end_id=2)
+    rows = read_documents(spark, path).orderBy("start").collect()
+    sizes = [len(whole.encode(t, add_special_tokens=False).ids) + 1 for t in texts]
+    assert [r.n_tokens for r in rows] == sizes
+
+
 def test_token_files_of_nothing(spark, nothing):
     path = stage_path(spark, "tokens")
     write_tokens(nothing, path, BPE, end_id=2)
