@@ -93,3 +93,65 @@ def test_rows_are_mixed_each_by_itself(spark):
     expected = mixed([(i, t, s) for (i, t), s in zip(rows, sources)])
     assert len({n for (i, _), n in expected.items() if i is None}) > 1
     assert pairs(P.mixture(spark, docs, SF_DIR)) == expected
+
+
+PASSAGE = " ".join(chance.choices(WORDS, k=14))
+
+
+def without_passages(rows, passages):
+    """Rows that share no ten words in a row with a passage; all words are lower-case letters."""
+    windows = {tuple(p.split()[k : k + 10]) for p in passages for k in range(len(p.split()) - 9)}
+
+    def hit(text):
+        words = (text or "").split()
+        return any(tuple(words[k : k + 10]) in windows for k in range(len(words) - 9))
+
+    return [r for r in rows if not hit(r[1])]
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    rows = [*ROWS, (11, f"{D} {PASSAGE[:-3]}"), (None, f"start {PASSAGE}"), (12, A[:60])]
+    # one file, so that keys follow the rows
+    frame(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    items = spark.createDataFrame([(None, PASSAGE), (1, "not in any text")], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path), rows
+
+
+def test_passages_of_items_without_an_id_go(spark, folder):
+    path, rows = folder
+    docs = tables.read(spark, path, "documents")
+    expected = Counter(without_passages(rows, [PASSAGE, "not in any text"]))
+    assert len(rows) - expected.total() == 2
+    assert pairs(P.decontamination(spark, docs, path)) == expected
+
+
+def test_quality_keeps_what_the_classifier_accepts(spark):
+    docs = tables.read(spark, SF_DIR, "documents").unionByName(frame(spark, ROWS))
+    docs = staged(docs, "docs")
+    scored = score_quality(docs, tables.read(spark, SF_DIR, "labels")).collect()
+    kept = pairs(P.quality(spark, docs, SF_DIR))
+    assert kept == Counter((r.doc_id, r.text) for r in scored if r.predicted == 1)
+    assert 0 < kept.total() < len(scored)
+
+
+def test_the_whole_pipeline(spark, folder, monkeypatch):
+    from tokenizers import Tokenizer
+
+    path, rows = folder
+    monkeypatch.setattr(P, "STAGES", [("quality", lambda s, d, f: d), *P.STAGES[1:]])
+    sources = {}
+    for (i, t), s in zip(rows, itertools.cycle(["a", "b", None, "a"])):
+        sources.setdefault((i, t), s)
+    kept = without_passages(without_copies(rows), [PASSAGE])
+    whole, expected = Tokenizer.from_file(tables.tokenizer("byte_bpe_50k.json")), Counter()
+    for (doc_id, text), copies in mixed([(i, t, sources[i, t]) for i, t in kept]).items():
+        ids = [*whole.encode(text, add_special_tokens=False).ids, 2]
+        expected[doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += copies
+    found = P.run(spark, path).collect()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in found) == expected
+    ends = sorted((r.start, r.start + r.n_tokens) for r in found)
+    assert all(a[1] == b[0] for a, b in itertools.pairwise(ends))
