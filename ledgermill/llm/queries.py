@@ -11,6 +11,7 @@ from ledgermill.llm import tables
 from ledgermill.llm.counts import count_tokens
 from ledgermill.llm.decontaminate import find_contamination
 from ledgermill.llm.extract import extract_main_text
+from ledgermill.llm.merkle import build_manifest, digest_of, fold, siblings
 from ledgermill.llm.mixing import mix_sources
 from ledgermill.llm.near import near_copies
 from ledgermill.llm.neighbours import NeighbourIndex
@@ -109,6 +110,26 @@ def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs, SHARDS).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables.read(spark, sf_dir, "documents")
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = F.translate("text", capitals, capitals.lower())
+    leaf, changed = (digest_of(*map(F.col, ("doc_id", "source", "lang", "n_chars")), text)
+                     for text in (F.col("text"), lowered))
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rows = docs.select("doc_id", "source", leaf.alias("leaf"), F.when(tampered, changed).alias("tampered"))
+    made = build_manifest(rows, F.col("leaf"), "source", "doc_id")
+    folded = fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return made.proofs().select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        F.lit(made.root).alias("root"),
+        F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -257,6 +278,71 @@ select doc_id, size, source_size, target, cast(case when source_size = 0 then 0
 from placed
 """
 
+MANIFEST_SQL = r"""
+with recursive crc_table as (
+  select list(v order by i) as t from (
+    select i, list_reduce(list_prepend(i, range(8)),
+      lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v
+    from range(256) r(i))
+), rows as (
+  select *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lowered,
+    coalesce('=' || source, '-') as tree,
+    coalesce(octet_length(encode(cast(doc_id as varchar))) || ':' || doc_id, '-')
+      || coalesce(octet_length(encode(source)) || ':' || source, '-')
+      || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+      || coalesce(octet_length(encode(cast(n_chars as varchar))) || ':' || n_chars, '-') as head,
+    xor(list_reduce(list_prepend(4294967295::bigint, list_transform(
+        regexp_extract_all(hex(encode(cast(doc_id as varchar))), '..'),
+        lambda x: cast('0x' || x as bigint))),
+      lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 5 = 0 as tampered
+  from documents, crc_table
+), leaves as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as place
+  from (
+    select doc_id, tree, coalesce(tampered, false) as tampered,
+      sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) as leaf,
+      sha256(head || coalesce(octet_length(encode(lowered)) || ':' || lowered, '-')) as changed
+    from rows)
+), levels(tree, level, nodes) as (
+  select tree, 0, list(leaf order by place) from leaves group by tree
+  union all
+  select tree, level + 1, list_transform(range((len(nodes) + 15) // 16),
+    lambda i: sha256(array_to_string(nodes[i * 16 + 1 : i * 16 + 16], '')))
+  from levels where len(nodes) > 1
+), subroots as (
+  select tree, nodes[1] as subroot, row_number() over (order by tree) - 1 as turn
+  from levels where len(nodes) = 1
+), tops(level, nodes) as (
+  select 0, list(subroot order by turn) from subroots
+  union all
+  select level + 1, list_transform(range((len(nodes) + 15) // 16),
+    lambda i: sha256(array_to_string(nodes[i * 16 + 1 : i * 16 + 16], '')))
+  from tops where len(nodes) > 1
+), steps as (
+  select l.tree, l.place, v.level, v.nodes, l.place // cast(pow(16, v.level) as bigint) as own
+  from leaves l join levels v on l.tree = v.tree and len(v.nodes) > 1
+  union all
+  select l.tree, l.place, 1000 + t.level, t.nodes, s.turn // cast(pow(16, t.level) as bigint)
+  from leaves l join subroots s using (tree) join tops t on len(t.nodes) > 1
+), paths as (
+  select tree, place, list(step order by level) as path from (
+    select tree, place, level,
+      array_to_string(nodes[own // 16 * 16 + 1 : own], '') || '|'
+        || array_to_string(nodes[own + 2 : own // 16 * 16 + 16], '') as step
+    from steps)
+  group by tree, place
+), proofs as (
+  select l.doc_id, l.leaf, s.subroot,
+    (select nodes[1] from tops where len(nodes) = 1) as root,
+    sha256(replace(array_to_string(coalesce(path, []), ''), '|', '')) as proof_sha256,
+    list_reduce(list_prepend(case when tampered then changed else leaf end, coalesce(path, [])),
+      lambda node, step: sha256(split_part(step, '|', 1) || node || split_part(step, '|', 2)))
+      as folded_root
+  from leaves l join subroots s using (tree) left join paths p using (tree, place)
+)
+select *, folded_root = root as verified from proofs
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": neighbours,
     "op2_token_files": token_files,
@@ -268,6 +354,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": main_text,
     "op9_quality": quality,
     "op10_mix": mix,
+    "op13_manifest": manifest,
     "pipeline": pipeline,
 }
 SQL: dict[str, str] = {
@@ -275,4 +362,5 @@ SQL: dict[str, str] = {
     "op5_url_rules": URL_SQL,
     "op6_shards": SHARDS_SQL,
     "op10_mix": MIX_SQL,
+    "op13_manifest": MANIFEST_SQL,
 }
