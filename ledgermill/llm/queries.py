@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill.llm import tables
 from ledgermill.llm.counts import count_tokens
 from ledgermill.llm.decontaminate import find_contamination
+from ledgermill.llm.divergence import audit_sources
 from ledgermill.llm.extract import extract_main_text
 from ledgermill.llm.merkle import build_manifest, digest_of, fold, siblings
 from ledgermill.llm.mixing import mix_sources
@@ -110,6 +111,19 @@ def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs, SHARDS).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audit = audit_sources(tables.read(spark, sf_dir, "documents"))
+    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "other")
+    pairs = audit.distances().select(
+        "lang", "source", F.lit("pair").alias("part"), F.col("other").alias("item"), "value",
+        F.row_number().over(order).alias("rank"),
+    )
+    terms = audit.lifted().select(
+        "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank"
+    )
+    return pairs.unionByName(terms)
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables.read(spark, sf_dir, "documents")
     capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -278,6 +292,54 @@ select doc_id, size, source_size, target, cast(case when source_size = 0 then 0
 from placed
 """
 
+DIVERGENCE_SQL = r"""
+with docs as (
+  select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), words as (
+  select d, lang, source, unnest(w) as term from docs
+), kept as (
+  select lang, term from words group by lang, term having count(distinct d) >= 30
+), groups as (
+  select distinct lang, source from docs
+), sizes as (
+  select lang, count(*) as v from kept group by lang
+), counts as (
+  select lang, source, term, count(*) as n from words semi join kept using (lang, term)
+  group by lang, source, term
+), totals as (
+  select g.lang, g.source, coalesce(s.v, 0) as v, coalesce(sum(c.n), 0) as total
+  from groups g left join sizes s using (lang) left join counts c using (lang, source)
+  group by g.lang, g.source, s.v
+), shares as (
+  select t.lang, t.source, k.term, coalesce(c.n, 0) as n,
+    1 + 1000000000::hugeint * (coalesce(c.n, 0) + 5) // (t.total + 5 * t.v)::hugeint as p
+  from totals t join kept k using (lang) left join counts c using (lang, source, term)
+), usual as (
+  select lang, term,
+    1 + 1000000000::hugeint * (sum(n) + 5) // (sum(sum(n)) over (partition by lang)
+      + 5 * count(*) over (partition by lang))::hugeint as q
+  from shares group by lang, term
+), pairs as (
+  select a.lang, a.source, b.source as item, (
+    select coalesce(sum(abs(x.p - y.p)), 0) from shares x join shares y using (lang, term)
+    where x.lang = a.lang and x.source = a.source and y.source = b.source) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+), terms as (
+  select s.lang, s.source, s.term as item, s.p - u.q as value
+  from shares s join usual u using (lang, term) where s.n > 0 and s.p > u.q
+), ranked as (
+  select *, 'pair' as part from pairs union all by name select *, 'term' as part from terms
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from (select *, row_number() over (
+  partition by lang, source, part order by value desc, item) as rank from ranked)
+where part = 'pair' or rank <= 50
+"""
+
 MANIFEST_SQL = r"""
 with recursive crc_table as (
   select list(v order by i) as t from (
@@ -354,6 +416,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": main_text,
     "op9_quality": quality,
     "op10_mix": mix,
+    "op11_divergence": divergence,
     "op13_manifest": manifest,
     "pipeline": pipeline,
 }
@@ -362,5 +425,6 @@ SQL: dict[str, str] = {
     "op5_url_rules": URL_SQL,
     "op6_shards": SHARDS_SQL,
     "op10_mix": MIX_SQL,
+    "op11_divergence": DIVERGENCE_SQL,
     "op13_manifest": MANIFEST_SQL,
 }
