@@ -19,6 +19,7 @@ from ledgermill.llm.neighbours import NeighbourIndex
 from ledgermill.llm.quality import score_quality
 from ledgermill.llm.shards import assign_shards
 from ledgermill.llm.tokens import read_documents, write_tokens
+from ledgermill.llm.toxicity import score_toxicity
 from ledgermill.llm.urls import judge_urls
 from ledgermill.session import stage_path
 
@@ -124,6 +125,17 @@ def divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.unionByName(terms)
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of rows whose checksum leaves 0 by 5 are never seen."""
+    checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    held_out = checksum % 5 == 0
+    docs = tables.read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = tables.read(spark, sf_dir, "labels").filter(~held_out)
+    return score_toxicity(docs, labels).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted"
+    )
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables.read(spark, sf_dir, "documents")
     capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -417,6 +429,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": quality,
     "op10_mix": mix,
     "op11_divergence": divergence,
+    "op12_toxicity": toxicity,
     "op13_manifest": manifest,
     "pipeline": pipeline,
 }
