@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -25,17 +26,20 @@ LEAST = 30
 TOP_TERMS = 50
 UNIT = 1_000_000_000  # shares are counted in billionths
 SMOOTHING = 5
-FIRST_SIZE = 4  # bytes of the first level's prefixes; every level doubles it
+FIRST_SIZE = 6  # bytes of the first level's prefixes; every level doubles it
 KEPT_BYTES = 24_000_000  # of prefixes or terms in one pass; more are taken in slices
 KEY_BYTES = 90  # what a key takes besides its bytes
-HELD_KEYS = 300_000  # counters of a task that are held before they are handed on
+HELD_KEYS = 500_000  # counters or remembered terms of a task
+HELD_OCCURRENCES = 3_000_000  # term numbers of a task that are held before they are counted
+REMEMBERED_BYTES = 100  # longer terms are looked up anew
 BLOCK = 256  # sources that are compared at once
 CHUNK = 512  # terms of one comparison task
 
 _LETTERS = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x61 <= c <= 0x7A else 32 for c in range(256)
 )
-Kept = dict[str, set[bytes]]
+Kept = dict[str, dict[bytes, int]]
+Batches = Iterable[pa.RecordBatch]
 
 
 def terms_of(text: bytes) -> list[bytes]:
@@ -43,112 +47,145 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_LETTERS).split()
 
 
-def _handed_on(counts: dict, names: list[str]) -> pa.RecordBatch:
-    """A batch of (*key, docs or occurrences) from counters by key prefix; empties them."""
-    columns: list[list] = [[] for _ in names]
-    for key, counter in counts.items():
-        for column, part in zip(columns, key, strict=False):
-            column.extend([part] * len(counter))
-        columns[-2].extend(counter)
-        columns[-1].extend(counter.values())
-    counts.clear()
-    types = [pa.string()] * (len(names) - 2) + [pa.binary(), pa.int64()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
-    )
-
-
-def _counted(
-    names: list[str], add: Callable[[dict, tuple, bytes], None]
-) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function over batches of (*group columns, text) that counts keys per task."""
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[tuple, Counter] = {}
-        for batch in batches:
-            groups = list(zip(*[batch.column(i).to_pylist() for i in range(len(names) - 2)], strict=True))
-            for at in range(0, len(groups), 500):  # texts may be long: a few at a time
-                texts = raw(batch.column(batch.num_columns - 1).slice(at, 500))
-                for group, text in zip(groups[at : at + 500], texts, strict=True):
-                    add(counts.setdefault(group, Counter()), group, text)
-                if sum(map(len, counts.values())) > HELD_KEYS:
-                    yield _handed_on(counts, names)
-        yield _handed_on(counts, names)
-
-    return count
-
-
 def _slices(kept: DataFrame) -> Iterator[Kept]:
-    """The keys of ``kept`` (lang, key) in parts of bounded size, one after the other."""
+    """The keys of ``kept`` (lang, key, number) in parts of bounded size, one after the other."""
     size = kept.agg(F.sum(F.octet_length("key") + F.octet_length("lang") + KEY_BYTES)).first()[0] or 0
     parts = -(-size // KEPT_BYTES)
     for part in range(parts):
         rows = kept.filter(F.pmod(F.xxhash64("lang", "key"), F.lit(parts)) == part)
         found: Kept = {}
-        for lang, key in rows.select("lang", "key").collect():  # at most KEPT_BYTES
-            found.setdefault(lang, set()).add(bytes(key))
+        for lang, key, number in rows.select("lang", "key", "number").collect():  # at most KEPT_BYTES
+            found.setdefault(lang, {})[bytes(key)] = number
         yield found
 
 
-def _passes(
-    docs: DataFrame, kept: DataFrame, columns: list[str], key: str, amount: str,
-    make: Callable[[dict], Callable],
-) -> DataFrame:
-    """Counts of one pass over ``docs`` per slice of ``kept``, written and read back."""
-    spark = docs.sparkSession
-    fields = ", ".join(f"{c} string" for c in columns) + f", {key} binary, {amount} long"
-    names = [*columns, key, amount]
-    found = None
+def _passes(docs: DataFrame, kept: DataFrame, make: Callable, keys: str, amount: str) -> DataFrame:
+    """``amount`` by ``keys``, summed over one pass of ``docs`` per slice of ``kept``.
+
+    A pass runs ``make(slice)`` over Arrow batches; its sums are written before the slice
+    leaves the executors.
+    """
+    spark, names = docs.sparkSession, [k.split()[0] for k in keys.split(", ")]
+    fields, found = f"{keys}, {amount} long", None
     for part in _slices(kept):
         shared = spark.sparkContext.broadcast(part)
-        rows = docs.select(*columns, "text").mapInArrow(_counted(names, make(shared)), fields)
-        rows = staged(rows.groupBy(*columns, key).agg(F.sum(amount).alias(amount)), key)
+        counted = docs.mapInArrow(make(shared), fields).groupBy(*names).agg(F.sum(amount).alias(amount))
+        counted = staged(counted, amount)
         shared.destroy()
-        found = rows if found is None else found.unionByName(rows)
+        found = counted if found is None else found.unionByName(counted)
     return spark.createDataFrame([], fields) if found is None else found
 
 
-def frequent_terms(docs: DataFrame, least: int = LEAST, first: int = FIRST_SIZE) -> DataFrame:
-    """(lang, term, docs): the terms of ``docs`` (lang, text) in at least ``least`` rows."""
-    spark = docs.sparkSession
-    langs = docs.select("lang").distinct()
-    kept = staged(langs.select("lang", F.lit(b"").alias("key")), "prefixes")
-    size, parent, found = first, 0, None
+class _Prefixes(dict):
+    """Terms to their key on one level: None below parents that are not kept."""
+
+    def __init__(self, known: dict[bytes, int], size: int, parent: int):
+        self.known, self.size, self.parent = known, size, parent
+
+    def __missing__(self, term: bytes) -> bytes | None:
+        key = term[: self.size] if term[: self.parent] in self.known else None
+        if len(term) <= REMEMBERED_BYTES:
+            self[term] = key
+        return key
 
-    while not kept.isEmpty():
 
-        def make(shared, size: int = size, parent: int = parent):
-            def add(counter: Counter, group: tuple, text: bytes) -> None:
-                known = shared.value.get(group[0])
-                if known:
-                    counter.update({t[:size] for t in terms_of(text) if t[:parent] in known})
+def _document_counts(shared, size: int, parent: int) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    """Batches of (lang, text) to batches of (lang, key, docs)."""
 
-            return add
+    def count(batches: Batches) -> Iterator[pa.RecordBatch]:
+        levels = {lang: _Prefixes(known, size, parent) for lang, known in shared.value.items()}
+        counts: dict[str, Counter] = {lang: Counter() for lang in levels}
 
-        counts = _passes(docs, kept, ["lang"], "key", "docs", make).filter(F.col("docs") >= least)
+        def handed_on() -> pa.RecordBatch:
+            langs = [lang for lang, counter in counts.items() for _ in range(len(counter))]
+            keys = [key for counter in counts.values() for key in counter]
+            docs = [n for counter in counts.values() for n in counter.values()]
+            for counter in counts.values():
+                counter.clear()
+            columns = [pa.array(langs, pa.string()), pa.array(keys, pa.binary()), pa.array(docs, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "key", "docs"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):  # texts may be long: a few at a time
+                part = batch.slice(at, 500)
+                for lang, text in zip(part.column(0).to_pylist(), raw(part.column(1)), strict=True):
+                    level = levels.get(lang)
+                    if level is None:
+                        continue
+                    found = set(map(level.__getitem__, terms_of(text)))
+                    found.discard(None)
+                    counts[lang].update(found)
+                    if len(level) > HELD_KEYS:
+                        level.clear()
+            if sum(map(len, counts.values())) > HELD_KEYS:
+                yield handed_on()
+        yield handed_on()
+
+    return count
+
+
+def frequent_terms(docs: DataFrame, least: int = LEAST, first: int = FIRST_SIZE) -> DataFrame:
+    """(lang, term, number, docs): the terms of ``docs`` (lang, text) in at least ``least``
+    rows, each with a number of its own."""
+    spark = docs.sparkSession
+    none = F.lit(0).cast("long").alias("number")
+    kept = staged(docs.select("lang").distinct().select("lang", F.lit(b"").alias("key"), none), "langs")
+    size, parent, found = first, 0, None
+    while not kept.isEmpty():
+        make = partial(_document_counts, size=size, parent=parent)
+        counts = _passes(docs, kept, make, "lang string, key binary", "docs").filter(F.col("docs") >= least)
         whole = F.octet_length("key") < size  # shorter than the level: the term ends here
         terms = counts.filter(whole).withColumnRenamed("key", "term")
         found = terms if found is None else found.unionByName(terms)
-        kept = counts.filter(~whole)
+        kept = counts.filter(~whole).withColumn("number", none)
         size, parent = 2 * size, size
     if found is None:
-        return spark.createDataFrame([], "lang string, term binary, docs long")
-    return staged(found, "terms")
+        return spark.createDataFrame([], "lang string, term binary, docs long, number long")
+    return staged(found.withColumn("number", F.monotonically_increasing_id()), "terms")
 
 
-def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(lang, source, term, count): occurrences of kept terms, without zeros."""
+def _occurrences(shared) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    """Batches of (lang, source, text) to batches of (source, number, count)."""
 
-    def make(shared):
-        def add(counter: Counter, group: tuple, text: bytes) -> None:
-            known = shared.value.get(group[0])
-            if known:
-                counter.update([t for t in terms_of(text) if t in known])
+    def count(batches: Batches) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[np.ndarray]] = {}
+        size = 0
 
-        return add
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            for source, parts in held.items():
+                numbers, counts = np.unique(np.concatenate(parts), return_counts=True)
+                places = pa.array(np.zeros(len(numbers), np.int32))
+                sources = pa.DictionaryArray.from_arrays(places, pa.array([source], pa.string()))
+                columns = [sources.cast(pa.string()), pa.array(numbers), pa.array(counts.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["source", "number", "count"])
+            held.clear()
 
-    kept = terms.select("lang", F.col("term").alias("key"))
-    return _passes(docs, kept, ["lang", "source"], "term", "count", make)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                groups = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
+                for (lang, source), text in zip(groups, raw(part.column(2)), strict=True):
+                    known = shared.value.get(lang)
+                    if known:
+                        numbers = [known[t] for t in terms_of(text) if t in known]
+                        held.setdefault(source, []).append(np.array(numbers, np.int64))
+                        size += len(numbers)
+                if size > HELD_OCCURRENCES:
+                    yield from handed_on()
+                    size = 0
+        yield from handed_on()
+
+    return count
+
+
+def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(lang, source, term, count): occurrences of kept terms, without zeros.
+
+    A number stands for a term and its language until the counts are summed.
+    """
+    kept = terms.select("lang", F.col("term").alias("key"), "number")
+    counts = _passes(docs, kept, _occurrences, "source string, number long", "count")
+    return counts.join(terms.drop("docs"), "number").select("lang", "source", "term", "count")
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -163,7 +200,7 @@ def _compared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.stack([np.abs(b - a[:, i : i + 1]).sum(0) for i in range(a.shape[1])])
 
 
-def _compare_blocks(table: pa.Table) -> pa.Table:
+def _compare_blocks(table: pa.Table, block_size: int) -> pa.Table:
     """The sums of one chunk of terms for the sources of two blocks.
 
     Rows hold one term's shares in one block; the row without a term has the shares that
@@ -187,8 +224,8 @@ def _compare_blocks(table: pa.Table) -> pa.Table:
     size = sums.size
     return pa.table({
         "lang": pa.array([key["lang"]] * size, pa.string()),
-        "left": pa.array((i + key["left"] * BLOCK).ravel(), pa.int64()),
-        "right": pa.array((j + key["right"] * BLOCK).ravel(), pa.int64()),
+        "left": pa.array((i + key["left"] * block_size).ravel(), pa.int64()),
+        "right": pa.array((j + key["right"] * block_size).ravel(), pa.int64()),
         "apart": pa.array(sums.ravel(), pa.int64()),
         "seen": pa.array(np.full(size, len(terms)), pa.int64()),
     })
@@ -196,7 +233,7 @@ def _compare_blocks(table: pa.Table) -> pa.Table:
 
 @dataclass
 class SourceAudit:
-    """terms: (lang, term, docs); groups: (lang, source, total, terms, number, base);
+    """terms: (lang, term, docs, number); groups: (lang, source, total, terms, number, base);
     shares: (lang, source, term, count, share), without terms that do not occur there."""
 
     terms: DataFrame
@@ -245,8 +282,13 @@ class SourceAudit:
                 F.col("cells.share").alias("shares"),
             )
         )
+        block_size = BLOCK
+
+        def compare(table: pa.Table) -> pa.Table:
+            return _compare_blocks(table, block_size)
+
         sums = met.groupBy("lang", "left", "right", "chunk").applyInArrow(
-            _compare_blocks, "lang string, left long, right long, apart long, seen long"
+            compare, "lang string, left long, right long, apart long, seen long"
         )
         sums = sums.filter("left < right").groupBy("lang", "left", "right")
         sums = sums.agg(F.sum("apart").alias("apart"), F.sum("seen").alias("seen"))
@@ -307,7 +349,7 @@ def audit_sources(
         ]
     )
     terms = frequent_terms(rows.select("lang", "text"), least)
-    counts = term_counts(rows, terms)
+    counts = term_counts(rows.select("lang", "source", "text"), terms)
     kept = terms.groupBy("lang").agg(F.count("*").alias("terms"))
     totals = counts.groupBy("lang", "source").agg(F.sum("count").alias("total"))
     zero = F.lit(0).cast("long")
