@@ -66,10 +66,10 @@ def _(t):
 
 @query(
     "i02_recent_revenue",
-    f"select * from revenue where order_id in (select order_id from joined "
-    f"where first_item_created_at >= {SQL_AS_OF} - interval 14 day "
-    f"or last_refund_at >= {SQL_AS_OF} - interval 14 day "
-    f"or shipped_at >= {SQL_AS_OF} - interval 14 day)",
+    f", recent as (select order_id from joined "
+    f"where greatest(first_item_created_at, last_refund_at, shipped_at) "
+    f">= {SQL_AS_OF} - interval 14 day) "
+    f"select r.* from revenue r semi join recent c on c.order_id = r.order_id",
 )
 def _(t):
     return orders.revenue(t.joined, Lookback(AS_OF))

@@ -27,6 +27,7 @@ from ledgermill.operators.fiscal import (
 )
 from ledgermill.operators.joins import as_of_join, full_outer, full_outer_many_to_one
 from ledgermill.operators.orders import CUTOFF_RISK, PENDING, Lookback
+from ledgermill.operators.prefix import running_sums
 from ledgermill.operators.reports import by_severity
 from ledgermill.operators.subset import sample_products
 from ledgermill.session import staged
@@ -220,6 +221,32 @@ def _(t):
     return as_of_join(facts, prices, "product_id", col("created_at"))
 
 
+@query(
+    "j05_hot_as_of",
+    """, placed as (
+        select order_item_status as status, cast(created_at as date) as day, count(*) as lines
+        from order_items where created_at is not null and order_item_status is not null
+        group by 1, 2)
+    select order_item_id, order_item_status, shipped_at, lines
+    from order_items asof left join placed
+        on status = order_item_status and shipped_at >= day""",
+)
+def _(t):
+    """Few keys, each with thousands of versions and up to half of all facts."""
+    day = col("created_at").cast("date").cast("timestamp")
+    placed = (
+        t.order_items.filter(col("created_at").isNotNull())
+        .groupBy("order_item_status", day.alias("valid_from"))
+        .agg(F.count(F.lit(1)).alias("lines"))
+    )
+    in_order = Window.partitionBy("order_item_status").orderBy("valid_from")
+    history = placed.withColumn("valid_to", F.lead("valid_from").over(in_order))
+    facts = t.order_items.select("order_item_id", "order_item_status", "shipped_at")
+    return as_of_join(
+        facts, history, "order_item_status", col("shipped_at"), "valid_from", "valid_to", 10_000
+    )
+
+
 @query(
     "j06_lookup_join",
     "select product_id, category, risk_tier, materiality_threshold from products "
@@ -459,13 +486,27 @@ def _(t):
         .groupBy("order_status", col("created_at").cast("date").alias("day"))
         .agg(exact_sum(col("gross_revenue")).alias("amount"))
     )
-    so_far = (
-        Window.partitionBy("order_status")
-        .orderBy("day")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return running_sums(daily, ["order_status"], "day", ["amount"]).select(
+        "order_status", "day", col("running_amount").cast("double").alias("running")
+    )
+
+
+@query(
+    "w02_daily_total",
+    """select day, cast(sum(amount) over (order by day rows unbounded preceding) as double)
+        as running, lead(day) over (order by day) as next_day
+    from (select cast(created_at as date) as day, sum(cast(sale_price as decimal(18,2))) as amount
+        from order_items where created_at is not null group by 1)""",
+)
+def _(t):
+    """A total without a group: blocks of days, no window over the whole calendar's rows."""
+    daily = (
+        t.order_items.filter(col("created_at").isNotNull())
+        .groupBy(col("created_at").cast("date").alias("day"))
+        .agg(exact_sum(col("sale_price")).alias("amount"))
     )
-    return daily.select(
-        "order_status", "day", F.sum("amount").over(so_far).cast("double").alias("running")
+    return running_sums(daily, [], "day", ["amount"]).select(
+        "day", col("running_amount").cast("double").alias("running"), "next_day"
     )
 
 

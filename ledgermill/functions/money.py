@@ -3,8 +3,8 @@
 A sum of doubles depends on the order of its rows, which on a cluster changes from run
 to run. Amounts are therefore cut into whole units and millionths of a unit, and both are
 added as plain longs: eight times faster than a decimal sum, with room for 9.2e18 currency
-units per group. An amount outside that range is an error in every session, whatever its
-ANSI setting. What is below half a millionth of a unit is rounded away per amount.
+units per group. An amount or a sum outside that range is an error in every session,
+whatever its ANSI setting. What is below half a millionth of a unit is rounded away per amount.
 """
 
 from __future__ import annotations
@@ -32,12 +32,27 @@ def join_amount(high: Column, low: Column) -> Column:
     return high.cast("decimal(20,0)") + millionths
 
 
+def checked_sum(part: Column) -> Column:
+    """Sum of longs. One beyond their range is an error with ANSI mode off, too."""
+    total = F.try_sum(part)
+    beyond = F.raise_error(F.lit(f"a sum is not within {LIMIT:g}")).cast("long")
+    return F.when(total.isNull() & (F.count(part) > 0), beyond).otherwise(total)
+
+
+def checked_product(amount: Column, weight: Column) -> Column:
+    """``amount * weight`` of longs, an error beyond their range."""
+    found = F.try_multiply(amount, weight.cast("long"))
+    beyond = F.raise_error(F.lit(f"an amount times its weight is not within {LIMIT:g}"))
+    missing = amount.isNotNull() & weight.isNotNull() & found.isNull()
+    return F.when(missing, beyond.cast("long")).otherwise(found)
+
+
 def exact_sum(amount: Column, weight: Column | None = None) -> Column:
     """Sum of a double column, optionally of ``amount * weight``, as a decimal."""
     high, low = split_amount(amount)
     if weight is not None:
-        high, low = high * weight, low * weight
-    return join_amount(F.sum(high), F.sum(low))
+        high, low = checked_product(high, weight), checked_product(low, weight)
+    return join_amount(checked_sum(high), checked_sum(low))
 
 
 def to_cents(amount: Column) -> Column:

@@ -12,16 +12,18 @@ import warnings
 from collections import defaultdict
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import as_of_column, exact_sum
 from ledgermill.functions.calendar import AsOf
 from ledgermill.metrics.finance import METRICS, MODELS, YEAR_END_BALANCES
 from ledgermill.metrics.model import Cumulative, Derived, Measure, Ratio, SemanticModel, Simple
+from ledgermill.operators.prefix import day_block, running_sums
 
 GRAINS = ("day", "week", "month", "quarter", "year")
 METRIC_TIME = "metric_time"
+SPINE_BIN_DAYS = {"day": 32, "week": 224, "month": 1024, "quarter": 3072, "year": 12288}
 ITEM = re.compile(r"\b[a-z]\w*?__\w+\b")
 
 
@@ -73,9 +75,17 @@ class MetricStore:
     """Answers metric queries over the mart frames, by name of the semantic model."""
 
     def __init__(
-        self, tables: dict[str, DataFrame], as_of: AsOf = None, models=MODELS, metrics=METRICS
+        self,
+        tables: dict[str, DataFrame],
+        as_of: AsOf = None,
+        models=MODELS,
+        metrics=METRICS,
+        spine: DataFrame | None = None,
     ):
+        """``spine`` (date_day) lists the days cumulative metrics are reported for; without
+        one every period from the first to the last with data is."""
         self.tables = tables
+        self.spine = spine
         self.as_of = as_of
         self.models = {m.name: m for m in models}
         self.metrics = {m.name: m for m in metrics}
@@ -243,8 +253,7 @@ class MetricStore:
         df = self._base(model, group_by, conditions, first.late_filter)
         time = next((i for i in group_by if i.startswith(METRIC_TIME)), None)
         if first.cumulative:
-            frames = [self._running(df, leaf, model, group_by, time) for leaf in leaves]
-            return self._combine(frames, group_by)
+            return self._running(df, leaves, model, group_by, time)
         aggregates = [
             self._aggregate(df, model.measure(leaf.measure)).alias(leaf.column) for leaf in leaves
         ]
@@ -286,48 +295,75 @@ class MetricStore:
     def _running(
         self,
         df: DataFrame,
-        leaf: Leaf,
+        leaves: list[Leaf],
         model: SemanticModel,
         group_by: list[str],
         time: str | None,
     ) -> DataFrame:
-        """Running value of a measure, repeated through periods without rows.
+        """Running values of measures, repeated through periods without rows.
 
-        The window runs over one row per group and period, so its longest partition is the
-        number of periods in the calendar. A distinct count adds each value in the period
-        that shows it first.
+        All sums of the model come from one aggregation; a distinct count adds each value in
+        the period that shows it first. Running sums are built from blocks of days, and the
+        time spine is joined to the span of periods in which each of them holds.
         """
-        measure = model.measure(leaf.measure)
-        others = [F.col(i) for i in group_by if i != time]
+        others = [i for i in group_by if i != time]
+        measures = {leaf.column: model.measure(leaf.measure) for leaf in leaves}
         if time is None:
             happened = self._expr(model.time_dimensions[model.metric_time]).isNotNull()
-            total = self._aggregate(df, measure).alias(leaf.column)
-            return df.filter(happened).groupBy(*others).agg(total)
+            totals = [self._aggregate(df, m).alias(column) for column, m in measures.items()]
+            return df.filter(happened).groupBy(*others).agg(*totals)
         dated = df.filter(F.col(time).isNotNull())
-        last = dated.agg(F.max(time)).scalar()
-        if measure.agg == "count_distinct":
-            seen = dated.withColumn("__value", F.expr(measure.expr))
-            seen = seen.filter(F.col("__value").isNotNull())
-            firsts = seen.groupBy(*others, "__value").agg(F.min(time).alias(time))
-            steps = firsts.groupBy(*others, time).agg(F.count(F.lit(1)).alias("__step"))
-        else:
-            amount = exact_sum(F.expr(measure.expr))
-            steps = dated.groupBy(*others, time).agg(amount.alias("__step"))
-        in_order = Window.partitionBy(*others).orderBy(time)
-        so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        total = F.sum("__step").over(so_far)
-        if measure.agg != "count_distinct":
-            total = total.cast("double")
-        step = _step(_grain_of(time) or "day")
-        before_next = (F.lead(time).over(in_order) - step).cast("date")
-        spans = steps.withColumn("__last", last).select(
-            *others,
-            F.col(time).alias("__from"),
-            F.coalesce(before_next, "__last").alias("__until"),
-            total.alias(leaf.column),
+        sums = [c for c, m in measures.items() if m.agg != "count_distinct"]
+        frames = []
+        if sums:
+            amounts = [exact_sum(F.expr(measures[c].expr)).alias(c) for c in sums]
+            frames.append(dated.groupBy(*others, time).agg(*amounts))
+        for column, measure in measures.items():
+            if measure.agg == "count_distinct":
+                seen = dated.withColumn("__value", F.expr(measure.expr))
+                seen = seen.filter(F.col("__value").isNotNull())
+                firsts = seen.groupBy(*others, "__value").agg(F.min(time).alias(time))
+                frames.append(firsts.groupBy(*others, time).agg(F.count(F.lit(1)).alias(column)))
+        steps = self._combine(frames, [*others, time])
+        running = running_sums(steps, others, time, list(measures), day_block(F.col(time)))
+        totals = [
+            F.col(f"running_{c}").cast("double" if c in sums else "long").alias(c) for c in measures
+        ]
+        spans = running.select(
+            *others, F.col(time).alias("__from"), F.col(f"next_{time}").alias("__until"), *totals
         )
-        periods = F.explode(F.sequence("__from", "__until", step)).alias(time)
-        return spans.select(*others, periods, leaf.value())
+        return self._along_spine(spans, self._spine(steps, time), time, [*others, *measures])
+
+    def _spine(self, steps: DataFrame, time: str) -> DataFrame:
+        """The periods of the spine from the first to the last with data, as column ``time``."""
+        grain = _grain_of(time) or "day"
+        ends = steps.agg(F.min(time).alias("first"), F.max(time).alias("last"))
+        if self.spine is None:
+            periods = F.explode(F.sequence("first", "last", _step(grain)))
+            return ends.filter("first is not null").select(periods.alias(time), "last")
+        listed = self.spine.select(_truncate(grain, F.col("date_day")).alias(time)).distinct()
+        return listed.join(ends, F.col(time).between(F.col("first"), F.col("last"))).drop("first")
+
+    @staticmethod
+    def _along_spine(
+        spans: DataFrame, spine: DataFrame, time: str, columns: list[str]
+    ) -> DataFrame:
+        """Each span (from, until) met with the periods of the spine inside it.
+
+        A range join on bins of periods: a span names the bins it touches, up to the last
+        period, and meets only the periods of those.
+        """
+        last = spine.agg(F.max("last")).scalar()
+        grain = _grain_of(time) or "day"
+        width = SPINE_BIN_DAYS[grain]
+        until = F.coalesce(F.date_sub("__until", 1), last)
+        bins = F.sequence(day_block(F.col("__from"), width), day_block(until, width))
+        binned = spans.withColumn("__bin", F.explode(bins))
+        inside = (F.col("__bin") == F.col("__spine_bin")) & (F.col(time) >= F.col("__from"))
+        inside = inside & (F.col("__until").isNull() | (F.col(time) < F.col("__until")))
+        listed = spine.select(time, day_block(F.col(time), width).alias("__spine_bin"))
+        met = binned.join(listed, inside)
+        return met.select(time, *columns)
 
     @staticmethod
     def _combine(frames: list[DataFrame], group_by: list[str]) -> DataFrame:

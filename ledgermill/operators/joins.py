@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgermill.session import staged
+
 _SPREAD = "__null_spread"
+HOT_SHARE = 1 / 64  # of the rows: keys with more are dealt over several tasks
+HOT_ROWS = 100_000
+TRACKED = 1024  # keys in the sketch that finds them
+SALTS = 64
+SLICE_ROWS = 4_000_000  # facts and versions of one key that one task orders
+MOST_SLICES = 1024  # of one key
 
 
 def _with_null_spread(df: DataFrame, key: str) -> DataFrame:
@@ -34,19 +42,71 @@ def full_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     return joined.select(*left.columns, *right.columns)
 
 
+def hot_keys(rows: DataFrame, key: str) -> list:
+    """Keys that hold more than ``HOT_SHARE`` of the rows and ``HOT_ROWS`` of them at least.
+
+    One pass over the key with a sketch of the most frequent ones; its counts are at most
+    3.5 / ``TRACKED`` of the rows too high and never too low, so that no hot key is missed and
+    every key listed occurs.
+    """
+    listed = f"approx_top_k({key}, {2 * int(1 / HOT_SHARE)}, {TRACKED})"
+    found = rows.filter(F.col(key).isNotNull()).agg(
+        F.count(F.lit(1)).alias("rows"), F.expr(listed).alias("top")
+    ).first()
+    least = max(HOT_ROWS, found["rows"] * HOT_SHARE)
+    return sorted(top["item"] for top in found["top"] or [] if top["count"] > least)
+
+
 def full_outer_many_to_one(
     many: DataFrame, one: DataFrame, many_key: str, one_key: str
 ) -> DataFrame:
     """Full outer equi-join where ``many`` may repeat a key any number of times.
 
-    Written as the left outer join plus the unmatched rows of ``one``: unlike a full outer
-    join, adaptive execution may split both of these at a hot (or null) key. The keys that
-    did match are made distinct before their shuffle, so a hot key moves once per task.
+    Both sides are tagged and meet in one shuffle, each read once: within a key the rows of
+    ``one`` come first and reach the rows of ``many`` behind them. The rows of a hot key are
+    dealt by content over ``SALTS`` parts, each with a copy of its rows of ``one``, which are
+    matched by definition; all others stay in part 0, where a row of ``one`` that finds no
+    row of ``many`` is kept. Rows without a key match nothing and are dealt out by content.
     """
-    matched = many.join(one, F.col(many_key) == F.col(one_key), "left_outer")
-    keys = many.select(many_key).distinct()
-    unmatched = one.join(keys, F.col(one_key) == F.col(many_key), "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    hot = hot_keys(many, many_key)
+    key_type = many.schema[many_key].dataType
+    key = F.col("__key")
+    own = {f"__m{i}": field for i, field in enumerate(many.schema.fields)}
+    by_content = F.pmod(F.xxhash64(*own, "__one"), F.lit(SALTS)).cast("int")
+    is_hot = key.isin(hot) if hot else F.lit(False)
+    left = many.select(
+        F.col(many_key).alias("__key"),
+        F.lit(1).alias("__side"),
+        *[F.col(field.name).alias(name) for name, field in own.items()],
+        F.lit(None).cast(one.schema).alias("__one"),
+    ).withColumn("__salt", F.when(key.isNull() | is_hot, by_content).otherwise(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
+        F.array(F.when(key.isNull(), by_content).otherwise(0))
+    )
+    right = one.select(
+        F.col(one_key).cast(key_type).alias("__key"),
+        F.lit(0).alias("__side"),
+        *[F.lit(None).cast(field.dataType).alias(name) for name, field in own.items()],
+        F.struct(*one.columns).alias("__one"),
+    ).withColumn("__salt", F.explode(copies))
+    group = Window.partitionBy("__key", "__salt").orderBy("__side")
+    so_far = group.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = group.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    met = left.unionByName(right).select(
+        "__key", "__side", *own, "__one",
+        F.collect_list("__one").over(so_far).alias("__ones"),
+        F.max("__side").over(whole).alias("__sides"),
+    )
+    is_many = F.col("__side") == 1
+    alone = key.isNull() | ((F.col("__sides") == 0) & ~is_hot)
+    matches = F.when(is_many & key.isNotNull() & (F.size("__ones") > 0), F.col("__ones"))
+    rows = met.filter(is_many | alone).select(
+        *own, F.explode(F.coalesce(matches, F.array("__one"))).alias("__match")
+    )
+    return rows.select(
+        *[F.col(name).alias(field.name) for name, field in own.items()],
+        *[F.col("__match")[c].alias(c) for c in one.columns],
+    )
 
 
 def valid_at(instant: Column, valid_from: Column, valid_to: Column) -> Column:
@@ -54,6 +114,41 @@ def valid_at(instant: Column, valid_from: Column, valid_to: Column) -> Column:
     return (instant >= valid_from) & (valid_to.isNull() | (instant < valid_to))
 
 
+def _slices_of(events: DataFrame, slice_rows: int) -> DataFrame | None:
+    """(__key, __cuts): the instants that cut keys of more than ``slice_rows`` rows into
+    slices of about that size; None without such a key."""
+    counts = events.groupBy("__key").agg(F.count(F.lit(1)).alias("__rows"))
+    heavy = staged(counts.filter(F.col("__rows") > slice_rows), "heavy-keys")
+    most = heavy.agg(F.max("__rows")).first()[0]
+    if most is None:
+        return None
+    parts = min(MOST_SLICES, -(-most // slice_rows))
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    cuts = F.percentile_approx("__at", shares, 10 * parts)
+    wanted = F.least(F.lit(parts), F.ceil(F.first("__rows") / slice_rows)).cast("int")
+    step = F.sequence(F.lit(1), wanted - 1)
+    found = events.join(heavy, "__key").groupBy("__key").agg(cuts.alias("all"), step.alias("steps"))
+    thinned = F.transform("steps", lambda i: F.element_at("all", F.ceil(i * parts / (F.size("steps") + 1)).cast("int")))
+    return staged(found.select("__key", F.array_sort(F.array_distinct(thinned)).alias("__cuts")), "cuts")
+
+
+def _carried_in(versions: DataFrame, cuts: DataFrame) -> DataFrame:
+    """The version each slice starts with: the last one that began in a slice before it."""
+    last = versions.groupBy("__key", "__slice").agg(F.max_by("__version", F.struct("__at", "__rank")).alias("v"),
+                                                    F.max("__at").alias("__at"))
+    every = cuts.select("__key", F.explode(F.sequence(F.lit(0), F.size("__cuts"))).alias("__slice"))
+    before = (
+        Window.partitionBy("__key").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    seen = every.join(last, ["__key", "__slice"], "left_outer").select(
+        "__key",
+        "__slice",
+        F.last("v", ignorenulls=True).over(before).alias("__version"),
+        F.last("__at", ignorenulls=True).over(before).alias("__at"),
+    )
+    return seen.filter(F.col("__version").isNotNull())
+
+
 def as_of_join(
     facts: DataFrame,
     history: DataFrame,
@@ -61,14 +156,57 @@ def as_of_join(
     instant: Column,
     valid_from: str = "dbt_valid_from",
     valid_to: str = "dbt_valid_to",
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Left join of each fact to the version of ``key`` valid at ``instant``.
 
-    The key makes it a hash or merge join with the interval as residual condition. Columns
-    of the history other than the key and the interval are added to the facts.
+    A sweep, not a join: facts and versions are ordered together by key and instant, and one
+    pass carries the last version begun to the facts behind it. A key of more than
+    ``slice_rows`` rows is cut into slices of time, and a small table tells the version each
+    slice starts with, so a key's facts and versions may both be many. Facts without a key or
+    an instant are dealt out by content. The versions of a key must not overlap, as a history
+    of type 2 guarantees; of overlapping ones the last begun counts. Columns of the history
+    other than the key and the interval are added to the facts.
     """
-    versions = history.withColumnRenamed(key, "__version_key")
-    condition = (F.col(key) == F.col("__version_key")) & valid_at(
-        instant, F.col(valid_from), F.col(valid_to)
+    carried = [c for c in history.columns if c not in (key, valid_from, valid_to)]
+    begun, ended = F.col(valid_from), F.col(valid_to)
+    open_end = F.struct(ended.isNull().alias("open"), ended.alias("end"))  # of equal starts, the open one
+    versions = history.filter(F.col(key).isNotNull() & begun.isNotNull()).select(
+        F.col(key).alias("__key"),
+        begun.cast("timestamp").alias("__at"),
+        open_end.alias("__rank"),
+        F.struct(ended.cast("timestamp").alias("__end"), *carried).alias("__version"),
+    )
+    rows = facts.select(
+        F.col(key).cast(history.schema[key].dataType).alias("__key"),
+        instant.cast("timestamp").alias("__at"),
+        F.struct(*facts.columns).alias("__fact"),
+    )
+    events = rows.select("__key", "__at").filter("__key is not null and __at is not null")
+    cuts = _slices_of(events.unionByName(versions.select("__key", "__at")), slice_rows)
+    if cuts is None:
+        rows, versions = (side.withColumn("__slice", F.lit(0)) for side in (rows, versions))
+    else:
+        passed = F.size(F.filter("__cuts", lambda cut: cut <= F.col("__at")))
+        place = F.greatest(F.coalesce(passed, F.lit(0)), F.lit(0))
+        rows, versions = (
+            side.join(cuts, "__key", "left_outer").withColumn("__slice", place).drop("__cuts")
+            for side in (rows, versions)
+        )
+        versions = versions.unionByName(_carried_in(versions, cuts), allowMissingColumns=True)
+    unmatched = F.col("__key").isNull() | F.col("__at").isNull()
+    aside = -1 - F.pmod(F.xxhash64("__fact"), F.lit(SALTS)).cast("int")
+    rows = rows.withColumn("__slice", F.when(unmatched, aside).otherwise(F.col("__slice")))
+    both = versions.withColumn("__kind", F.lit(0)).unionByName(
+        rows.withColumn("__kind", F.lit(1)), allowMissingColumns=True
+    )
+    so_far = (
+        Window.partitionBy("__key", "__slice")
+        .orderBy("__at", "__kind", "__rank")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    swept = both.withColumn("__version", F.last("__version", ignorenulls=True).over(so_far))
+    current = F.col("__version.__end").isNull() | (F.col("__at") < F.col("__version.__end"))
+    return swept.filter("__kind = 1").select(
+        "__fact.*", *[F.when(current, F.col("__version")[c]).alias(c) for c in carried]
     )
-    return facts.join(versions, condition, "left_outer").drop("__version_key", valid_from, valid_to)

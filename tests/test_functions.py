@@ -62,3 +62,17 @@ def test_calendar(spark):
         fiscal_year_end(F.lit(2024), "2024-06-30"),
     ).first()
     assert tuple(row) == (1, date(2023, 12, 31), date(2024, 6, 30))
+
+
+def test_sums_beyond_their_range_are_errors_without_ansi(spark):
+    rows = spark.sql("select explode(array(5e18, 5e18)) as x, 3L as w")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="not within"):
+            rows.agg(exact_sum(F.col("x"))).collect()
+        with pytest.raises(Exception, match="not within"):
+            rows.agg(exact_sum(F.col("x"), F.col("w"))).collect()
+        assert rows.filter("x < 0").agg(exact_sum(F.col("x"))).first()[0] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

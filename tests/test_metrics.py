@@ -98,6 +98,27 @@ def test_year_to_date_restarts(store):
     assert found == [(date(2024, 1, 1), 1.0), (date(2024, 2, 1), 3.0)]
 
 
+def test_cumulative_follows_the_given_spine(spark, store):
+    """Periods come from the spine that is joined; several measures share one aggregation."""
+    s = store([order("1", JAN, 1.0), order("2", FEB, 2.0), order("3", APR, 4.0)])
+    s.spine = spark.sql("select explode(array(date'2024-01-20', date'2024-03-05', date'2024-07-01')) as date_day")
+    metrics = ["cumulative_gross_revenue", "cumulative_recognized_revenue", "cumulative_order_count"]
+    found = s.query(metrics, ["metric_time__month"])
+    assert rows(found) == [(date(2024, 1, 1), 1.0, 1.0, 1), (date(2024, 3, 1), 3.0, 3.0, 2)]
+    whole = store([order("1", JAN, 1.0)]).query(metrics[:2], ["metric_time__day"])
+    assert rows(whole) == [(date(2024, 1, 15), 1.0, 1.0)]
+    assert store([]).query(metrics, ["metric_time__day"]).count() == 0
+
+
+def test_cumulative_sums_share_an_aggregation(store):
+    s = store([order("1", JAN, 1.0)])
+    plan = s.query(["cumulative_gross_revenue", "cumulative_recognized_revenue"], ["metric_time__day"])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    # the sums, their blocks and the ends of the spine read one aggregation: no second pair of sums
+    single = s.query(["cumulative_gross_revenue"], ["metric_time__day"])._jdf.queryExecution()
+    assert text.count("Aggregate [") == single.optimizedPlan().toString().count("Aggregate [")
+
+
 def test_growth_is_null_without_the_month_before(store):
     s = store([order("1", JAN, 2.0), order("2", FEB, 3.0), order("3", APR, 4.0)])
     found = dict(rows(s.query(["gross_revenue_growth_mom"], ["metric_time__month"])))

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import random
 import re
+from collections import Counter
 from contextlib import contextmanager
+from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgermill.operators import inventory, orders
+from ledgermill.operators import inventory, joins, orders
 from ledgermill.operators.joins import full_outer, full_outer_many_to_one
 from ledgermill.operators.orders import Lookback
+from ledgermill.operators.prefix import running_sums
 from ledgermill.plans.daily import staged_sources
 from ledgermill.schemas import RAW_TABLES
 from ledgermill.session import stage_path
@@ -87,26 +92,18 @@ def test_item_aggregate_shuffles_once(sources):
     assert physical(orders.aggregate_order_items(both)).count("Exchange hashpartitioning") == 1
 
 
-def test_matched_keys_are_distinct_before_their_shuffle(spark, sources):
-    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        units = inventory.join_units(sources["raw_inventory_items"], sources["raw_order_items"])
-        plan = physical(units)
-    right = plan[plan.index("LeftAnti"):]
-    assert right.count("HashAggregate") == 2
-
-
-SKEW = {
-    "spark__sql__autoBroadcastJoinThreshold": "-1",
-    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
-    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "4KB",
-    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
-    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "4KB",
-}
+def test_units_meet_in_one_shuffle(spark, sources):
+    """Receipts and lines are each read once; no join stands in the plan."""
+    units = inventory.join_units(sources["raw_inventory_items"], sources["raw_order_items"])
+    plan = physical(units)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert plan.count("FileScan") == 2
 
 
 @pytest.mark.parametrize("hot", ["7", None])
-def test_a_hot_unit_is_split(spark, hot):
+def test_a_hot_unit_is_split(spark, monkeypatch, hot):
     """A third of all lines points at one unit, or at none."""
+    monkeypatch.setattr(joins, "HOT_ROWS", 1000)
     many = spark.range(0, 60000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id").cast("string")).alias("k"),
         F.xxhash64("id").alias("amount"),
@@ -114,11 +111,12 @@ def test_a_hot_unit_is_split(spark, hot):
     one = spark.range(0, 60000, 1, 8).select(
         F.col("id").cast("string").alias("unit"), F.xxhash64("id").alias("cost")
     )
-    with conf(spark, **SKEW):
+    assert joins.hot_keys(many, "k") == ([hot] if hot else [])
+    with conf(spark, spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="50"):
         joined = full_outer_many_to_one(many, one, "k", "unit")
-        plan = final_plan(joined)
-        assert "skew=true" in plan
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         counts = joined.agg(F.count("k"), F.count("unit"), F.count(F.lit(1))).first()
+    assert max(sizes) < 4 * sum(sizes) / len(sizes)
     keys = {str(i) for i in range(60000) if i % 3} | ({hot} if hot else set())
     matched = 40000 + (20000 if hot else 0)
     unmatched = 60000 - len(keys)
@@ -126,6 +124,94 @@ def test_a_hot_unit_is_split(spark, hot):
     assert tuple(counts) == (matched, matched + unmatched, lines + unmatched)
 
 
+def test_full_outer_equals_the_join(spark, monkeypatch):
+    """Repeated and missing keys on both sides, with and without hot keys."""
+    many = spark.createDataFrame(
+        [("a", 1), ("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 4), ("z", None)], "k string, x int"
+    )
+    one = spark.createDataFrame(
+        [("a", 1.0), ("a", 2.0), ("c", 3.0), (None, 4.0), ("z", None)], "u string, y double"
+    )
+    expected = Counter(map(tuple, many.join(one, F.col("k") == F.col("u"), "full_outer").collect()))
+    for least in (100_000, 1):
+        monkeypatch.setattr(joins, "HOT_ROWS", least)
+        found = full_outer_many_to_one(many, one, "k", "u")
+        assert found.columns == ["k", "x", "u", "y"]
+        assert Counter(map(tuple, found.collect())) == expected
+    nothing = full_outer_many_to_one(many.limit(0), one, "k", "u")
+    assert nothing.count() == 5 and nothing.filter("k is not null").count() == 0
+
+
+def plain_as_of(facts, history):
+    found = []
+    for key, at, x in facts:
+        valid = [v for k, start, end, v in history
+                 if key is not None and at is not None and k == key and start <= at and (end is None or at < end)]
+        found += [(key, at, x, v) for v in valid or [None]]
+    return Counter(found)
+
+
+@pytest.mark.parametrize("slice_rows", [1_000_000, 50, 7])
+def test_as_of_sweep_equals_plain_python(spark, slice_rows):
+    """A key with most of the facts and versions, facts at the instants of versions, gaps."""
+    chance = random.Random(slice_rows)
+    day = lambda n: datetime(2020, 1, 1) + timedelta(hours=n)
+    history, facts = [], []
+    for key, n in (("hot", 120), ("cold", 2), ("never sold", 1)):
+        cuts = sorted(chance.sample(range(1000), 2 * n))
+        for start, end in zip(cuts[::2], cuts[1::2], strict=True):
+            history.append((key, day(start), day(end), start))
+    history += [("hot", day(1000), None, 1000), ("cold", day(900), None, None)]
+    for i in range(400):
+        facts.append((chance.choice(["hot"] * 6 + ["cold", "none", None]), chance.choice([day(chance.randrange(1100)), None, day(500)]), i))
+    versions = spark.createDataFrame(history, "k string, valid_from timestamp, valid_to timestamp, v int")
+    rows = spark.createDataFrame(facts, "k string, at timestamp, x int").repartition(5)
+    found = joins.as_of_join(rows, versions, "k", F.col("at"), "valid_from", "valid_to", slice_rows)
+    assert found.columns == ["k", "at", "x", "v"]
+    assert Counter(map(tuple, found.collect())) == plain_as_of(facts, history)
+    empty = joins.as_of_join(rows, versions.limit(0), "k", F.col("at"), "valid_from", "valid_to", slice_rows)
+    assert empty.count() == 400 and empty.filter("v is not null").count() == 0
+
+
+def test_as_of_sweep_joins_no_versions(spark):
+    """Half of all facts of one product with 10,000 versions: no join in the plan but that
+    with the few cuts, and no task with much more than its share."""
+    facts = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, F.lit("p")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.timestamp_seconds(F.col("id") * 7).alias("at"),
+    )
+    versions = spark.range(0, 10_000, 1, 8).select(
+        F.lit("p").alias("k"),
+        F.timestamp_seconds(F.col("id") * 28).alias("valid_from"),
+        F.timestamp_seconds(F.col("id") * 28 + 28).alias("valid_to"),
+        F.col("id").alias("v"),
+    )
+    whole = joins.as_of_join(facts, versions, "k", F.col("at"), "valid_from", "valid_to")
+    assert "Join" not in physical(whole)
+    with conf(spark, spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="20"):
+        swept = joins.as_of_join(facts, versions, "k", F.col("at"), "valid_from", "valid_to", 1000)
+        sizes = [r["count"] for r in swept.groupBy(F.spark_partition_id()).count().collect()]
+        assert swept.filter("k = 'p' and v = floor(unix_seconds(at) / 28)").count() == 20_000
+    assert max(sizes) < 4 * sum(sizes) / len(sizes)
+
+
+def test_running_sums_equal_a_window(spark):
+    rows = spark.range(0, 3000, 1, 4).select(
+        F.date_add(F.lit("1960-01-01"), (F.col("id") * 13 % 9001).cast("int")).alias("day"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 4).alias("g"),
+        F.when(F.col("id") % 11 > 0, F.col("id").cast("decimal(20,2)")).alias("x"),
+    )
+    for group in ([], ["g"]):
+        daily = rows.groupBy(*group, "day").agg(F.sum("x").alias("x"))
+        order = Window.partitionBy(*group).orderBy("day")
+        expected = daily.select(
+            *group, "day", F.sum("x").over(order).alias("running_x"), F.lead("day").over(order).alias("next_day")
+        )
+        found = running_sums(daily, group, "day", ["x"]).select(expected.columns)
+        assert Counter(map(tuple, found.collect())) == Counter(map(tuple, expected.collect()))
+    assert running_sums(daily.limit(0), group, "day", ["x"]).count() == 0
+
+
 def test_rows_without_a_key_are_spread(spark):
     left = spark.range(0, 4000, 1, 4).select(
         F.when(F.col("id") < 0, F.col("id").cast("string")).alias("a"), F.col("id").alias("x")
