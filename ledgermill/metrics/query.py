@@ -11,6 +11,7 @@ import re
 import warnings
 from collections import defaultdict
 from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from ledgermill.functions.calendar import AsOf
 from ledgermill.metrics.finance import METRICS, MODELS, YEAR_END_BALANCES
 from ledgermill.metrics.model import Cumulative, Derived, Measure, Ratio, SemanticModel, Simple
 from ledgermill.operators.prefix import day_block, running_sums
+from ledgermill.session import staged
 
 GRAINS = ("day", "week", "month", "quarter", "year")
 METRIC_TIME = "metric_time"
@@ -324,7 +326,7 @@ class MetricStore:
                 seen = seen.filter(F.col("__value").isNotNull())
                 firsts = seen.groupBy(*others, "__value").agg(F.min(time).alias(time))
                 frames.append(firsts.groupBy(*others, time).agg(F.count(F.lit(1)).alias(column)))
-        steps = self._combine(frames, [*others, time])
+        steps = staged(self._combine(frames, [*others, time]), "steps")  # read three times
         running = running_sums(steps, others, time, list(measures), day_block(F.col(time)))
         totals = [
             F.col(f"running_{c}").cast("double" if c in sums else "long").alias(c) for c in measures
@@ -332,38 +334,34 @@ class MetricStore:
         spans = running.select(
             *others, F.col(time).alias("__from"), F.col(f"next_{time}").alias("__until"), *totals
         )
-        return self._along_spine(spans, self._spine(steps, time), time, [*others, *measures])
+        first, last = steps.agg(F.min(time), F.max(time)).first()
+        if first is None:
+            return spans.withColumn(time, F.col("__from")).select(*others, time, *measures)
+        return self._along_spine(spans, first, last, time, [*others, time, *measures])
 
-    def _spine(self, steps: DataFrame, time: str) -> DataFrame:
-        """The periods of the spine from the first to the last with data, as column ``time``."""
-        grain = _grain_of(time) or "day"
-        ends = steps.agg(F.min(time).alias("first"), F.max(time).alias("last"))
-        if self.spine is None:
-            periods = F.explode(F.sequence("first", "last", _step(grain)))
-            return ends.filter("first is not null").select(periods.alias(time), "last")
-        listed = self.spine.select(_truncate(grain, F.col("date_day")).alias(time)).distinct()
-        return listed.join(ends, F.col(time).between(F.col("first"), F.col("last"))).drop("first")
-
-    @staticmethod
     def _along_spine(
-        spans: DataFrame, spine: DataFrame, time: str, columns: list[str]
+        self, spans: DataFrame, first: date, last: date, time: str, columns: list[str]
     ) -> DataFrame:
         """Each span (from, until) met with the periods of the spine inside it.
 
         A range join on bins of periods: a span names the bins it touches, up to the last
-        period, and meets only the periods of those.
+        period with data, and meets only the periods of those.
         """
-        last = spine.agg(F.max("last")).scalar()
         grain = _grain_of(time) or "day"
         width = SPINE_BIN_DAYS[grain]
-        until = F.coalesce(F.date_sub("__until", 1), last)
+        if self.spine is None:
+            ends = [F.lit(day).cast("date") for day in (first, last)]
+            periods = F.explode(F.sequence(*ends, _step(grain))).alias(time)
+            listed = spans.sparkSession.range(1).select(periods)
+        else:
+            period = _truncate(grain, F.col("date_day")).alias(time)
+            listed = self.spine.select(period).distinct().filter(F.col(time).between(first, last))
+        listed = listed.withColumn("__spine_bin", day_block(F.col(time), width))
+        until = F.coalesce(F.date_sub("__until", 1), F.lit(last).cast("date"))
         bins = F.sequence(day_block(F.col("__from"), width), day_block(until, width))
-        binned = spans.withColumn("__bin", F.explode(bins))
         inside = (F.col("__bin") == F.col("__spine_bin")) & (F.col(time) >= F.col("__from"))
         inside = inside & (F.col("__until").isNull() | (F.col(time) < F.col("__until")))
-        listed = spine.select(time, day_block(F.col(time), width).alias("__spine_bin"))
-        met = binned.join(listed, inside)
-        return met.select(time, *columns)
+        return spans.withColumn("__bin", F.explode(bins)).join(listed, inside).select(*columns)
 
     @staticmethod
     def _combine(frames: list[DataFrame], group_by: list[str]) -> DataFrame:

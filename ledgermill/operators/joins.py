@@ -62,50 +62,30 @@ def full_outer_many_to_one(
 ) -> DataFrame:
     """Full outer equi-join where ``many`` may repeat a key any number of times.
 
-    Both sides are tagged and meet in one shuffle, each read once: within a key the rows of
-    ``one`` come first and reach the rows of ``many`` behind them. The rows of a hot key are
-    dealt by content over ``SALTS`` parts, each with a copy of its rows of ``one``, which are
-    matched by definition; all others stay in part 0, where a row of ``one`` that finds no
-    row of ``many`` is kept. Rows without a key match nothing and are dealt out by content.
+    Both sides are read once and meet in one shuffle, which also tells the rows of ``one``
+    that find nothing. Adaptive execution cannot split a full outer join, so keys carry a
+    number: the rows of a hot key are dealt by content over ``SALTS`` numbers, each with a
+    copy of its rows of ``one``. A hot key occurs, hence copies left alone are dropped. Rows
+    without a key match nothing and are dealt out by content.
     """
     hot = hot_keys(many, many_key)
-    key_type = many.schema[many_key].dataType
-    key = F.col("__key")
-    own = {f"__m{i}": field for i, field in enumerate(many.schema.fields)}
-    by_content = F.pmod(F.xxhash64(*own, "__one"), F.lit(SALTS)).cast("int")
-    is_hot = key.isin(hot) if hot else F.lit(False)
-    left = many.select(
-        F.col(many_key).alias("__key"),
-        F.lit(1).alias("__side"),
-        *[F.col(field.name).alias(name) for name, field in own.items()],
-        F.lit(None).cast(one.schema).alias("__one"),
-    ).withColumn("__salt", F.when(key.isNull() | is_hot, by_content).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.when(key.isNull(), by_content).otherwise(0))
-    )
-    right = one.select(
-        F.col(one_key).cast(key_type).alias("__key"),
-        F.lit(0).alias("__side"),
-        *[F.lit(None).cast(field.dataType).alias(name) for name, field in own.items()],
-        F.struct(*one.columns).alias("__one"),
-    ).withColumn("__salt", F.explode(copies))
-    group = Window.partitionBy("__key", "__salt").orderBy("__side")
-    so_far = group.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = group.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = left.unionByName(right).select(
-        "__key", "__side", *own, "__one",
-        F.collect_list("__one").over(so_far).alias("__ones"),
-        F.max("__side").over(whole).alias("__sides"),
-    )
-    is_many = F.col("__side") == 1
-    alone = key.isNull() | ((F.col("__sides") == 0) & ~is_hot)
-    matches = F.when(is_many & key.isNotNull() & (F.size("__ones") > 0), F.col("__ones"))
-    rows = met.filter(is_many | alone).select(
-        *own, F.explode(F.coalesce(matches, F.array("__one"))).alias("__match")
-    )
-    return rows.select(
-        *[F.col(name).alias(field.name) for name, field in own.items()],
-        *[F.col("__match")[c].alias(c) for c in one.columns],
+    left = _with_null_spread(many, many_key).withColumn("__present", F.lit(True))
+    right = _with_null_spread(one, one_key)
+    if hot:
+        by_content = F.pmod(F.xxhash64(*many.columns), F.lit(SALTS))
+        left = left.withColumn(_SPREAD, F.when(F.col(many_key).isin(hot), by_content).otherwise(F.col(_SPREAD)))
+        every = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+        copies = F.when(F.col(one_key).isin(hot), every).otherwise(F.array(_SPREAD))
+        right = right.withColumn(_SPREAD, F.explode(copies))
+    same_key = F.col(f"l.{many_key}") == F.col(f"r.{one_key}")
+    same_spread = F.col(f"l.{_SPREAD}") == F.col(f"r.{_SPREAD}")
+    joined = left.alias("l").join(right.alias("r"), same_key & same_spread, "full_outer")
+    if hot:
+        alone = F.col("__present").isNull() & F.col(f"r.{one_key}").isin(hot)
+        joined = joined.filter(~F.coalesce(alone, F.lit(False)))
+    return joined.select(
+        *[F.col(f"l.{c}").alias(c) for c in many.columns],
+        *[F.col(f"r.{c}").alias(c) for c in one.columns],
     )
 
 
@@ -117,6 +97,8 @@ def valid_at(instant: Column, valid_from: Column, valid_to: Column) -> Column:
 def _slices_of(events: DataFrame, slice_rows: int) -> DataFrame | None:
     """(__key, __cuts): the instants that cut keys of more than ``slice_rows`` rows into
     slices of about that size; None without such a key."""
+    if events.count() <= slice_rows:
+        return None
     counts = events.groupBy("__key").agg(F.count(F.lit(1)).alias("__rows"))
     heavy = staged(counts.filter(F.col("__rows") > slice_rows), "heavy-keys")
     most = heavy.agg(F.max("__rows")).first()[0]

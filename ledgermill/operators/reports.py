@@ -24,6 +24,7 @@ from ledgermill.operators.orders import (
     RECONCILED,
     VARIANCE,
 )
+from ledgermill.session import staged
 
 # Exception labels and limits.
 IMBALANCE = "INVENTORY EQUATION IMBALANCE"
@@ -188,9 +189,14 @@ def refund_anomalies(refunds: DataFrame) -> DataFrame:
 
 
 def fulfillment_lead_time_anomalies(items: DataFrame) -> DataFrame:
+    """Lines shipped before their order or long after it, the worst first.
+
+    The flagged rows, a large part of all lines, are written before they are sorted: a sort by
+    range reads its input twice, and would derive them twice.
+    """
     ordered, shipped = F.col("created_at"), F.col("shipped_at")
     lead = F.col("lead_time_days")
-    return (
+    flagged = (
         items.filter(shipped.isNotNull())
         .select(
             "order_item_id",
@@ -208,9 +214,7 @@ def fulfillment_lead_time_anomalies(items: DataFrame) -> DataFrame:
             F.when(shipped < ordered, NEGATIVE_LEAD).when(lead > MAX_LEAD_DAYS, EXCESSIVE_LEAD),
         )
         .filter(F.col("anomaly_flag").isNotNull())
-        .orderBy(
-            by_severity("anomaly_flag", NEGATIVE_LEAD),
-            F.abs(lead).desc_nulls_last(),
-            "order_item_id",
-        )
+    )
+    return staged(flagged, "lead-time-anomalies").orderBy(
+        by_severity("anomaly_flag", NEGATIVE_LEAD), F.abs(lead).desc_nulls_last(), "order_item_id"
     )

