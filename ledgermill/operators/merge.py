@@ -4,8 +4,9 @@ A mart is a folder of generations, each partitioned by period. A full rebuild wr
 next generation, and readers take the newest complete one (Spark's own ``_SUCCESS`` marker
 tells), so a failed rebuild leaves the mart as it was. A merge rewrites only the periods
 that hold a row of the batch, before or after: a daily batch touches a few months of a
-ledger of many years. Running the same merge again gives the same mart, which is also the
-way to recover from one that was cut off.
+ledger of many years, and a key locator tells which without a scan of the mart. Running the
+same merge again gives the same mart, which is also the way to recover from one that was cut
+off.
 """
 
 from __future__ import annotations
@@ -14,9 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgermill.operators.locator import KeyLocator
 from ledgermill.session import staged
 
 GENERATION = "gen-"
+LOCATOR = "keys-"
+MOST_PERIODS = 2_000  # in a filter that names them; more are joined
 PERIOD = "mart_period"
 NO_PERIOD = "none"
 
@@ -77,6 +81,17 @@ def current_path(spark: SparkSession, path: str) -> str | None:
     return f"{path}/{complete[-1]}" if complete else None
 
 
+def fs_exists(spark: SparkSession, path: str) -> bool:
+    found, fs = _hadoop_path(spark, path)
+    return fs.exists(found)
+
+
+def key_locator(spark: SparkSession, path: str, key: str) -> KeyLocator:
+    """The locator of the newest generation of a mart, in a folder beside it."""
+    number = generations(spark, path)[-1].removeprefix(GENERATION)
+    return KeyLocator(spark, f"{path}/{LOCATOR}{number}", key, PERIOD)
+
+
 def _read_periods(
     spark: SparkSession, folder: str, schema: StructType | None = None
 ) -> DataFrame:
@@ -139,15 +154,19 @@ def merge_mart(
         rebuild_mart(batch.drop(PERIOD), path, period)
         return
     mart = _read_periods(spark, folder, batch.schema)
-    old_places = mart.select(key, PERIOD).join(batch.select(key), key, "left_semi")
+    locator = key_locator(spark, path, key)
+    if not fs_exists(spark, f"{locator.path}/_SUCCESS"):
+        locator.build(mart)
+    known = staged(locator.find(batch), "places")
+    locator.add(batch, known)
+    places = staged(known.select(PERIOD).union(batch.select(PERIOD)).distinct(), "touched")
     # Periods are calendar months: the driver sees a short list, never rows.
-    touched = {
-        row[PERIOD]
-        for row in old_places.select(PERIOD).union(batch.select(PERIOD)).distinct().collect()
-    }
-    rows = staged(
-        upsert(mart.filter(F.col(PERIOD).isin(list(touched))), batch, key), "merged"
-    )
+    touched = {row[PERIOD] for row in places.collect()}
+    if len(touched) <= MOST_PERIODS:
+        near = mart.filter(F.col(PERIOD).isin(list(touched)))
+    else:
+        near = mart.join(places, PERIOD, "left_semi")
+    rows = staged(upsert(near, batch, key), "merged")
     left = {row[PERIOD] for row in rows.select(PERIOD).distinct().collect()}
     _write_periods(rows, folder, period is not None, partitionOverwriteMode="dynamic")
     for emptied in touched - left:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from ledgermill.functions.calendar import AsOf, as_of_column
 from ledgermill.operators.joins import as_of_join
+from ledgermill.operators.merge import fs_exists, read_mart, rebuild_mart
+from ledgermill.session import staged
 
 VALID_FROM = "dbt_valid_from"
 VALID_TO = "dbt_valid_to"
@@ -18,7 +21,8 @@ PRICE_CHECK_COLUMNS = ("cost", "retail_price", "product_name", "category")
 
 def empty_history(current: DataFrame) -> DataFrame:
     """A history without rows for ``current``."""
-    schema = current.schema.add(VALID_FROM, "timestamp").add(VALID_TO, "timestamp")
+    interval = [StructField(name, TimestampType()) for name in (VALID_FROM, VALID_TO)]
+    schema = StructType([*current.schema.fields, *interval])
     return current.sparkSession.createDataFrame([], schema)
 
 
@@ -76,6 +80,47 @@ def snapshot_prices(history: DataFrame | None, current: DataFrame, as_of: AsOf =
     return scd2_snapshot(history, current, PRICE_KEY, PRICE_CHECK_COLUMNS, as_of)
 
 
+def read_history(spark: SparkSession, path: str) -> DataFrame | None:
+    """The history kept in ``path``: closed versions and the open ones; None before the first."""
+    opened = read_mart(spark, f"{path}/open")
+    if opened is None or not fs_exists(spark, f"{path}/closed"):
+        return opened
+    closed = spark.read.schema(opened.schema).parquet(f"{path}/closed/*")
+    return closed.unionByName(opened)
+
+
+def save_snapshot(
+    spark: SparkSession,
+    path: str,
+    current: DataFrame,
+    key: str,
+    check_columns: tuple[str, ...],
+    as_of: AsOf = None,
+    invalidate_hard_deletes: bool = True,
+) -> None:
+    """Take a snapshot of ``current`` into the history kept in ``path``.
+
+    Only open versions are read. Those that close are added in a folder of the snapshot's
+    instant, and the open ones are written anew only if any closed or began: a day without
+    changes writes nothing, and no day rewrites what was closed before. The closed rows come
+    first and a repeated snapshot replaces its own folder, so one that was cut off is taken
+    again.
+    """
+    opened = read_mart(spark, f"{path}/open")
+    known = empty_history(current) if opened is None else opened
+    after = scd2_snapshot(known, current, key, check_columns, as_of, invalidate_hard_deletes)
+    now = as_of_column(as_of)
+    moved = staged(after.withColumn("__begins", F.col(VALID_FROM).eqNullSafe(now)), "snapshot")
+    ends = moved.filter(F.col(VALID_TO).isNotNull()).drop("__begins")
+    begins = moved.filter("__begins")
+    ended = not ends.isEmpty()
+    if ended:
+        stamp = spark.range(1).select(F.date_format(now, "yyyyMMdd'T'HHmmss.SSSSSS")).first()[0]
+        ends.write.mode("overwrite").parquet(f"{path}/closed/{stamp}")
+    if opened is None or ended or not begins.isEmpty():
+        rebuild_mart(moved.filter(F.col(VALID_TO).isNull()).drop("__begins"), f"{path}/open")
+
+
 def as_of_lookup(facts: DataFrame, history: DataFrame, key: str, instant: Column) -> DataFrame:
     """Point-in-time lookup of the version valid at ``instant``."""
     return as_of_join(facts, history, key, instant, VALID_FROM, VALID_TO)

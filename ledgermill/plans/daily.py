@@ -25,7 +25,7 @@ from ledgermill.operators.merge import (
 )
 from ledgermill.operators.orders import LOOKBACK_DAYS, Lookback
 from ledgermill.operators.quality import run_constraints
-from ledgermill.operators.scd2 import snapshot_prices
+from ledgermill.operators.scd2 import PRICE_CHECK_COLUMNS, PRICE_KEY, read_history, save_snapshot
 from ledgermill.plans.constraints import declared_constraints
 from ledgermill.session import configure, staged
 from ledgermill.sources import seeds, tables
@@ -98,8 +98,8 @@ def take_snapshot(
     """Refresh the price history and return it."""
     path = f"{root}/{PRICE_HISTORY}"
     current = price_snapshot_input(raw_products)
-    rebuild_mart(snapshot_prices(read_mart(spark, path), current, as_of), path)
-    return read_mart(spark, path)
+    save_snapshot(spark, path, current, PRICE_KEY, PRICE_CHECK_COLUMNS, as_of)
+    return read_history(spark, path)
 
 
 def order_ledgers(

@@ -6,6 +6,7 @@ import pytest
 
 from ledgermill.operators import orders
 from ledgermill.operators.merge import read_mart
+from ledgermill.operators.scd2 import read_history
 from ledgermill.operators.orders import Lookback
 from ledgermill.plans import daily
 from ledgermill.schemas import RAW_TABLES
@@ -89,7 +90,7 @@ def test_daily_runs(spark, frame, folders):
     assert rows(third.marts["refund_reconciliation"], "order_id", "gross_revenue") == [
         ("-1", 37.0), ("1", 23.0),
     ]
-    history = read_mart(spark, f"{root}/{daily.PRICE_HISTORY}")
+    history = read_history(spark, f"{root}/{daily.PRICE_HISTORY}")
     assert [str(r.dbt_valid_from) for r in history.collect()] == [str(SATURDAY)]
 
 

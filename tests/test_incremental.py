@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import glob
+import os
+
 import pytest
 from pyspark.errors import PySparkException
 
@@ -101,6 +104,62 @@ def test_an_unfinished_rebuild_is_ignored(spark, frame):
     assert rows(merge.read_mart(spark, path), "id") == [("a",)]
 
 
+def test_a_merge_opens_only_its_periods(spark, frame):
+    """All other periods, and after the first merge their keys, stay unread: here they are
+    no Parquet files any more."""
+    path = stage_path(spark, "mart")
+    months = [f"2023-{m:02d}-05 00:00:00" for m in range(1, 13)]
+    merge.rebuild_mart(frame(MART, *[(f"k{i}", float(i), at) for i, at in enumerate(months)]), path, period())
+    merge.merge_mart(spark, path, frame(MART, ("k3", 33.0, months[3])), "id", period())
+    folder = merge.current_path(spark, path)
+    kept = {f"{folder}/mart_period=2023-{m}" for m in ("04", "06", "07")}
+    spoiled = 0
+    for m in range(1, 13):
+        place = f"{folder}/mart_period=2023-{m:02d}"
+        if place in kept:
+            continue
+        for file in glob.glob(f"{place}/*.parquet"):
+            with open(file, "wb") as out:
+                out.write(b"spoiled")
+            spoiled += 1
+    assert spoiled == 9
+    merge.merge_mart(spark, path, frame(MART, ("k5", 55.0, months[6]), ("new", 1.0, months[3])), "id", period())
+    schema = frame(MART).schema
+    found = merge._read_periods(spark, folder, schema).filter("mart_period in ('2023-04', '2023-06', '2023-07')")
+    assert rows(found, "id", "amount") == [("k3", 33.0), ("k5", 55.0), ("k6", 6.0), ("new", 1.0)]
+
+
+def test_a_key_that_moves_twice_is_found(spark, frame):
+    path = stage_path(spark, "mart")
+    merge.rebuild_mart(frame(MART, ("a", 1.0, FEB), ("n", 0.0, None)), path, period())
+    for amount, at in ((2.0, MAR), (3.0, None), (4.0, FEB), (5.0, MAR)):
+        merge.merge_mart(spark, path, frame(MART, ("a", amount, at), (None, amount, at)), "id", period())
+    found = rows(merge.read_mart(spark, path), "id", "amount")
+    assert [r for r in found if r[0]] == [("a", 5.0), ("n", 0.0)]
+
+
+def test_a_merge_cut_off_before_its_rows_is_repeated(spark, frame, monkeypatch):
+    """The locator already lists the new place, the mart does not hold it yet."""
+    path = stage_path(spark, "mart")
+    merge.rebuild_mart(frame(MART, ("a", 1.0, FEB)), path, period())
+    batch = frame(MART, ("a", 2.0, MAR))
+    with monkeypatch.context() as patch:
+        patch.setattr(merge, "_write_periods", lambda *a, **b: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            merge.merge_mart(spark, path, batch, "id", period())
+    merge.merge_mart(spark, path, batch, "id", period())
+    merge.merge_mart(spark, path, frame(MART, ("a", 3.0, FEB)), "id", period())
+    assert rows(merge.read_mart(spark, path), "id", "amount") == [("a", 3.0)]
+
+
+def test_many_periods_are_joined(spark, frame, monkeypatch):
+    monkeypatch.setattr(merge, "MOST_PERIODS", 1)
+    path = stage_path(spark, "mart")
+    merge.rebuild_mart(frame(MART, ("a", 1.0, FEB), ("b", 2.0, MAR)), path, period())
+    merge.merge_mart(spark, path, frame(MART, ("a", 3.0, MAR), ("c", 4.0, None)), "id", period())
+    assert rows(merge.read_mart(spark, path), "id", "amount") == [("a", 3.0), ("b", 2.0), ("c", 4.0)]
+
+
 # price history
 
 PRICES = "product_id string, cost double, retail_price double, category string, brand string, " \
@@ -175,6 +234,43 @@ def test_versions_of_a_key_never_overlap(frame):
         assert all(a[1] <= b[0] for a, b in zip(versions, versions[1:], strict=False))
 
 
+def saved_files(path):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+def test_saved_snapshots_equal_the_history(spark, frame):
+    """Closed versions are written once, a day without changes writes nothing at all."""
+    path, history = stage_path(spark, "history"), None
+    args = (scd2.PRICE_KEY, scd2.PRICE_CHECK_COLUMNS)
+    for day in (1, 2, 3, 3, 4, 5, 6):
+        prices = [price(p, float(min(day, 5) * n % 3)) for n, p in enumerate("abcd", 1) if day == 6 or day % n != 1]
+        prices = prices if day != 4 else prices[:1]
+        current, at = frame(PRICES, *prices), f"2024-01-{day:02d} 00:00:00"
+        history = scd2.snapshot_prices(history, current, at)
+        before = saved_files(path)
+        scd2.save_snapshot(spark, path, current, *args, at)
+        after = saved_files(path)
+        assert all(after[f] == t for f, t in before.items())  # nothing written before is touched
+        assert rows(scd2.read_history(spark, path)) == rows(history)
+        scd2.save_snapshot(spark, path, current, *args, f"2024-01-{day:02d} 12:00:00")
+        assert saved_files(path) == after
+
+
+def test_a_snapshot_cut_off_is_taken_again(spark, frame, monkeypatch):
+    path = stage_path(spark, "history")
+    args = (scd2.PRICE_KEY, scd2.PRICE_CHECK_COLUMNS)
+    scd2.save_snapshot(spark, path, frame(PRICES, price("a"), price("b")), *args, T1)
+    changed = frame(PRICES, price("a", 12.0))
+    with monkeypatch.context() as patch:
+        patch.setattr(scd2, "rebuild_mart", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            scd2.save_snapshot(spark, path, changed, *args, T2)
+    scd2.save_snapshot(spark, path, changed, *args, T2)
+    expected = scd2.snapshot_prices(scd2.snapshot_prices(None, frame(PRICES, price("a"), price("b")), T1), changed, T2)
+    assert rows(scd2.read_history(spark, path)) == rows(expected)
+    assert scd2.read_history(spark, stage_path(spark, "none")) is None
+
+
 def test_as_of_lookup_takes_the_version_of_the_day(frame):
     versions = frame(
         "product_id string, retail_price double, dbt_valid_from timestamp, dbt_valid_to timestamp",
