@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -142,17 +142,21 @@ def find_contamination(
     """
     spark = docs.sparkSession
     context = spark.sparkContext
-    slices = [
-        context.broadcast(WindowSet(items, window))
-        for items in _slices(benchmark, item_column, item_text_column, slice_words, nameless)
-    ]
-    if len(slices) == 1:
-        found = with_results(docs, [text_column], _scan(slices[0]), _FIELDS)
+    parts = _slices(benchmark, item_column, item_text_column, slice_words, nameless)
+    first, second = next(parts), next(parts, None)
+    if second is None:
+        shared = context.broadcast(WindowSet(first, window))
+        found = with_results(docs, [text_column], _scan(shared), _FIELDS)
     else:
         rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "scan")
-        texts = rows.select("__row", text_column)
-        scans = [with_results(texts, [text_column], _scan(s), _FIELDS) for s in slices]
-        hits = reduce(DataFrame.unionByName, [s.filter("size(hit_words) > 0") for s in scans])
+        texts, hits = rows.select("__row", text_column), None
+        for items in chain([first, second], parts):  # one slice at a time is on the executors
+            shared = context.broadcast(WindowSet(items, window))
+            scan = with_results(texts, [text_column], _scan(shared), _FIELDS)
+            scan = scan.filter("size(hit_words) > 0").select("__row", "hit_words", "items")
+            scan = staged(scan, "hits")
+            shared.destroy()
+            hits = scan if hits is None else hits.unionByName(scan)
         merged = hits.groupBy("__row").agg(
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("h"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("i"),

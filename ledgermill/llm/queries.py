@@ -52,7 +52,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables.read(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find_contamination(docs, tables.read(spark, sf_dir, "benchmark"))
+    found = find_contamination(docs, tables.read(spark, sf_dir, "benchmark"), nameless=True)
     return found.select(
         "doc_id",
         "n_words",
@@ -172,7 +172,7 @@ with words as (
   select cast(item_id as varchar) as item, regexp_extract_all(
     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
-  from benchmark where item_id is not null and text is not null
+  from benchmark where text is not null
 ), windows as (
   select distinct item, least(10, len(w)) as n,
     array_to_string(list_slice(w, i, i + least(10, len(w)) - 1), ' ') as gram
@@ -188,7 +188,8 @@ with words as (
   select doc_id, count(distinct word) as n_hit
   from (select doc_id, unnest(range(i, i + n)) as word from hits) group by doc_id
 ), hit_items as (
-  select doc_id, list_sort(list(distinct item)) as items from hits group by doc_id
+  select doc_id, list_sort(list(distinct item) filter (where item is not null)) as items
+  from hits group by doc_id
 )
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
   coalesce(len(items), 0) as n_items,
