@@ -29,9 +29,8 @@ SAMPLE_ROWS = 4096  # least size of the sample that trees and entry points are f
 LEAF_SAMPLE = 16  # rows of the sample per leaf
 MOST_DEPTH = 12  # bounds the sample at 65,536 rows
 ENTRIES = 512
-BEAM = 48  # least beam; it grows with the root of the number of nodes
-BEAM_GROWTH = 2.0
-EXPANDED = 16  # least number of nodes that a query expands at once, else an eighth of the beam
+BEAM = 400  # the same for every table, so that a query's walk does not grow with it
+EXPANDED = 50  # nodes that a query expands at once
 
 
 def tree_depth(nodes: int) -> int:
@@ -39,10 +38,6 @@ def tree_depth(nodes: int) -> int:
     return min(MOST_DEPTH, max(1, round(np.log2(max(1, nodes) / BLOCK))))
 
 
-def beam_width(nodes: int, k: int) -> int:
-    return max(BEAM, 2 * k + 2, int(np.ceil(BEAM_GROWTH * np.sqrt(nodes))))
-
-
 def _distances(xs: pa.Array, ys: pa.Array) -> pa.Array:
     apart = _matrix(xs) - _matrix(ys)
     return pa.array(np.einsum("nd,nd->n", apart, apart))
@@ -259,7 +254,7 @@ class NeighbourIndex:
         self, vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding",
         keep: int = 11, seed: int = 0,
     ):
-        self.spark = vectors.sparkSession
+        self.spark, self.keep = vectors.sparkSession, keep
         self.rows = staged(usable(vectors, id_column, vector_column), "vectors")
         keyed = self.rows.withColumn("key", F.xxhash64("vector"))
         first = _nearest(keyed.withColumn("k", F.struct("key", "vector")), "k", ["id"], keep)
@@ -322,8 +317,11 @@ class NeighbourIndex:
 
         ``queries`` has id and vector as ``usable`` gives them. A row with the id of the query
         is never its own neighbour; equal scores go to the smaller id. Scores are Euclidean
-        distances of the original vectors in double precision.
+        distances of the original vectors in double precision. ``k`` is less than the index's
+        ``keep``: of vectors that more rows share, only so many ids are known.
         """
+        if k >= self.keep:
+            raise ValueError(f"build the index with keep={k + 1} or more for {k} neighbours")
         asked = staged(queries.select(F.col("id").alias("q"), F.col("vector").alias("qv")), "queries")
         walk, nodes = self._walkable(), self.nodes.select(F.col("node"), "vector")
         entry = F.explode(_entries(self.spark.sparkContext.broadcast(self._points(ENTRIES)))("qv"))
@@ -338,11 +336,10 @@ class NeighbourIndex:
         start = near.unionByName(own)
         start = start.groupBy("q", "node").agg(F.min("d").alias("d"))
         seen = staged(start.withColumn("done", F.lit(False)), "walked")
-        beam = beam_width(self.count, k)
-        expanded_at_once = max(EXPANDED, beam // 8)
+        beam = max(BEAM, 2 * k + 2)
         while True:  # ends: every round expands nodes that were not
             closest = _nearest(seen, "q", ["d", "node"], beam)
-            front = _nearest(closest.filter("not done"), "q", ["d", "node"], expanded_at_once)
+            front = _nearest(closest.filter("not done"), "q", ["d", "node"], EXPANDED)
             front = front.select("q", "node")
             if front.isEmpty():
                 break

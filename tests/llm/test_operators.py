@@ -572,6 +572,17 @@ def test_queries_start_from_an_equal_vector(spark, monkeypatch):
         assert own == [(i + 1, 20 + i, 0.0) for i in range(10)]
 
 
+def test_more_neighbours_than_the_index_keeps_are_refused(spark):
+    """Forty equal vectors: with ids enough, all are found at distance 0."""
+    rows = [(i, [1.0, 2.0]) for i in range(40)] + [(100 + i, [float(i), -1.0]) for i in range(10)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="keep=31"):
+        NeighbourIndex(table).search(spark.createDataFrame([(0, [1.0, 2.0])], "id long, vector array<double>"), k=30)
+    index = NeighbourIndex(table, keep=31)
+    found = index.search(index.rows.filter("id = 0"), k=30).collect()
+    assert len(found) == 30 and all(r.score == 0 for r in found)
+
+
 def test_neighbours_of_nothing(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>")
     index = NeighbourIndex(table)
