@@ -29,23 +29,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keyed(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``__row``, a key of its own for each row that every scan repeats.
 
-    Rows of Parquet files have their file, by its 64-bit hash, and their place in it; rows of
-    other frames are written with a number.
+    It begins with a hash of the whole row, so that keys order rows by content, wherever they
+    stand; only rows equal in all columns are told apart by their file and place, and which of
+    those is first makes no difference. Rows of other frames are written with a number.
     """
+    content = [F.xxhash64(*docs.columns), F.xxhash64(F.lit(1), *docs.columns)]
     try:
-        place = F.struct(
-            F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")
-        )
-        found = docs.withColumn("__row", place)
+        place = [F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")]
+        found = docs.withColumn("__row", F.struct(*content, *place))
         found.schema  # noqa: B018  fails for frames without files
         return found
     except AnalysisException:
-        return staged(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+        number = F.monotonically_increasing_id()
+        return staged(docs.withColumn("__row", F.struct(*content, number)), "keyed")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one row stays: the one with the smallest id, null ids last;
-    of those that share it, the one with the least key, which follows no order of the table.
+    of those that share it, the one with the least hash of the whole row.
 
     Rows without words are in no group and stay; those that repeat an id and a text stay once.
     """
@@ -80,7 +81,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row as often as the mix takes it: its words taken over its words, rounded."""
+    """Every row as often as the mix takes it: its words taken over its words, rounded. Rows
+    without words are taken never."""
     rows = keyed(docs)
     mixed = mix_sources(rows, key_column="__row").filter("taken > 0")
     copies = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
