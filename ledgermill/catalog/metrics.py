@@ -338,3 +338,31 @@ metric_query(
     ["cumulative_gross_revenue"],
     ["metric_time__quarter", "order__cutoff_status"],
 )
+
+metric_query(
+    "m09_growth_of_some_orders",
+    f"""
+    , monthly as (select {month("created_at")} as period, {total("recognized_revenue")} as v
+        from revenue where cutoff_status <> 'PENDING' group by 1),
+    later as (select cast(period + interval 1 month as date) as period, v from monthly
+        where period is not null)
+    select coalesce(m.period, l.period) as metric_time__month,
+        (m.v - l.v) * 100 / nullif(l.v, 0) as revenue_growth_mom
+    from monthly m full join later l on l.period = m.period
+    where coalesce(m.period, l.period) between date '1996-02-01' and date '1997-06-01'""",
+    ["revenue_growth_mom"],
+    ["metric_time__month"],
+    "metric_time__month between '1996-02-01' and '1997-06-01' "
+    "and order__cutoff_status <> 'PENDING'",
+)
+metric_query(
+    "f10_metric_time_range",
+    f"""
+    select {month("created_at")} as metric_time__month,
+        {total("gross_revenue")} as total_gross_revenue
+    from revenue where cast(created_at as date) between date '1996-01-10' and date '1996-08-20'
+    group by 1""",
+    ["total_gross_revenue"],
+    ["metric_time__month"],
+    "metric_time__day between '1996-01-10' and '1996-08-20'",
+)

@@ -7,13 +7,12 @@ fans out.
 
 from __future__ import annotations
 
-import re
 import warnings
 from collections import defaultdict
 from dataclasses import dataclass, replace
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions import as_of_column, exact_sum
@@ -26,7 +25,6 @@ from ledgermill.session import staged
 GRAINS = ("day", "week", "month", "quarter", "year")
 METRIC_TIME = "metric_time"
 SPINE_BIN_DAYS = {"day": 32, "week": 224, "month": 1024, "quarter": 3072, "year": 12288}
-ITEM = re.compile(r"\b[a-z]\w*?__\w+\b")
 
 
 @dataclass(frozen=True)
@@ -69,8 +67,42 @@ def _step(grain: str) -> Column:
     return F.make_ym_interval(months=F.lit(months))
 
 
-def _is_about_time(condition: str) -> bool:
-    return any(item.startswith(METRIC_TIME) for item in ITEM.findall(condition))
+@dataclass(frozen=True)
+class Condition:
+    """One conjunct of a ``where``: its SQL and the columns it names."""
+
+    sql: str
+    items: tuple[str, ...]
+
+    @property
+    def times(self) -> list[str]:
+        return [i for i in self.items if i.split("__")[0] == METRIC_TIME]
+
+    def holds_for_periods(self, time: str | None) -> bool:
+        """Whether it names only metric time, in whole periods of ``time``."""
+        if time is None or len(self.times) < len(self.items):
+            return False
+        own = GRAINS.index(_grain_of(time) or "day")
+        whole = [GRAINS.index(_grain_of(i) or "day") >= own for i in self.times]
+        # a week is no part of a month
+        weeks = [_grain_of(i) == "week" and _grain_of(time) not in ("day", "week") for i in self.times]
+        return all(whole) and not any(weeks)
+
+
+def conjuncts(spark: SparkSession, texts: list[str]) -> list[Condition]:
+    """The conditions that all must hold, as Spark's own parser reads them."""
+    parser = spark._jsparkSession.sessionState().sqlParser()
+    found, open_nodes = [], [parser.parseExpression(text) for text in reversed(texts)]
+    while open_nodes:
+        node = open_nodes.pop()
+        if node.getClass().getSimpleName() == "And":
+            open_nodes += [node.right(), node.left()]
+            continue
+        leaves = node.collectLeaves()
+        leaves = [leaves.apply(i) for i in range(leaves.size())]
+        names = [x.name() for x in leaves if x.getClass().getSimpleName() == "UnresolvedAttribute"]
+        found.append(Condition(node.sql(), tuple(dict.fromkeys(names))))
+    return found
 
 
 class MetricStore:
@@ -106,17 +138,21 @@ class MetricStore:
         ``group_by`` and ``where`` name ``metric_time__<grain>``, ``<entity>__<dimension>``
         or ``<entity>__<time dimension>__<grain>``. Several conditions are combined with
         AND. Conditions restrict the rows a metric is computed from, so a cumulative metric
-        restarts at the first day they admit; only offset metrics apply conditions on
-        metric time to the result.
+        restarts at the first day they admit. Offset metrics apply a condition on whole
+        periods of metric time to the result; one that cuts through periods, or joins metric
+        time with something else by OR, moves with the offset: a value taken one month earlier
+        comes from the rows that meet it one month later.
         """
         group_by = list(group_by or [])
-        conditions = [where] if isinstance(where, str) else list(where or [])
+        texts = [where] if isinstance(where, str) else list(where or [])
         self._warn_about_balances(metrics, group_by)
         leaves: dict[Leaf, None] = {}
         values = {name: self._value(name, leaves) for name in metrics}
         batches: dict[Leaf, list[Leaf]] = defaultdict(list)
         for leaf in leaves:
             batches[replace(leaf, measure="")].append(leaf)
+        spark = self._source(self.models[next(iter(leaves)).model]).sparkSession
+        conditions = conjuncts(spark, texts) if texts else []
         frames = [self._frame(batch, group_by, conditions) for batch in batches.values()]
         combined = self._combine(frames, group_by)
         return combined.select(*group_by, *[v.alias(name) for name, v in values.items()])
@@ -177,9 +213,11 @@ class MetricStore:
             return self._expr(model.entities[name])
         return None
 
-    def _with_items(self, model: SemanticModel, items: list[str]) -> DataFrame:
-        """The model's table with one column per item, joining other models where needed."""
-        df = self._source(model)
+    def _with_items(
+        self, df: DataFrame, model: SemanticModel, items: list[str], months: int = 0
+    ) -> DataFrame:
+        """``df``, of the model's table, with one column per item, joining other models where
+        needed. Metric time is taken ``months`` later."""
         joins: dict[tuple[str, str], dict[str, Column]] = defaultdict(dict)
         for item in dict.fromkeys(items):
             grain = _grain_of(item)
@@ -190,6 +228,7 @@ class MetricStore:
                 if GRAINS.index(grain) < GRAINS.index(model.finest_grain):
                     raise ValueError(f"{model.name} has no grain finer than {model.finest_grain}")
                 time = self._expr(model.time_dimensions[model.metric_time])
+                time = F.add_months(time.cast("date"), months) if months else time
                 df = df.withColumn(item, _truncate(grain, time))
                 continue
             column = self._local(model, name, grain) if entity == model.primary else None
@@ -231,14 +270,18 @@ class MetricStore:
     # aggregation
 
     def _base(
-        self, model: SemanticModel, group_by: list[str], conditions: list[str], late: bool
+        self, model: SemanticModel, group_by: list[str], conditions: list[Condition], leaf: Leaf
     ) -> DataFrame:
-        early = [c for c in conditions if not (late and _is_about_time(c))]
-        needed = [item for c in early for item in ITEM.findall(c)]
-        df = self._with_items(model, [*group_by, *needed])
-        for condition in early:
-            df = df.filter(condition)
-        return df
+        """The model's rows that meet the conditions, with the columns to group by."""
+        time = next((i for i in group_by if i.startswith(METRIC_TIME)), None)
+        df = table = self._source(model)
+        for condition in conditions:
+            if leaf.late_filter and condition.holds_for_periods(time):
+                continue
+            months = leaf.offset_months if condition.times else 0
+            df = self._with_items(df, model, list(condition.items), months).filter(condition.sql)
+            df = df.select(table.columns)
+        return self._with_items(df, model, group_by)
 
     def _aggregate(self, df: DataFrame, measure: Measure) -> Column:
         value = F.expr(measure.expr)
@@ -248,11 +291,11 @@ class MetricStore:
             return exact_sum(value).cast("double")
         return F.sum(value)
 
-    def _frame(self, leaves: list[Leaf], group_by: list[str], conditions: list[str]) -> DataFrame:
+    def _frame(self, leaves: list[Leaf], group_by: list[str], conditions: list[Condition]) -> DataFrame:
         """Leaves that share a model, an offset and a kind, at the grain of the query."""
         first = leaves[0]
         model = self.models[first.model]
-        df = self._base(model, group_by, conditions, first.late_filter)
+        df = self._base(model, group_by, conditions, first)
         time = next((i for i in group_by if i.startswith(METRIC_TIME)), None)
         if first.cumulative:
             return self._running(df, leaves, model, group_by, time)
@@ -263,8 +306,9 @@ class MetricStore:
         if first.offset_months:
             frame = self._later(frame, time, first.offset_months)
         if first.late_filter:
-            for condition in filter(_is_about_time, conditions):
-                frame = self._late_filter(frame, time, condition)
+            for condition in conditions:
+                if condition.holds_for_periods(time):
+                    frame = self._late_filter(frame, time, condition)
         return frame
 
     def _later(self, frame: DataFrame, time: str | None, months: int) -> DataFrame:
@@ -282,17 +326,12 @@ class MetricStore:
         return known.withColumn(time, F.explode(looks_back))
 
     @staticmethod
-    def _late_filter(frame: DataFrame, time: str | None, condition: str) -> DataFrame:
-        if time is None:
-            raise ValueError("a condition on metric_time needs metric_time in group_by")
+    def _late_filter(frame: DataFrame, time: str, condition: Condition) -> DataFrame:
         columns = frame.columns
-        for item in ITEM.findall(condition):
-            if item in columns:
-                continue
-            if not item.startswith(METRIC_TIME):
-                raise ValueError(f"give the condition on {item} apart from metric_time")
-            frame = frame.withColumn(item, _truncate(_grain_of(item) or "day", F.col(time)))
-        return frame.filter(condition).select(*columns)
+        for item in condition.items:
+            if item not in columns:
+                frame = frame.withColumn(item, _truncate(_grain_of(item) or "day", F.col(time)))
+        return frame.filter(condition.sql).select(*columns)
 
     def _running(
         self,

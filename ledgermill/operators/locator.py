@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-BUCKETS = 256
+BUCKETS = 64
 _BUCKET = "key_bucket"
 _KEY = "located_key"
 

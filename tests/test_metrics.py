@@ -150,6 +150,31 @@ def test_growth_sees_the_month_before_the_filter(store):
     assert found == [(date(2024, 2, 1), 50.0)]
 
 
+def test_growth_under_a_mixed_condition(store):
+    """Time and a dimension in one string; a value that looks like a column; OR across both."""
+    s = store([order("1", JAN, 2.0, "a__b"), order("2", FEB, 3.0, "a__b"), order("3", FEB, 9.0, "x"),
+               order("4", APR, 5.0, "x")])
+    found = rows(s.query(["gross_revenue_growth_mom"], ["metric_time__month"],
+                         "metric_time__month between '2024-02-01' and '2024-02-29' "
+                         "and order__order_status = 'a__b'"))
+    assert found == [(date(2024, 2, 1), 50.0)]
+    status = "order__order_status in ('x', 'metric_time__day')"
+    assert rows(s.query(["order_count"], where=[status])) == [(2,)]
+    either = f"metric_time__month = '2024-02-01' or {status}"
+    found = dict(rows(s.query(["gross_revenue_growth_mom"], ["metric_time__month"], either)))
+    # February from all its rows against January's seen from February; then status x alone
+    assert found == {date(2024, 2, 1): 500.0, date(2024, 3, 1): None, date(2024, 4, 1): None,
+                     date(2024, 5, 1): None}
+
+
+def test_a_condition_within_a_month_moves_with_the_offset(store):
+    s = store([order("1", "2024-01-05 00:00:00", 100.0), order("2", "2024-01-20 00:00:00", 2.0),
+               order("3", "2024-02-05 00:00:00", 100.0), order("4", "2024-02-20 00:00:00", 3.0)])
+    found = rows(s.query(["gross_revenue_growth_mom"], ["metric_time__month"],
+                         "metric_time__day >= '2024-02-10' and metric_time__month <= '2024-02-01'"))
+    assert found == [(date(2024, 2, 1), 50.0)]
+
+
 def test_daily_growth_looks_back_one_calendar_month(store):
     s = store([order("1", "2023-02-28 00:00:00", 2.0), order("2", "2023-03-28 00:00:00", 3.0),
                order("3", "2023-03-31 00:00:00", 4.0)])
