@@ -547,36 +547,43 @@ def near_copies(
         both = staged(
             labelled(labelled(buckets, "node", "label"), "lead", "lead_label"), "labelled"
         )
-        split = both.filter("label <> lead_label").select("sig").distinct()
-        inside = both.join(split, "sig", "left_semi")
-        members = inside.select("sig", "node", "label", "lead_label").unionAll(
-            inside.select("sig", "lead", F.col("lead_label").alias("label"), "lead_label").distinct()
+        size, strangers = F.count("*").cast("double"), F.count_if(F.expr("label <> lead_label"))
+        chunks = F.ceil(F.greatest(F.sqrt(size * strangers) / SIDE, size / PER_TASK))
+        split = both.groupBy("sig").agg(  # all rows of a bucket have the same lead
+            F.min("lead").alias("node"),
+            F.min("lead_label").alias("lead_label"),
+            strangers.alias("strangers"),
+            (chunks if chunk is None else F.lit(1)).cast("long").alias("chunks"),
+        )
+        split = staged(split.filter("strangers > 0").drop("strangers"), "split")
+        members = (
+            both.drop("lead_label")
+            .join(split.drop("node"), "sig")
+            .select("sig", "node", "label", "lead_label", "chunks")
+            .unionAll(split.select("sig", "node", F.col("lead_label").alias("label"), "lead_label", "chunks"))
         )
         if among is not None:
             members = members.join(among, "label", "left_semi")
         tasks = members.groupBy("lead_label").agg(F.ceil(F.count("*") / PER_TASK).alias("tasks"))
-        turn = F.pmod(F.xxhash64("sig"), "tasks")
-        spread = members.join(tasks, "lead_label").withColumn("task", F.xxhash64("lead_label", turn))
-        spread = spread.withColumn("part", F.lit(0).cast("long"))
-        if chunk is None:
-            size = F.count("*").cast("double")
-            work = size * F.count_if(F.expr("label <> lead_label"))
-            chunks = F.ceil(F.greatest(F.sqrt(work) / SIDE, size / PER_TASK)).cast("long")
-            large = both.groupBy("sig").agg(chunks.alias("chunks")).filter("chunks > 1")
-            large = staged(large, "large")
-            if not large.isEmpty():
-                # with one chunk more than the work asks for, two of them hold no more than that
-                pairs = F.expr(
-                    "transform(filter(sequence(0L, chunks), k -> k <> chunk), "
-                    "k -> least(k, chunk) * (chunks + 1) + greatest(k, chunk))"
-                )
-                own = F.pmod(F.xxhash64("node", "sig"), F.col("chunks") + 1)
-                dealt = spread.join(if_small(large), "sig").withColumn("chunk", own)
-                dealt = dealt.withColumn("part", F.explode(pairs)).withColumn(
-                    "task", F.xxhash64("sig", "part")
-                )
-                small = spread.join(if_small(large), "sig", "left_anti")
-                spread = small.unionByName(dealt.drop("chunks", "chunk"))
+        tasks = if_small(staged(tasks.filter("tasks > 1"), "tasks"))  # all others fill one
+        turn = F.pmod(F.xxhash64("sig"), F.coalesce("tasks", F.lit(1)))
+        # with one chunk more than the work asks for, two of them hold no more than that
+        pairs = F.expr(
+            "if(chunks = 1, array(0L), transform(filter(sequence(0L, chunks), k -> k <> chunk), "
+            "k -> least(k, chunk) * (chunks + 1) + greatest(k, chunk)))"
+        )
+        spread = (
+            members.join(tasks, "lead_label", "left")
+            .withColumn("chunk", F.pmod(F.xxhash64("node", "sig"), F.col("chunks") + 1))
+            .withColumn("part", F.explode(pairs))
+            .withColumn(
+                "task",
+                F.when(F.col("chunks") > 1, F.xxhash64("sig", "part")).otherwise(
+                    F.xxhash64("lead_label", turn)
+                ),
+            )
+            .drop("chunks", "chunk", "tasks")
+        )
         return (
             sketched(spread, "node", "x")
             .repartition("task")
