@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,7 +17,7 @@ from ledgermill.llm.text import with_results
 
 # HTML element names by role.
 SKIPPED = frozenset(
-    "script style noscript template svg math canvas iframe object select textarea button head "
+    "script style noscript template svg canvas iframe object select textarea button head "
     "video audio map datalist".split()
 )
 RAW_TEXT = frozenset("script style textarea title noscript template iframe svg".split())
@@ -57,6 +57,11 @@ STOP_WORDS = frozenset(
     "el los las y no una por con para su lo como más pero sus al o este sí porque esta entre "
     "cuando muy sin sobre también me hasta hay donde quien desde todo nos".split()
 )
+# Those of the marks that articles carry as well. They count while other text remains.
+DOUBTFUL = frozenset(
+    "promo promotion banner widget alert overlay login signup subscription share sharing social "
+    "related recommended reply replies respond copyright legal disclaimer search".split()
+)
 # Marks that lists of other articles carry, and words that make a class say
 # what its element has or lacks.
 LISTED = frozenset("comment comments reply ad advert related promo".split())
@@ -66,6 +71,8 @@ NEVER, HIDDEN, APART, AROUND = 0, 1, 2, 3
 SHORT, LONG = 70, 200  # characters
 STOP_LOW, STOP_HIGH = 0.15, 0.25
 LINKS_HIGH = 0.4
+TEASER = 2  # prose elsewhere of more than so many times its length makes an article a teaser
+SENTENCE_ENDS = tuple(".!?…。！？")
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)/?>"""
@@ -90,8 +97,9 @@ class Block:
     verdict: str = ""
 
 
-def exclusion(tag: str, attributes: str) -> int:
-    """How an element's attributes say that it is not the article."""
+def exclusion(tag: str, attributes: str, doubtful: bool = True) -> int:
+    """How an element's attributes say that it is not the article; without ``doubtful``, only
+    by marks that articles do not carry."""
     if not attributes.strip():
         return NEVER
     words, firsts, parts = set(), set(), _ATTRIBUTE.findall(attributes)
@@ -117,6 +125,8 @@ def exclusion(tag: str, attributes: str) -> int:
         return APART
     if tag in ("html", "body", "main"):
         return NEVER
+    if not doubtful:
+        words, firsts = words - DOUBTFUL, firsts - DOUBTFUL
     if tag == "article":
         return APART if words & LISTED else NEVER
     if firsts & LISTED:
@@ -128,15 +138,18 @@ class BlockReader:
     """One pass over the markup of a page that collects its blocks.
 
     A main element ends the marks around it, an article those of a page's layout. Only what
-    is hidden stays so.
+    is hidden stays so. Text of an excluded element inside a block goes by itself.
     """
 
-    def __init__(self):
+    def __init__(self, doubtful: bool = True):
+        self.doubtful = doubtful
         self.blocks: list[Block] = []
         self.pieces: list[str] = []
         self.link_chars = 0
         self.all_links = True
-        self.stack: list[tuple[str, int, tuple | None]] = []
+        self.place: tuple[bool, bool, bool] | None = None  # where the block's text began
+        # tag, kind, counts around an article, excluded elements since the last block began
+        self.stack: list[tuple[str, int, tuple | None, int]] = []
         self.open: dict[str, int] = {}
         self.excluded = [0, 0, 0, 0]  # open elements by kind of exclusion
         self.outside = 0  # those of kind APART around the innermost article
@@ -144,17 +157,20 @@ class BlockReader:
     def _end_block(self) -> None:
         text = _SPACE.sub(" ", "".join(self.pieces)).strip()
         if text:
-            inside = bool(self.open.get("article") or self.open.get("main"))
-            _, hidden, apart, around = self.excluded
-            own = hidden + around + apart - self.outside > 0
-            excluded = own or self.outside > 0
+            inside, own, outside = self.place
             self.blocks.append(
-                Block(text, self.link_chars, excluded, inside, excluded and not own, self.all_links)
+                Block(text, self.link_chars, own or outside, inside, outside and not own, self.all_links)
             )
-        self.pieces, self.link_chars, self.all_links = [], 0, True
+        self.pieces, self.link_chars, self.all_links, self.place = [], 0, True, None
+
+    def _where(self) -> tuple[bool, bool, bool]:
+        """Inside an article, excluded by an element in it, excluded by one around it."""
+        inside = bool(self.open.get("article") or self.open.get("main"))
+        _, hidden, apart, around = self.excluded
+        return inside, hidden + around + apart - self.outside > 0, self.outside > 0
 
     def _pop(self) -> None:
-        tag, kind, before = self.stack.pop()
+        tag, kind, before, _ = self.stack.pop()
         self.open[tag] -= 1
         self.excluded[kind] -= 1
         if before is not None:
@@ -171,8 +187,9 @@ class BlockReader:
                 self.pieces.append(" ")
             return
         in_article = self.open.get("article") or self.open.get("main")
-        kind = HIDDEN if tag in SKIPPED else exclusion(tag, attributes)
-        if tag in BOILERPLATE and not (tag == "header" and in_article) and kind != HIDDEN:
+        kind = HIDDEN if tag in SKIPPED else exclusion(tag, attributes, self.doubtful)
+        kept = tag == "header" and in_article or tag == "form" and not self.doubtful
+        if tag in BOILERPLATE and not kept and kind != HIDDEN:
             kind = AROUND if tag in ("header", "form", "fieldset") else APART
         before = None
         if tag in ("article", "main"):
@@ -183,10 +200,15 @@ class BlockReader:
             self.outside = self.excluded[APART]
             if in_article:  # an article within an article: what is around it counts
                 self.excluded[APART], self.excluded[AROUND], self.outside = before
-        self.stack.append((tag, kind, before))
+        inline = 0 if tag in BLOCKS else self._dropped() + (kind != NEVER)
+        self.stack.append((tag, kind, before, inline))
         self.open[tag] = self.open.get(tag, 0) + 1
         self.excluded[kind] += 1
 
+    def _dropped(self) -> int:
+        """The open excluded elements that began inside the current block."""
+        return self.stack[-1][3] if self.stack else 0
+
     def _close(self, tag: str) -> None:
         """End an element; an inline one never ends the block around it."""
         if not self.open.get(tag):
@@ -203,6 +225,8 @@ class BlockReader:
 
     def read(self, page: str) -> list[Block]:
         at, size = 0, len(page)
+        last_end = page.rfind(">")
+        endless = set()  # elements whose end does not follow any more
         while at < size:
             start = page.find("<", at)
             if start < 0:
@@ -210,7 +234,9 @@ class BlockReader:
                 break
             if start > at:
                 self._text(page[at:start])
-            token = _TOKEN.match(page, start) or _LOOSE.match(page, start)
+            token = None
+            if start < last_end or page.startswith("<!--", start):
+                token = _TOKEN.match(page, start) or _LOOSE.match(page, start)
             if token is None:
                 self._text("<")
                 at = start + 1
@@ -226,10 +252,14 @@ class BlockReader:
             elif tag == "svg" and token.group(3).endswith("/"):
                 continue
             elif tag in RAW_TEXT:
-                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                end = None
+                if tag not in endless:
+                    end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
                 if end:
                     at = end.end()
-                elif tag != "svg":  # the text after an svg that is never ended ends it
+                elif tag == "svg":  # the text after an svg that is never ended ends it
+                    endless.add(tag)
+                else:
                     at = size
             else:
                 self._start(tag, token.group(3))
@@ -237,33 +267,49 @@ class BlockReader:
         return self.blocks
 
     def _text(self, piece: str) -> None:
+        if self._dropped():
+            return
         text = html.unescape(piece)
         self.pieces.append(text)
+        if self.place is None and text.strip():
+            self.place = self._where()
         if self.open.get("a"):
             self.link_chars += len(text.strip())
         elif self.all_links:
             self.all_links = not any(map(str.isalnum, text))
 
 
-def first_verdict(block: Block) -> str:
-    """good, bad, or near / short for blocks that their neighbours decide."""
+def stop_density(block: Block) -> float:
+    words = [w.lower() for w in _WORD.findall(block.text)]
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def first_verdict(block: Block, foreign: bool = False) -> str:
+    """good, bad, or near / short for blocks that their neighbours decide. On a ``foreign``
+    page, one without the known stop words, whole sentences count in their place."""
     if block.excluded:
         return "bad"
     size = len(block.text)
     if block.link_chars > LINKS_HIGH * size:
         if not block.inside or block.all_links and size <= LONG:
             return "bad"
-    words = [w.lower() for w in _WORD.findall(block.text)]
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if size < SHORT:
         return "short"
+    stops = stop_density(block)
     if stops >= STOP_HIGH:
         return "good" if size > LONG or block.inside else "near"
+    if foreign and block.text.endswith(SENTENCE_ENDS):
+        return "good"
     if stops >= STOP_LOW or block.inside or size > LONG:
         return "near"
     return "bad"
 
 
+def is_prose(block: Block) -> bool:
+    """Whether the first pass keeps a block without regard to an article around it."""
+    return first_verdict(replace(block, inside=False)) == "good"
+
+
 def second_verdict(blocks: list[Block]) -> None:
     """Ambiguous blocks take the verdict of the nearest decided ones, good winning a tie.
 
@@ -303,19 +349,49 @@ def second_verdict(blocks: list[Block]) -> None:
         blocks[i].verdict = verdict
 
 
-def main_text(page: str) -> str:
-    """The article's blocks in page order, one per line."""
-    blocks = BlockReader().read(page)
+def keep_to_article(blocks: list[Block]) -> None:
+    """Exclude what lies outside of articles, unless the prose of the page lies there: an
+    article without prose beside much of it is a teaser or a heading, and has no say."""
     if not any(b.inside and not b.excluded for b in blocks):
         for b in blocks:  # the only articles of the page lie in a part like an aside
             b.excluded &= not (b.inside and b.apart)
-    if any(b.inside and not b.excluded for b in blocks):
-        for b in blocks:
+    within = [b for b in blocks if b.inside and not b.excluded]
+    if not within:
+        return
+    size = sum(len(b.text) for b in within)
+    prose = (len(b.text) for b in blocks if not b.inside and is_prose(b))
+    teaser = sum(prose) > TEASER * size and not any(map(is_prose, within))
+    for b in blocks:
+        if teaser:
+            b.inside = False
+        else:
             b.excluded |= not b.inside
+
+
+def judged(page: str, doubtful: bool = True) -> list[Block]:
+    """The blocks of a page with their verdicts."""
+    blocks = BlockReader(doubtful).read(page)
+    keep_to_article(blocks)
+    sized = [b for b in blocks if not b.excluded and len(b.text) >= SHORT]
+    foreign = all(stop_density(b) < STOP_LOW for b in sized)
     for block in blocks:
-        block.verdict = first_verdict(block)
+        block.verdict = first_verdict(block, foreign)
     second_verdict(blocks)
-    return "\n".join(b.text for b in blocks if b.verdict == "good")
+    return blocks
+
+
+def main_text(page: str) -> str:
+    """The article's blocks in page order, one per line.
+
+    A page that keeps nothing is read again without the doubtful marks and without the rule
+    against forms, and keeps what it has then if there is a block of prose.
+    """
+    kept = [b for b in judged(page) if b.verdict == "good"]
+    if not kept:
+        kept = [b for b in judged(page, doubtful=False) if b.verdict == "good"]
+        if not any(map(is_prose, kept)):
+            kept = []
+    return "\n".join(b.text for b in kept)
 
 
 def extract_main_text(pages: DataFrame, html_column: str = "html") -> DataFrame:
@@ -323,7 +399,8 @@ def extract_main_text(pages: DataFrame, html_column: str = "html") -> DataFrame:
 
     Null and empty pages give an empty text. Markup may be broken: unknown, unclosed and
     misnested elements are read as browsers do in the common cases, anything that is no tag
-    is text. Repeated rows are each extracted; columns named like results are replaced.
+    is text. Long pages take time in proportion to their length, also if elements, comments or
+    tags never end. Repeated rows are each extracted; columns named like results are replaced.
     """
 
     def extract(array: pa.Array) -> pa.Array:

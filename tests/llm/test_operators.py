@@ -6,6 +6,7 @@ import glob
 import itertools
 import os
 import random
+import time
 import zlib
 
 import duckdb
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from check import bag
 from ledgermill.llm import queries as Q
-from ledgermill.llm import tables
+from ledgermill.llm import extract, tables
 from ledgermill.llm.counts import (
     CountOnlyViterbi,
     WordCounts,
@@ -474,6 +475,73 @@ def test_blocks_without_article_take_their_neighbours_verdict():
     assert main_text(page).split("\n") == [long.strip(), "Short one.", long.strip()]
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p>a <button>Buy</button> b</p>", "a b"),
+        ("<article><p>a <span class='ad'>buy now</span><span hidden>x</span>b</p></article>", "a b"),
+        ("<article><p>a <object>fallback</object>b</p></article>", "a b"),
+        ("<article><p>one<button>x<p>two</article>", "one\ntwo"),
+        ("<article><p>a <math><mi>x</mi></math> b</p></article>", "a x b"),
+        ("<article><span class=ad><div>buy</div></span><p>one</p></article>", "one"),
+        (f"<article><h2>More</h2></article><div><p>{SENTENCE * 3}</p></div>", SENTENCE * 3),
+        (f"<main><h1>Title</h1></main><div><p>{SENTENCE * 3}</p></div>", "Title\n" + SENTENCE * 3),
+        (f"<article class='post promo'><p>{SENTENCE * 3}</p></article>", SENTENCE * 3),
+        (f"<article id='story-reply'><p>{SENTENCE * 3}</p></article>", SENTENCE * 3),
+        (f"<div class='legal-text'><p>{SENTENCE * 3}</p></div>", SENTENCE * 3),
+        (f"<form id=aspnet><nav>home</nav><p>{SENTENCE * 3}</p></form>", SENTENCE * 3),
+        (f"<div class='cookie-notice'><p>{SENTENCE * 3}</p></div>", ""),
+        ("<form><p>Your name</p><p>Your mail</p></form>", ""),
+        ("<p>Wczoraj wieczorem pociąg spóźnił się znacznie, bowiem silna burza zerwała przewody.</p>"
+         "<p>Dzisiaj kolejarze naprawili uszkodzenia, pasażerowie spokojnie wrócili swoimi drogami.</p>",
+         "Wczoraj wieczorem pociąg spóźnił się znacznie, bowiem silna burza zerwała przewody.\n"
+         "Dzisiaj kolejarze naprawili uszkodzenia, pasażerowie spokojnie wrócili swoimi drogami."),
+    ],
+)
+def test_pieces_go_and_doubtful_text_stays(page, text):
+    wanted = "\n".join(line.strip() for line in text.split("\n"))
+    assert main_text(page).replace("More\n", "") == wanted
+
+
+@pytest.mark.parametrize("unit", ["<svg>", "<svg a=1>t", "<!x ", "<a ", "<b", "<?x ", "<textarea>", "<i><p>"])
+def test_markup_without_ends_takes_linear_time(unit):
+    def seconds(size):
+        page = unit * (size // len(unit))
+        best = []
+        for _ in range(2):
+            began = time.perf_counter()
+            main_text(page)
+            best.append(time.perf_counter() - began)
+        return min(best)
+
+    assert seconds(800_000) < 8 * seconds(200_000) + 0.5
+
+
+def planted_page(rng):
+    """A page without an article element: paragraphs to keep, and menus, lists and notices."""
+    stops = "the of and to in is that it for was on are with as this".split()
+    rare = [f"w{rng.randrange(10**6):06d}x".translate(str.maketrans("0123456789", "abcdefghij")) for _ in range(400)]
+
+    def prose(words):
+        return " ".join(rng.choice(stops if rng.random() < 0.4 else rare) for _ in range(words)) + "."
+
+    kept = [prose(rng.randrange(45, 160)) for _ in range(rng.randrange(3, 9))]
+    lead = [prose(rng.randrange(4, 8)) for _ in kept]  # a short line before each paragraph
+    menu = "".join(f"<li><a href=/{i}>{rng.choice(rare)}</a></li>" for i in range(12))
+    tags = "<div>" + " ".join(rng.sample(rare, 14)) + "</div>"  # words without stop words
+    body = "".join(f"<h2>{a}</h2><p>{b}</p>" for a, b in zip(lead, kept, strict=True))
+    page = f"<ul>{menu}</ul>{tags}{tags}<div>{body}</div>{tags}{tags}<ul>{menu}</ul><div class=ads>{prose(60)}</div>"
+    return page, "\n".join(x for pair in zip(lead, kept, strict=True) for x in pair)
+
+
+def test_planted_text_by_density_rules(monkeypatch):
+    rng = random.Random(5)
+    pages = [planted_page(rng) for _ in range(60)]
+    assert [main_text(page) for page, _ in pages] == [text for _, text in pages]
+    monkeypatch.setattr(extract, "STOP_LOW", 0)  # without the rules the lists stay
+    assert all(main_text(page) != text for page, text in pages)
+
+
 def test_extraction_of_awkward_pages(spark):
     pages = spark.createDataFrame(
         [(1, None, "mine"), (1, "", "mine"), (2, "<p>" + "long words " * 20000, "mine")],
