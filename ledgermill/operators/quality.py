@@ -1,17 +1,24 @@
 """Data-quality constraints: each gives the rows that break it, or their count.
 
-Row-level constraints of one table are counted in a single pass. Keys and references need a
-shuffle each; they group or join on the column with partial counts first, so a value that
-fills a third of the table moves as a handful of counts.
+The suite reads every table once and shuffles once, whatever the number of rules: each row
+gives one entry per broken row rule, unique key, reference and referenced key, and all entries
+are counted by (rule, key) together. Counts are partial before the shuffle, so a value that
+fills a third of a table moves as a handful of counts. Keys travel as their exact text, so no
+verdict rests on a hash.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, FractionalType
+
+VERDICT = "rule int, table_name string, test_name string, severity string"
+ENTRY = "struct<rule: int, key: string, parents: int>"
 
 
 @dataclass(frozen=True)
@@ -40,9 +47,6 @@ class RowConstraint(Constraint):
     def violations(self, df: DataFrame) -> DataFrame:
         return df.filter(self._applies(self.broken()))
 
-    def count(self) -> Column:
-        return F.count_if(F.coalesce(self._applies(self.broken()), F.lit(False)))
-
 
 @dataclass(frozen=True)
 class NotNull(RowConstraint):
@@ -134,6 +138,8 @@ class Unique(Constraint):
         return f"{kind}({', '.join(self.columns)})"
 
     def violations(self, df: DataFrame) -> DataFrame:
+        if self.where is not None:
+            df = df.filter(self.where)
         if self.ignore_null:
             df = df.dropna(subset=list(self.columns))
         counted = df.groupBy(*self.columns).agg(F.count(F.lit(1)).alias("n_records"))
@@ -152,58 +158,108 @@ class Relationship(Constraint):
     def name(self) -> str:
         return f"relationship({self.column} -> {self.to}.{self.field})"
 
-    def orphans(self, child: DataFrame, parent: DataFrame) -> DataFrame:
-        """Values without a parent, with their number of rows."""
-        values = child.filter(F.col(self.column).isNotNull()).groupBy(self.column)
-        keys = parent.select(F.col(self.field).alias(self.column))
-        counted = values.agg(F.count(F.lit(1)).alias("n_records"))
-        return counted.join(keys, self.column, "left_anti")
-
     def violations(self, child: DataFrame, parent: DataFrame) -> DataFrame:
         keys = parent.select(F.col(self.field).alias(self.column))
-        known = child.filter(F.col(self.column).isNotNull())
+        known = child.filter(self._applies(F.col(self.column).isNotNull()))
         return known.join(keys, self.column, "left_anti")
 
 
-def _verdicts(counts: DataFrame, constraints: list[Constraint]) -> DataFrame:
-    """One row per constraint from one row of counts."""
-    entries = [
-        F.struct(
-            F.lit(c.table).alias("table_name"),
-            F.lit(c.name if c.where is None else f"{c.name} where {c.where}").alias("test_name"),
-            F.lit(c.severity).alias("severity"),
-            F.col(f"f{i}").alias("failures"),
-        )
-        for i, c in enumerate(constraints)
-    ]
-    status = F.when(F.col("failures") == 0, "pass").otherwise(
-        F.when(F.col("severity") == "warn", "warn").otherwise("fail")
+def key_text(df: DataFrame, columns: tuple[str, ...], kind: DataType | None = None) -> Column:
+    """The values of a key as one text; equal keys, and only they, have equal texts.
+
+    Several columns are written with their lengths, a NULL as ``-``. The two zeros of a
+    fraction are one value. Timestamps read as UTC, which ``session.configure`` sets.
+    """
+    parts = []
+    for name in columns:
+        value, own = F.col(name), df.schema[name].dataType
+        if kind is not None and own != kind:
+            value, own = value.cast(kind), kind
+        if isinstance(own, FractionalType):
+            value = value + F.lit(0).cast(own)
+        parts.append(value.cast("string"))
+    if len(parts) == 1:
+        return parts[0]
+    sized = [F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts]
+    return F.concat(*[F.coalesce(p, F.lit("-")) for p in sized])
+
+
+def _entry(rule: int, key: Column, applies: Column, parents: int = 0) -> Column:
+    fields = [F.lit(rule).alias("rule"), key.alias("key"), F.lit(parents).alias("parents")]
+    return F.when(applies, F.struct(*fields)).cast(ENTRY)
+
+
+def _entries(
+    tables: dict[str, DataFrame], table: str, constraints: list[Constraint]
+) -> Iterator[Column]:
+    """What one row of ``table`` has to say to each constraint; NULL where it has nothing."""
+    df = tables[table]
+    for number, rule in enumerate(constraints):
+        if isinstance(rule, Relationship):
+            kind = tables[rule.table].schema[rule.column].dataType
+            if rule.table == table:
+                known = rule._applies(F.col(rule.column).isNotNull())
+                yield _entry(number, key_text(df, (rule.column,)), known)
+            if rule.to == table:
+                key = key_text(df, (rule.field,), kind)
+                yield _entry(number, key, key.isNotNull(), parents=1)
+        elif rule.table != table:
+            continue
+        elif isinstance(rule, RowConstraint):
+            yield _entry(number, F.lit(None).cast("string"), rule._applies(rule.broken()))
+        elif isinstance(rule, Unique):
+            known = [F.col(c).isNotNull() for c in rule.columns if rule.ignore_null]
+            counted = rule._applies(reduce(Column.__and__, known, F.lit(True)))
+            yield _entry(number, key_text(df, rule.columns), counted)
+        else:
+            raise TypeError(f"no count for {rule.name}")
+
+
+def count_failures(
+    tables: dict[str, DataFrame], constraints: list[Constraint]
+) -> DataFrame:
+    """``rule`` (position in ``constraints``) and ``failures``; rules without any are absent."""
+    used = {c.table for c in constraints}
+    used |= {c.to for c in constraints if isinstance(c, Relationship)}
+    heard = []
+    for table in sorted(used):
+        entries = F.array(*_entries(tables, table, constraints))
+        told = tables[table].select(F.explode(entries).alias("e"))
+        heard.append(told.filter("e is not null").select("e.*"))
+    told_by = {
+        kind: F.col("rule").isin([i for i, c in enumerate(constraints) if isinstance(c, kind)])
+        for kind in (Unique, Relationship)
+    }
+    own_rows = F.count_if(F.col("parents") == 0).alias("n")
+    counted = reduce(DataFrame.unionAll, heard).groupBy("rule", "key").agg(
+        own_rows, F.max("parents").alias("parents")
+    )
+    failures = (
+        F.when(told_by[Unique], (F.col("n") > 1).cast("long"))
+        .when(told_by[Relationship] & (F.col("parents") > 0), F.lit(0).cast("long"))
+        .otherwise(F.col("n"))
     )
-    rows = counts.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
-    return rows.withColumn("status", status)
+    return counted.groupBy("rule").agg(F.sum(failures).alias("failures"))
 
 
 def run_constraints(
     tables: dict[str, DataFrame], constraints: list[Constraint]
 ) -> DataFrame:
     """Failures and status (pass, warn, fail) of each constraint."""
-    results = []
-    by_table: dict[str, list[Constraint]] = {}
-    for constraint in constraints:
-        by_table.setdefault(constraint.table, []).append(constraint)
-    for table, rules in by_table.items():
-        df = tables[table]
-        row_rules = [r for r in rules if isinstance(r, RowConstraint)]
-        if row_rules:
-            counts = df.agg(*[r.count().alias(f"f{i}") for i, r in enumerate(row_rules)])
-            results.append(_verdicts(counts, row_rules))
-        for rule in rules:
-            if isinstance(rule, Unique):
-                broken = rule.violations(df).agg(F.count(F.lit(1)).alias("f0"))
-            elif isinstance(rule, Relationship):
-                total = F.coalesce(F.sum("n_records"), F.lit(0))
-                broken = rule.orphans(df, tables[rule.to]).agg(total.alias("f0"))
-            else:
-                continue
-            results.append(_verdicts(broken, [rule]))
-    return reduce(DataFrame.unionByName, results)
+    titles = [
+        (i, c.table, c.name if c.where is None else f"{c.name} where {c.where}", c.severity)
+        for i, c in enumerate(constraints)
+    ]
+    counted = count_failures(tables, constraints)
+    rules = counted.sparkSession.createDataFrame(titles, VERDICT)
+    status = F.when(F.col("failures") == 0, "pass").otherwise(
+        F.when(F.col("severity") == "warn", "warn").otherwise("fail")
+    )
+    return (
+        rules.join(counted, "rule", "left_outer")
+        .select(
+            "table_name", "test_name", "severity",
+            F.coalesce("failures", F.lit(0)).cast("long").alias("failures"),
+        )
+        .withColumn("status", status)
+    )

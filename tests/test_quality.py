@@ -6,6 +6,7 @@ import pytest
 
 from ledgermill.operators import quality as q
 from ledgermill.plans.constraints import declared_constraints
+from ledgermill.session import stage_path
 from tests.conftest import rows
 
 TABLE = "id string, amount double, cap double, kind string"
@@ -78,3 +79,80 @@ def test_all_constraints_are_declared():
         "NotNull": 90, "Unique": 25, "AcceptedValues": 22, "ExpressionIsTrue": 14,
         "Relationship": 7, "NotExceeding": 3, "AcceptedRange": 2,
     }
+
+
+def test_the_suite_counts_all_rules_at_once(spark, frame):
+    """Many rules against plain counting, on keys that look alike as text."""
+    values = [None, "a", "b", "1:a", "-", "", "a1:"]
+    given = [(values[i % 7], float(i % 5), values[(i * i) % 7], str(i % 3)) for i in range(200)]
+    schema = "a string, x double, b string, kind string"
+    df, parent = frame(schema, *given), frame("id string", ("a",), ("-",), ("a",), (None,))
+    rules = [
+        q.Unique("t", columns=("a", "b", "x"), ignore_null=False),
+        q.Unique("t", columns=("a", "b"), ignore_null=True),
+        q.Unique("t", where="kind = '1'", columns=("a", "b", "x")),
+        q.Relationship("t", column="a", to="p", field="id"),
+        q.Relationship("t", severity="warn", where="kind = '2'", column="b", to="p", field="id"),
+        q.Relationship("p", column="id", to="t", field="a"),
+        q.NotNull("t", column="a"),
+        q.AcceptedRange("t", column="x", low=1, high=3),
+        q.Unique("p", columns=("id",)),
+    ]
+    def repeated(keys):
+        return sum(n > 1 for n in Counter(keys).values())
+
+    known = {"a", "-"}
+    expected = [
+        repeated((a, b, x) for a, x, b, _ in given),
+        repeated((a, b) for a, _, b, _ in given if a is not None and b is not None),
+        repeated((a, b, x) for a, x, b, k in given
+                 if k == "1" and a is not None and b is not None),
+        sum(a is not None and a not in known for a, *_ in given),
+        sum(b is not None and b not in known for _, _, b, k in given if k == "2"),
+        0,
+        sum(a is None for a, *_ in given),
+        sum(not 1 <= x <= 3 for _, x, _, _ in given),
+        1,
+    ]
+    found = {(r.table_name, r.test_name): r.failures
+             for r in q.run_constraints({"t": df, "p": parent}, rules).collect()}
+    names = [(r.table, r.name if r.where is None else f"{r.name} where {r.where}") for r in rules]
+    assert [found[n] for n in names] == expected
+
+
+def test_keys_of_other_types(spark, frame):
+    """A parent's field is cast to the type of the column; the two zeros are one value."""
+    child = frame("parent_id string, x double", ("1", 0.0), ("2", -0.0))
+    parent = frame("id long", (1,), (3,))
+    rules = [
+        q.Relationship("c", column="parent_id", to="p", field="id"),
+        q.Unique("c", columns=("x",)),
+    ]
+    result = q.run_constraints({"c": child, "p": parent}, rules)
+    assert rows(result, "test_name", "failures") == [
+        ("relationship(parent_id -> p.id)", 1), ("unique(x)", 1)]
+
+
+def test_the_suite_reads_and_shuffles_once(spark, frame):
+    """Each table is scanned once and all keys share one shuffle; a hot key moves as counts."""
+    path, other = stage_path(spark, "suite"), stage_path(spark, "suite")
+    spark.range(0, 9000, 1, 3).selectExpr(
+        "cast(id as string) as id", "if(id % 3 = 0, 'hot', cast(id as string)) as ref",
+        "cast(id as double) as x", "id as unused",
+    ).write.parquet(path)
+    spark.range(0, 6000, 1, 3).selectExpr("cast(id as string) as id").write.parquet(other)
+    rules = [
+        q.Unique("t", columns=("id",)), q.Unique("t", columns=("ref",)),
+        q.NotNull("t", column="x"), q.AcceptedRange("t", column="x", low=0, high=10),
+        q.Relationship("t", column="ref", to="p", field="id"), q.Unique("p", columns=("id",)),
+    ]
+    result = q.run_constraints({"t": spark.read.parquet(path), "p": spark.read.parquet(other)},
+                               rules)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and "unused" not in plan
+    keyed = [line for line in plan.splitlines()
+             if "Exchange hashpartitioning(rule" in line and "key#" in line]
+    assert len(keyed) == 1
+    assert rows(result, "test_name", "failures") == [
+        ("accepted_range(x)", 8989), ("not_null(x)", 0), ("relationship(ref -> p.id)", 5000),
+        ("unique(id)", 0), ("unique(id)", 0), ("unique(ref)", 1)]
