@@ -1,8 +1,11 @@
 """Merges, look-back windows, price history, freshness and the daily stream."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from ledgermill.catalog.prelude import AS_OF as SQL_AS_OF
+from ledgermill.catalog.prelude import MODELS
 from ledgermill.catalog.registry import query
 from ledgermill.operators import orders
 from ledgermill.operators.freshness import freshness
@@ -16,7 +19,9 @@ from ledgermill.operators.merge import (
 )
 from ledgermill.operators.orders import Lookback
 from ledgermill.operators.scd2 import as_of_lookup, snapshot_prices
+from ledgermill.plans import daily
 from ledgermill.session import stage_path
+from ledgermill.sources import tables
 from ledgermill.sources.staging import price_snapshot_input, stage_order_items
 from ledgermill.sources.testbed import (
     AS_OF,
@@ -26,6 +31,7 @@ from ledgermill.sources.testbed import (
 )
 from ledgermill.streaming.upsert import file_stream, stream_upsert
 
+RUN_DAYS = (AS_OF, "2001-08-05 00:00:00")  # a Wednesday and the Sunday after it
 THIRD_PRICES_FROM = "2000-01-01 00:00:00"
 RECENT = (
     f"order_date >= {SQL_AS_OF} - interval 14 day "
@@ -64,17 +70,59 @@ def _(t):
     return read_mart(t.spark, path, t.refund_reconciliation.schema)
 
 
+RECENT_ORDERS = f"""
+    , recent as (select * from joined where order_id is not null
+        and greatest(first_item_created_at, last_refund_at, shipped_at)
+            >= {SQL_AS_OF} - interval 14 day)
+    """
+
+
 @query(
-    "i02_recent_revenue",
-    f", recent as (select order_id from joined "
-    f"where greatest(first_item_created_at, last_refund_at, shipped_at) "
-    f">= {SQL_AS_OF} - interval 14 day) "
-    f"select r.* from revenue r semi join recent c on c.order_id = r.order_id",
+    "i02_recent_revenue", RECENT_ORDERS + MODELS["revenue"].replace("from joined", "from recent")
 )
 def _(t):
     return orders.revenue(t.joined, Lookback(AS_OF))
 
 
+@query(
+    "i02_recent_reconciliation",
+    RECENT_ORDERS + MODELS["order_reconciliation"].replace("from joined", "from recent"),
+)
+def _(t):
+    return orders.order_reconciliation(t.joined, Lookback(AS_OF))
+
+
+@query(
+    "i02_recent_item_revenue",
+    f"select * from order_item_revenue "
+    f"where greatest(created_at, shipped_at, returned_at) >= {SQL_AS_OF} - interval 14 day",
+)
+def _(t):
+    path, times = stage_path(t.spark, "items"), ("created_at", "shipped_at", "returned_at")
+    tables.append_parquet(t.order_items, path, cluster_by=times)
+    lines = t.spark.read.schema(t.order_items.schema).parquet(path)
+    return orders.order_item_revenue(lines, t.products, Lookback(AS_OF))
+
+
+@query(
+    "i03_refresh_switch",
+    MERGED_REFUNDS.replace("select * from updates", "select 'merged' as run, * from updates")
+    .replace("select * from base_refunds", "select 'merged', * from base_refunds")
+    + " union all select 'rebuilt', * from refund_reconciliation",
+)
+def _(t):
+    root, wednesday, sunday = stage_path(t.spark, "runs"), *map(datetime.fromisoformat, RUN_DAYS)
+    name = "refund_reconciliation"
+    daily.refresh_mart(t.spark, root, name, base_refunds(t), None)
+    days = []
+    for run, day in (("merged", wednesday), ("rebuilt", sunday)):
+        lookback = daily.lookback_for(day)
+        rows = orders.refund_reconciliation(t.aggregated, lookback)
+        mart = daily.refresh_mart(t.spark, root, name, rows, lookback)
+        days.append(mart.select(F.lit(run).alias("run"), "*"))
+    return days[0].unionByName(days[1])
+
+
 @query("i03_full_refresh", "select * from refund_reconciliation")
 def _(t):
     path = stage_path(t.spark, "mart-refunds")

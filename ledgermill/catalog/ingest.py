@@ -6,6 +6,7 @@ from ledgermill.catalog.prelude import AS_OF as SQL_AS_OF
 from ledgermill.catalog.registry import query
 from ledgermill.operators.inventory import inbound_units, outbound_units
 from ledgermill.operators.subset import snowball_subset
+from ledgermill.schemas import BASE_TABLES, GROWING_TABLES, RAW_TABLES
 from ledgermill.session import stage_path
 from ledgermill.sources import tables
 from ledgermill.sources.spine import time_spine
@@ -33,6 +34,53 @@ def _(t):
     return tables.load(t.spark, root, "raw_orders")
 
 
+def _extract_sql(name: str) -> str:
+    """All rows of a raw table under its declared types; text ids as in the adapter."""
+    text_ids = {"raw_order_items": ("id", "inventory_item_id"), "raw_inventory_items": ("id",)}
+    numbered = text_ids.get(name.replace("incr_", "raw_"), ())
+    columns = []
+    for field in RAW_TABLES[name].split(","):
+        column, kind = field.split()
+        if column in numbered:
+            value = f"cast('0x' || substr(md5({column}), 1, 15) as bigint)"
+        elif kind == "long":
+            value = f"cast({column} as bigint)"
+        else:
+            value = column
+        columns.append(f"{value} as {column}")
+    return f"select {', '.join(columns)} from {name}"
+
+
+def _written_once(name: str):
+    def build(t):
+        root = stage_path(t.spark, "ledger")
+        tables.write_parquet(t.extracted(name), f"{root}/{name}.parquet")
+        return tables.load(t.spark, root, name)
+
+    return build
+
+
+def _appended_daily(name: str):
+    """The growing table after two batches, the second laid out for look-backs."""
+
+    def build(t):
+        root, rows = stage_path(t.spark, "ledger"), t.extracted(name)
+        first = F.col("created_at") < F.lit("2001-04-01 00:00:00").cast("timestamp")
+        times = [c for c in ("created_at", "shipped_at", "returned_at") if c in rows.columns]
+        path = f"{root}/{name}.parquet"
+        tables.append_parquet(rows.filter(first), path)
+        tables.append_parquet(rows.filter(~first), path, cluster_by=tuple(times))
+        return tables.load(t.spark, root, name)
+
+    return build
+
+
+for _name in BASE_TABLES:
+    query(f"s01_scan_{_name}", _extract_sql(_name))(_written_once(_name))
+for _name in GROWING_TABLES:
+    query(f"s02_scan_{_name}", _extract_sql(_name))(_appended_daily(_name))
+
+
 @query(
     "s02_incremental_scan",
     "select 'incr_orders' as source, count(*) as row_count, "

@@ -35,6 +35,12 @@ SUNDAY = 6
 PRICE_HISTORY = "snapshots/price_history"
 FRESHNESS_SOURCES = ("incr_orders", "incr_order_items")
 
+# mart -> the times its files are laid out by
+LAYOUT: dict[str, tuple[str, ...]] = {
+    "revenue": ("created_at", "shipped_at"),
+    "order_item_revenue": ("created_at", "shipped_at", "returned_at"),
+}
+
 # mart -> key and time column of its periods; both None when always rebuilt
 MARTS: dict[str, tuple[str | None, str | None]] = {
     "order_reconciliation": ("order_id", "order_at"),
@@ -76,6 +82,27 @@ def is_full_refresh_day(as_of: datetime) -> bool:
     return as_of.weekday() == SUNDAY
 
 
+def lookback_for(
+    as_of: datetime, full_refresh: bool | None = None, days: int = LOOKBACK_DAYS
+) -> Lookback | None:
+    """The window of an incremental run, None for a full one; Sundays decide by default."""
+    whole = is_full_refresh_day(as_of) if full_refresh is None else full_refresh
+    return None if whole else Lookback(as_of, days)
+
+
+def refresh_mart(
+    spark: SparkSession, root: str, name: str, rows: DataFrame, lookback: Lookback | None
+) -> DataFrame:
+    """Merge the rows of a window into a mart, or rebuild it without one; gives the mart."""
+    path, (key, time) = f"{root}/marts/{name}", MARTS[name]
+    period, layout = None if time is None else month_period(time), LAYOUT.get(name, ())
+    if lookback is None or key is None:
+        rebuild_mart(rows, path, period, layout)
+    else:
+        merge_mart(spark, path, rows, key, period, layout)
+    return read_mart(spark, path, rows.schema)
+
+
 def staged_sources(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: stage(name, df) for name, df in raw.items()}
 
@@ -185,12 +212,9 @@ def run(
     fresh = check_freshness(raw, as_of)
     history = take_snapshot(spark, raw["raw_products"], root, as_of)
 
-    if full_refresh is None:
-        full_refresh = is_full_refresh_day(as_of)
-    paths = {name: f"{root}/marts/{name}" for name in MARTS}
-    first_run = any(current_path(spark, paths[n]) is None for n, (key, _) in MARTS.items() if key)
-    whole = full_refresh or first_run
-    lookback = None if whole else Lookback(as_of, lookback_days)
+    kept = [f"{root}/marts/{name}" for name, (key, _) in MARTS.items() if key]
+    first_run = any(current_path(spark, path) is None for path in kept)
+    lookback = lookback_for(as_of, True if first_run else full_refresh, lookback_days)
     aggregated, joined = order_ledgers(sources, lookback)
     lifecycle = staged(
         inventory.inventory_lifecycle(
@@ -200,14 +224,7 @@ def run(
     )
     built = order_marts(sources, aggregated, joined, lookback)
     built |= inventory_marts(sources, lifecycle, history, thresholds, as_of)
-    marts = {}
-    for name, (key, time) in MARTS.items():
-        period = None if time is None else month_period(time)
-        if whole or key is None:
-            rebuild_mart(built[name], paths[name], period)
-        else:
-            merge_mart(spark, paths[name], built[name], key, period)
-        marts[name] = read_mart(spark, paths[name], built[name].schema)
+    marts = {name: refresh_mart(spark, root, name, built[name], lookback) for name in MARTS}
 
     if lookback is not None:
         aggregated, joined = order_ledgers(sources)

@@ -8,13 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every operator assumes. Nothing here fixes a partition count:
-# AQE coalesces or splits shuffle partitions from the sizes it sees at run time.
+# AQE coalesces or splits shuffle partitions from the sizes it sees at run time. Times are
+# written as microseconds, since Parquet keeps no minimum and maximum of Spark's default format.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 # Settings that only a new session can take. Origin tracking sends several messages to the

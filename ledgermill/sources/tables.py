@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgermill.operators.layout import clustered
 from ledgermill.schemas import GROWING_TABLES, RAW_TABLES
 
 
@@ -37,9 +38,14 @@ def write_parquet(df: DataFrame, path: str) -> bool:
     return True
 
 
-def append_parquet(df: DataFrame, path: str) -> None:
-    """Add a daily batch as new files; the files already there are not read."""
-    df.write.mode("append").parquet(path)
+def append_parquet(df: DataFrame, path: str, cluster_by: tuple[str, ...] = ()) -> None:
+    """Add a daily batch as new files; the files already there are not read.
+
+    ``cluster_by`` names the times a look-back filters by: the files are laid out along a
+    Z-curve through them.
+    """
+    rows = clustered(df, cluster_by) if cluster_by else df
+    rows.write.mode("append").parquet(path)
 
 
 def export_csv(marts: dict[str, DataFrame], out_dir: str) -> None:

@@ -16,9 +16,11 @@ from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from ledgermill.operators import inventory, orders
 from ledgermill.operators.fiscal import inventory_fiscal_report
+from ledgermill.schemas import RAW_TABLES
 from ledgermill.session import configure
 from ledgermill.sources import seeds
 from ledgermill.sources.staging import stage
@@ -250,6 +252,17 @@ class Testbed:
         part = ordered_at < split if source == "raw" else ordered_at >= split
         return getattr(self, f"all_{table}").filter(part).drop("ordered_at")
 
+    def extracted(self, name: str) -> DataFrame:
+        """A raw table as its extract declares it: text ids become numbers."""
+        raw = self.raw(name)
+        columns = [
+            (number_of(f.name) if raw.schema[f.name].dataType != f.dataType
+             and raw.schema[f.name].dataType == StringType()
+             else F.col(f.name).cast(f.dataType)).alias(f.name)
+            for f in StructType.fromDDL(RAW_TABLES[name]).fields
+        ]
+        return raw.select(columns)
+
     # staging, intermediate and marts
 
     def staged(self, name: str) -> DataFrame:
@@ -325,6 +338,12 @@ class Testbed:
         )
 
 
+def number_of(text: str) -> Column:
+    """A number for a text id: the first 15 digits of its digest."""
+    digits = F.substring(F.md5(F.col(text).cast("binary")), 1, 15)
+    return F.conv(digits, 16, 10).cast("long")
+
+
 def with_line_status(lines: DataFrame) -> DataFrame:
     """Line id, status, shipment and return times of the test line items."""
     returned = F.col("l_returnflag") == "R"
