@@ -29,7 +29,7 @@ from ledgermill.sources.testbed import (
     SECOND_PRICES_FROM,
     TEST_TABLES,
 )
-from ledgermill.streaming.upsert import file_stream, stream_upsert
+from ledgermill.streaming.upsert import file_stream, stream_orders, stream_upsert
 
 RUN_DAYS = (AS_OF, "2001-08-05 00:00:00")  # a Wednesday and the Sunday after it
 THIRD_PRICES_FROM = "2000-01-01 00:00:00"
@@ -279,3 +279,23 @@ def _(t):
     )
     stream.awaitTermination()
     return read_mart(spark, mart, t.order_item_revenue.schema)
+
+
+@query("i09_stateful_orders", "select * from refund_reconciliation where order_id is not null")
+def _(t):
+    """Returned lines arrive after all others; the stream is started anew in between."""
+    spark, mart = t.spark, stage_path(t.spark, "mart-refunds")
+    folder, checkpoint = stage_path(spark, "lines"), stage_path(spark, "stream")
+    late = F.col("order_item_status") == "returned"
+    for arriving in (t.order_items.filter(~late), t.order_items.filter(late)):
+        tables.append_parquet(arriving, folder)
+        lines = file_stream(spark, folder, t.order_items.schema)
+        stream_orders(
+            lines,
+            orders.refund_reconciliation,
+            mart,
+            "order_id",
+            checkpoint,
+            month_period("order_date"),
+        ).awaitTermination()
+    return read_mart(spark, mart, t.refund_reconciliation.schema)

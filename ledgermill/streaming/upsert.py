@@ -1,4 +1,9 @@
-"""Daily appends as a file stream: each micro-batch is merged into a mart."""
+"""Daily appends as a file stream: each micro-batch is merged into a mart.
+
+A mart at line grain needs no more than the batch (``stream_upsert``). A mart at order grain
+needs the earlier lines of the orders a batch touches: ``stream_orders`` keeps one aggregate
+per order as Spark's streaming state, so that no batch reads old lines again.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +11,18 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ledgermill.operators.merge import merge_mart
+from ledgermill.operators.orders import aggregate_order_items
 
 
 def file_stream(
-    spark: SparkSession, folder: str, schema: str, files: str = "*.parquet", per_batch: int = 1000
+    spark: SparkSession,
+    folder: str,
+    schema: str | StructType,
+    files: str = "*.parquet",
+    per_batch: int = 1000,
 ) -> DataFrame:
     """New parquet files of a folder, a bounded number per micro-batch."""
     return (
@@ -50,3 +61,43 @@ def stream_upsert(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def changed_orders(lines: DataFrame) -> DataFrame:
+    """Sub-ledger of a stream of order lines; in update mode, of the orders that changed.
+
+    Partial aggregates of a batch meet the state of their orders in one shuffle of the batch,
+    whatever was read before. The state holds one row per order and lives in the checkpoint;
+    for ledgers beyond executor memory, choose Spark's RocksDB state store in the session.
+    Lines without an order have no key to be merged by and are left out, as the incremental
+    order marts do.
+    """
+    return aggregate_order_items(lines.filter("order_id is not null"))
+
+
+def stream_orders(
+    lines: DataFrame,
+    model: Callable[[DataFrame], DataFrame],
+    mart_path: str,
+    key: str,
+    checkpoint: str,
+    period: Column | None = None,
+) -> StreamingQuery:
+    """Merge ``model`` of the changed orders of every micro-batch, for all data there is now.
+
+    ``model`` takes the sub-ledger of the changed orders, whole orders with all their lines so
+    far. State and file offsets are committed after the merge: a batch repeated after a
+    failure finds the state before it, gives the same orders and merges to the same mart.
+    """
+
+    def merge(changed: DataFrame, _batch_id: int) -> None:
+        merge_mart(changed.sparkSession, mart_path, model(changed), key, period)
+
+    return (
+        changed_orders(lines)
+        .writeStream.outputMode("update")
+        .foreachBatch(merge)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
