@@ -20,10 +20,17 @@ def unsuccessful_reconciliation(reconciliation: DataFrame) -> DataFrame:
     )
 
 
+def variances(reconciliation: DataFrame) -> DataFrame:
+    """Orders whose item count or status differs between header and lines."""
+    differs = [F.col(c) == VARIANCE for c in ("order_item_count_recon", "order_status_recon")]
+    return reconciliation.filter(differs[0] | differs[1])
+
+
 def unexpected_order_variance(reconciliation: DataFrame, aggregated: DataFrame) -> DataFrame:
     """Item-count variances, and status variances without a known benign cause.
 
-    Partial refunds and partial shipments explain a status variance.
+    Partial refunds and partial shipments explain a status variance. Of the sub-ledger only the
+    orders in ``variances`` are looked at.
     """
     lines = aggregated.select(
         "order_id",
@@ -38,9 +45,8 @@ def unexpected_order_variance(reconciliation: DataFrame, aggregated: DataFrame)
     )
     count_variance = F.col("order_item_count_recon") == VARIANCE
     status_variance = F.col("order_status_recon") == VARIANCE
-    suspects = reconciliation.filter(count_variance | status_variance)
     return (
-        suspects.join(lines, "order_id", "left_outer")
+        variances(reconciliation).join(lines, "order_id", "left_outer")
         .filter(count_variance | (status_variance & ~partial_refund & ~partial_shipment))
         .select(
             "order_id",

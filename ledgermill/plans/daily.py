@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.functions.calendar import AsOf
 from ledgermill.operators import fiscal, inventory, orders
-from ledgermill.operators.controls import run_controls
+from ledgermill.operators.controls import run_controls, variances
 from ledgermill.operators.freshness import freshness
 from ledgermill.operators.merge import (
     current_path,
@@ -143,6 +143,17 @@ def order_ledgers(
     return aggregated, staged(orders.join_master_subledger(headers, aggregated), "joined")
 
 
+def suspect_subledger(sources: dict[str, DataFrame], reconciliation: DataFrame) -> DataFrame:
+    """Sub-ledger of the orders with a variance, as the controls need it.
+
+    All lines are scanned for them, of any age, but only the lines of those orders are
+    aggregated.
+    """
+    suspects = variances(reconciliation).select("order_id").distinct()
+    lines = _both(sources, "order_items").join(suspects, "order_id", "left_semi")
+    return orders.aggregate_order_items(lines)
+
+
 def order_marts(
     sources: dict[str, DataFrame],
     aggregated: DataFrame,
@@ -202,7 +213,8 @@ def run(
 
     Without an explicit choice, Sundays rebuild the incremental marts and other days merge
     the look-back window into them. Constraints and the four business controls run on what
-    is there afterwards. A failed one of error severity, or a source past its error age, keeps
+    is there afterwards: on all sources and marts, and on the two order ledgers as far as the
+    run built them, which on a day of merging means the orders its window touches. A failed one of error severity, or a source past its error age, keeps
     the marts from being exported (``ExportBlocked``) unless ``force`` is set.
     """
     configure(spark)
@@ -226,13 +238,13 @@ def run(
     built |= inventory_marts(sources, lifecycle, history, thresholds, as_of)
     marts = {name: refresh_mart(spark, root, name, built[name], lookback) for name in MARTS}
 
-    if lookback is not None:
-        aggregated, joined = order_ledgers(sources)
     models = {"aggregated": aggregated, "joined": joined, "lifecycle": lifecycle}
     tested = source_tables(raw, sources) | models | marts | {"thresholds": thresholds}
     results = staged(run_constraints(tested, declared_constraints()), "constraint-results")
+    reconciliation = marts["order_reconciliation"]
+    subledger = aggregated if lookback is None else suspect_subledger(sources, reconciliation)
     controls = run_controls(
-        marts["order_reconciliation"], aggregated, marts["revenue"], marts["order_item_revenue"]
+        reconciliation, subledger, marts["revenue"], marts["order_item_revenue"]
     )
     result = DailyResult(fresh, results, staged(controls, "control-results"), marts)
     if export_dir is not None:

@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 
 from ledgermill.operators import orders
+from ledgermill.operators.controls import unexpected_order_variance
 from ledgermill.operators.merge import read_mart
 from ledgermill.operators.scd2 import read_history
 from ledgermill.operators.orders import Lookback
@@ -85,6 +86,13 @@ def test_daily_runs(spark, frame, folders):
     assert rows(second.marts["refund_reconciliation"], "order_id", "gross_revenue") == [
         ("-1", 37.0), ("1", 20.0),
     ]
+    assert rows(second.controls, "test_name", "failures") == [
+        ("lead_time_above_baseline", 0),
+        ("unexpected_order_variance", 0),
+        ("unsuccessful_reconciliation", 0),
+        ("wrong_revenue_recognition", 0),
+    ]
+    assert len(second.constraints.collect()) == 163
     assert ("-3",) not in rows(second.marts["order_item_revenue"], "order_item_id")
     third = daily.run(spark, source_root, root, SUNDAY)
     assert rows(third.marts["refund_reconciliation"], "order_id", "gross_revenue") == [
@@ -94,6 +102,17 @@ def test_daily_runs(spark, frame, folders):
     assert [str(r.dbt_valid_from) for r in history.collect()] == [str(SATURDAY)]
 
 
+def test_controls_need_the_lines_of_suspects_only(spark, testbed):
+    """Variances of any age are found without the whole sub-ledger."""
+    sources = {n: testbed.staged(n) for n in ("raw_order_items", "incr_order_items")}
+    reconciliation = testbed.order_reconciliation
+    suspects = daily.suspect_subledger(sources, reconciliation)
+    whole = unexpected_order_variance(reconciliation, testbed.aggregated)
+    found = unexpected_order_variance(reconciliation, suspects)
+    assert rows(found) == rows(whole) and whole.count() > 0
+    assert 0 < suspects.count() < testbed.aggregated.count()
+
+
 def test_merging_recent_rows_equals_a_rebuild(spark, testbed):
     """When everything older than the window is unchanged."""
     lookback = Lookback("2001-08-01 00:00:00", 14)
