@@ -146,6 +146,22 @@ def rebuild_mart(
     _write_periods(rows, f"{path}/{GENERATION}{number:08d}", period is not None, cluster_by)
 
 
+def prune_generations(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` complete generations, with their key locators.
+
+    Frames read from a deleted generation can no longer be evaluated, so ``keep`` should cover
+    the runs whose readers may still be at work. Gives the names deleted.
+    """
+    if keep < 1:
+        raise ValueError("the newest generation is the mart; keep at least one")
+    old = generations(spark, path)[:-keep]
+    for name in old:
+        for folder in (name, LOCATOR + name.removeprefix(GENERATION)):
+            found, fs = _hadoop_path(spark, f"{path}/{folder}")
+            fs.delete(found, True)
+    return old
+
+
 def merge_mart(
     spark: SparkSession,
     path: str,

@@ -20,6 +20,7 @@ from ledgermill.operators.merge import (
     current_path,
     merge_mart,
     month_period,
+    prune_generations,
     read_mart,
     rebuild_mart,
 )
@@ -208,6 +209,7 @@ def run(
     seed_path: str | None = None,
     export_dir: str | None = None,
     force: bool = False,
+    keep_generations: int | None = None,
 ) -> DailyResult:
     """Bring all marts up to date and test them.
 
@@ -216,6 +218,8 @@ def run(
     is there afterwards: on all sources and marts, and on the two order ledgers as far as the
     run built them, which on a day of merging means the orders its window touches. A failed one of error severity, or a source past its error age, keeps
     the marts from being exported (``ExportBlocked``) unless ``force`` is set.
+
+    ``keep_generations`` deletes older copies of each mart at the end; by default all stay.
     """
     configure(spark)
     raw = tables.load_all(spark, sources_root)
@@ -251,4 +255,7 @@ def run(
         if not force and (reasons := result.blocking()):
             raise ExportBlocked(result, reasons)
         tables.export_csv(marts, export_dir)
+    if keep_generations is not None:
+        for name in MARTS:
+            prune_generations(spark, f"{root}/marts/{name}", keep_generations)
     return result

@@ -8,7 +8,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgermill.operators.layout import DAY_BITS, clustered, z_value
-from ledgermill.operators.merge import current_path, merge_mart, month_period, rebuild_mart
+from ledgermill.operators.merge import (
+    current_path,
+    generations,
+    merge_mart,
+    month_period,
+    prune_generations,
+    read_mart,
+    rebuild_mart,
+)
 from ledgermill.operators.orders import Lookback
 from ledgermill.session import stage_path
 from ledgermill.sources import tables
@@ -126,3 +134,23 @@ def test_marts_keep_their_layout(spark):
     for held in files.values():
         places = [z for _, z in sorted(held)]
         assert places == sorted(places)
+
+
+def test_old_generations_go(spark, frame):
+    """The newest ones stay and merge on; the locator of a deleted one goes with it."""
+    mart = stage_path(spark, "mart")
+    assert prune_generations(spark, mart) == []
+    for amount in (1.0, 2.0, 3.0):
+        rebuild_mart(frame("id string, amount double", ("a", amount)), mart)
+        merge_mart(spark, mart, frame("id string, amount double", ("b", amount)), "id")
+    names = generations(spark, mart)
+    assert prune_generations(spark, mart, 3) == [] and len(names) == 3
+    assert prune_generations(spark, mart, 2) == names[:1]
+    assert generations(spark, mart) == names[1:]
+    assert not tables.path_exists(spark, f"{mart}/keys-00000001")
+    assert tables.path_exists(spark, f"{mart}/keys-00000003")
+    merge_mart(spark, mart, frame("id string, amount double", ("b", 9.0)), "id")
+    assert prune_generations(spark, mart, 1) == names[1:2]
+    assert rows(read_mart(spark, mart)) == [("a", 3.0), ("b", 9.0)]
+    with pytest.raises(ValueError, match="at least one"):
+        prune_generations(spark, mart, 0)
