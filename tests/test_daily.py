@@ -6,7 +6,7 @@ import pytest
 
 from ledgermill.operators import orders
 from ledgermill.operators.controls import unexpected_order_variance
-from ledgermill.operators.merge import read_mart
+from ledgermill.operators.merge import generations, read_mart
 from ledgermill.operators.scd2 import read_history
 from ledgermill.operators.orders import Lookback
 from ledgermill.plans import daily
@@ -94,7 +94,8 @@ def test_daily_runs(spark, frame, folders):
     ]
     assert len(second.constraints.collect()) == 163
     assert ("-3",) not in rows(second.marts["order_item_revenue"], "order_item_id")
-    third = daily.run(spark, source_root, root, SUNDAY)
+    third = daily.run(spark, source_root, root, SUNDAY, keep_generations=1)
+    assert all(len(generations(spark, f"{root}/marts/{name}")) == 1 for name in daily.MARTS)
     assert rows(third.marts["refund_reconciliation"], "order_id", "gross_revenue") == [
         ("-1", 37.0), ("1", 23.0),
     ]
