@@ -7,7 +7,7 @@ from ledgermill.catalog.registry import query
 from ledgermill.operators.inventory import inbound_units, outbound_units
 from ledgermill.operators.subset import snowball_subset
 from ledgermill.schemas import BASE_TABLES, GROWING_TABLES, RAW_TABLES
-from ledgermill.session import stage_path
+from ledgermill.session import stage_path, staged
 from ledgermill.sources import tables
 from ledgermill.sources.spine import time_spine
 from ledgermill.sources.testbed import AS_OF
@@ -61,10 +61,13 @@ def _written_once(name: str):
 
 
 def _appended_daily(name: str):
-    """The growing table after two batches, the second laid out for look-backs."""
+    """The growing table after two batches, the second laid out for look-backs.
+
+    The rows are written once: both batches and the sample for the layout read them.
+    """
 
     def build(t):
-        root, rows = stage_path(t.spark, "ledger"), t.extracted(name)
+        root, rows = stage_path(t.spark, "ledger"), staged(t.extracted(name), "extract")
         first = F.col("created_at") < F.lit("2001-04-01 00:00:00").cast("timestamp")
         times = [c for c in ("created_at", "shipped_at", "returned_at") if c in rows.columns]
         path = f"{root}/{name}.parquet"

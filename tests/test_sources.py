@@ -99,3 +99,19 @@ def test_clearing_removes_only_what_this_application_staged(spark, frame, monkey
     session.clear_stages(spark)
     assert not tables.path_exists(spark, mine)
     assert tables.path_exists(spark, other)
+
+
+def test_daily_batches_read_one_extract(testbed, monkeypatch):
+    """The extract is derived once, not again for each batch and for the layout's sample."""
+    from ledgermill.catalog import ingest
+
+    plans, append = [], tables.append_parquet
+
+    def noted(df, path, cluster_by=()):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        append(df, path, cluster_by=cluster_by)
+
+    monkeypatch.setattr(ingest.tables, "append_parquet", noted)
+    found = ingest._appended_daily("incr_order_items")(testbed)
+    assert found.count() == testbed.extracted("incr_order_items").count()
+    assert len(plans) == 2 and not any("Join" in plan for plan in plans)
