@@ -12,6 +12,7 @@ HOT_SHARE = 1 / 64  # of the rows: keys with more are dealt over several tasks
 HOT_ROWS = 100_000
 TRACKED = 1024  # keys in the sketch that finds them
 SALTS = 64
+SPREADS = 1024  # numbers of rows without a hot key: small ones compress in a shuffle
 SLICE_ROWS = 4_000_000  # facts and versions of one key that one task orders
 MOST_SLICES = 1024  # of one key
 
@@ -22,8 +23,8 @@ def _with_null_spread(df: DataFrame, key: str) -> DataFrame:
     The number of a keyed row depends on its key, not on a constant, which the optimizer
     would fold out of the join keys where a key cannot be NULL.
     """
-    by_content = F.xxhash64(*df.columns)
-    by_key = F.xxhash64(F.col(key))
+    by_content = F.pmod(F.xxhash64(*df.columns), F.lit(SPREADS))
+    by_key = F.pmod(F.xxhash64(F.col(key)), F.lit(SPREADS))
     return df.withColumn(_SPREAD, F.when(F.col(key).isNull(), by_content).otherwise(by_key))
 
 
@@ -97,8 +98,7 @@ def valid_at(instant: Column, valid_from: Column, valid_to: Column) -> Column:
 def _slices_of(events: DataFrame, slice_rows: int) -> DataFrame | None:
     """(__key, __cuts): the instants that cut keys of more than ``slice_rows`` rows into
     slices of about that size; None without such a key."""
-    if events.count() <= slice_rows:
-        return None
+    events = staged(events, "events")  # read for the counts and for the cuts
     counts = events.groupBy("__key").agg(F.count(F.lit(1)).alias("__rows"))
     heavy = staged(counts.filter(F.col("__rows") > slice_rows), "heavy-keys")
     most = heavy.agg(F.max("__rows")).first()[0]
@@ -114,6 +114,17 @@ def _slices_of(events: DataFrame, slice_rows: int) -> DataFrame | None:
     return staged(found.select("__key", F.array_sort(F.array_distinct(thinned)).alias("__cuts")), "cuts")
 
 
+def _cuts_passed() -> Column:
+    """How many of the ascending ``__cuts`` are at or before ``__at``, found by halving."""
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(MOST_SLICES.bit_length()))])
+
+    def further(passed: Column, step: Column) -> Column:
+        ahead = F.try_element_at("__cuts", passed + step) <= F.col("__at")
+        return F.when(ahead, passed + step).otherwise(passed)
+
+    return F.aggregate(steps, F.lit(0), further)
+
+
 def _carried_in(versions: DataFrame, cuts: DataFrame) -> DataFrame:
     """The version each slice starts with: the last one that began in a slice before it."""
     last = versions.groupBy("__key", "__slice").agg(F.max_by("__version", F.struct("__at", "__rank")).alias("v"),
@@ -153,11 +164,14 @@ def as_of_join(
     carried = [c for c in history.columns if c not in (key, valid_from, valid_to)]
     begun, ended = F.col(valid_from), F.col(valid_to)
     open_end = F.struct(ended.isNull().alias("open"), ended.alias("end"))  # of equal starts, the open one
-    versions = history.filter(F.col(key).isNotNull() & begun.isNotNull()).select(
-        F.col(key).alias("__key"),
-        begun.cast("timestamp").alias("__at"),
-        open_end.alias("__rank"),
-        F.struct(ended.cast("timestamp").alias("__end"), *carried).alias("__version"),
+    versions = staged(
+        history.filter(F.col(key).isNotNull() & begun.isNotNull()).select(
+            F.col(key).alias("__key"),
+            begun.cast("timestamp").alias("__at"),
+            open_end.alias("__rank"),
+            F.struct(ended.cast("timestamp").alias("__end"), *carried).alias("__version"),
+        ),
+        "versions",
     )
     rows = facts.select(
         F.col(key).cast(history.schema[key].dataType).alias("__key"),
@@ -169,8 +183,7 @@ def as_of_join(
     if cuts is None:
         rows, versions = (side.withColumn("__slice", F.lit(0)) for side in (rows, versions))
     else:
-        passed = F.size(F.filter("__cuts", lambda cut: cut <= F.col("__at")))
-        place = F.greatest(F.coalesce(passed, F.lit(0)), F.lit(0))
+        place = _cuts_passed()
         rows, versions = (
             side.join(cuts, "__key", "left_outer").withColumn("__slice", place).drop("__cuts")
             for side in (rows, versions)

@@ -86,8 +86,11 @@ class Testbed:
         return lines.join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
 
     def order_items_of(self, line_items: DataFrame) -> DataFrame:
-        """Order items of all or some test line items."""
-        return self.with_headers(with_line_status(line_items)).select(
+        """Order items of all or some test line items.
+
+        The texts of a line are derived after its join, so that numbers are shuffled.
+        """
+        return with_line_status(self.with_headers(line_items)).select(
             F.col("line_id").alias("id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("o_custkey").alias("user_id"),
@@ -141,9 +144,11 @@ class Testbed:
     def all_inventory_items(self) -> DataFrame:
         discount_steps = F.round(F.col("l_discount") * 100, 0).cast("int")
         list_price = F.col("retail_price").cast("decimal(10,2)")
+        lines = self.with_headers(self.table("lineitem"))
         return (
-            self.with_headers(self.line_table)
-            .join(self.raw_products.alias("p"), F.col("l_partkey") == F.col("p.id"))
+            with_line_status(
+                lines.join(self.raw_products.alias("p"), F.col("l_partkey") == F.col("p.id"))
+            )
             .select(
                 F.col("line_id").alias("id"),
                 F.col("l_partkey").alias("product_id"),

@@ -244,3 +244,22 @@ def test_the_hot_product_is_counted_before_the_shuffle(spark, sources):
     plan = final_plan(cells)
     assert cells.first().units == 30000
     assert re.search(r"HashAggregate.*partial_count", plan)
+
+
+def test_slices_are_found_by_halving(spark):
+    """The number of cuts at or before an instant, in steps that grow with its logarithm."""
+    frame = spark.range(-5, 300).selectExpr(
+        "timestamp_seconds(id) __at", "transform(sequence(0, 999), i -> timestamp_seconds(i * 2 / 7)) __cuts"
+    )
+    linear = F.size(F.filter("__cuts", lambda cut: cut <= F.col("__at")))
+    assert frame.filter(joins._cuts_passed() != linear).count() == 0
+    gaps = spark.sql("select cast(null as array<timestamp>) __cuts, now() __at union all "
+                     "select array(now()), cast(null as timestamp)")
+    assert [r[0] for r in gaps.select(joins._cuts_passed()).collect()] == [0, 0]
+
+
+def test_lines_are_joined_before_their_texts(testbed):
+    """No text that a line's numbers give is shuffled with them."""
+    plan = physical(testbed.all_inventory_items.hint("merge"))
+    first = re.search(r"concat_ws", plan).start()
+    assert first < plan.index("Join ")
