@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgermill.functions import as_of_column, days_between
 from ledgermill.functions.calendar import AsOf
 from ledgermill.operators.joins import full_outer_many_to_one
+from ledgermill.session import staged
 
 # Statuses that do not move stock, labels, and the year of the aging cuts.
 NOT_OUTBOUND = ("cancelled", "returned", "processing")
@@ -62,11 +63,12 @@ def join_units(inventory_items: DataFrame, order_items: DataFrame) -> DataFrame:
     """Inbound receipts full-joined with outbound lines, one row per unit movement.
 
     Receipts are unique per unit; several lines (or lines without a unit) may point at one.
-    A unit cannot leave before it arrives, so a later receipt date is pulled back.
+    A unit cannot leave before it arrives, so a later receipt date is pulled back. The outbound
+    lines are written first: the search for hot units and the join read them.
     """
     received, left = F.col("received_at"), F.col("outbound_at")
     units = full_outer_many_to_one(
-        outbound_units(order_items),
+        staged(outbound_units(order_items), "outbound-units"),
         inbound_units(inventory_items),
         "outbound_item_id",
         "inbound_item_id",

@@ -50,9 +50,10 @@ def by_severity(column: str, *labels: str) -> Column:
 
 
 def inventory_exceptions(report: DataFrame) -> DataFrame:
+    """Flagged product years. They are written before the sort, which reads its input twice."""
     rating = F.col("inventory_risk_rating")
     difference = F.col("audit_check_diff")
-    return (
+    flagged = (
         report.filter((difference != 0) | (rating != fiscal.HEALTHY))
         .select(
             "fiscal_year",
@@ -74,15 +75,13 @@ def inventory_exceptions(report: DataFrame) -> DataFrame:
             .when(rating == fiscal.WRITE_DOWN, WRITE_DOWN_REQUIRED)
             .alias("exception_type"),
         )
-        .orderBy(
-            by_severity(
-                "exception_type", IMBALANCE, WRITE_DOWN_REQUIRED, OBSOLETE_STOCK, SLOW_STOCK
-            ),
-            F.abs(difference).desc_nulls_last(),
-            "product_id",
-            "fiscal_year",
-            "product_name",
-        )
+    )
+    return staged(flagged, "inventory-exceptions").orderBy(
+        by_severity("exception_type", IMBALANCE, WRITE_DOWN_REQUIRED, OBSOLETE_STOCK, SLOW_STOCK),
+        F.abs(difference).desc_nulls_last(),
+        "product_id",
+        "fiscal_year",
+        "product_name",
     )
 
 

@@ -249,3 +249,38 @@ def test_stock_rolls_forward(testbed):
         "- ending_net_realizable_value) > 0.001"
     )
     assert broken.count() == 0
+
+
+def test_product_year_flow_moves_cells_once(spark, frame):
+    """Cells are shuffled once, to their product; prices meet them before years repeat them."""
+    when = "2023-02-01 00:00:00"
+    cells = frame(UNITS, unit("u1", when)).sparkSession.range(4000).selectExpr(
+        "cast(id % 7 as string) product_id", "'n' product_name", "'c' product_category",
+        "'b' product_brand", "2020 inbound_fiscal_year",
+        "case when id % 2 = 0 then 2022 end outbound_fiscal_year", "1d historical_unit_cost",
+        "2d current_market_price", "1l units", "1l identified_units", "1l sale_high",
+        "0l sale_low", "19000l inbound_days",
+    )
+    history = frame(HISTORY, ("1", 5.0, datetime(2019, 1, 1), None))
+    flow = fiscal.with_beginning_balance(fiscal.product_year_flow(cells, history, AS_OF))
+    wide = [
+        line
+        for line in flow._jdf.queryExecution().executedPlan().toString().splitlines()
+        if "Exchange hashpartitioning" in line
+    ]
+    assert sum("REPARTITION_BY_COL" in line for line in wide) == 1
+    assert not any("fiscal_year" in line for line in wide)
+
+
+def test_years_without_units_are_zero(spark, frame):
+    """A product without any year has every listed one; one with a gap has the gap."""
+    flow = frame(
+        "fiscal_year int, product_id string, product_name string, product_category string, "
+        "product_brand string, ending_gross_inv_value double, avg_days_on_hand_at_year_end double",
+        (2021, "p", "n", "c", "b", 5.0, 1.0), (2024, "p", "n", "c", "b", 7.0, 2.0),
+        (None, "p", "n", "c", "b", 0.0, None), (None, "q", None, "c", "b", 0.0, None),
+    )
+    years = spark.range(1).selectExpr("array(2020, 2021, 2022, 2024) y").scalar()
+    found = {(r[1], r[0]): (r[5], r[6]) for r in fiscal.every_year(flow, years).collect()}
+    empty = {(p, y): (0.0, None) for p in "pq" for y in (2020, 2021, 2022, 2024)}
+    assert found == empty | {("p", 2021): (5.0, 1.0), ("p", 2024): (7.0, 2.0)}
