@@ -156,3 +156,22 @@ def test_the_suite_reads_and_shuffles_once(spark, frame):
     assert rows(result, "test_name", "failures") == [
         ("accepted_range(x)", 8989), ("not_null(x)", 0), ("relationship(ref -> p.id)", 5000),
         ("unique(id)", 0), ("unique(id)", 0), ("unique(ref)", 1)]
+
+
+def test_suite_joins_the_test_lines_once(testbed, monkeypatch):
+    """The tables under test come from files: line items are not joined again for each."""
+    from ledgermill.catalog import load_queries
+    from ledgermill.catalog import quality as catalog
+
+    seen = {}
+
+    def noted(tables, constraints):
+        seen.update(tables)
+        return tables["thresholds"]
+
+    monkeypatch.setattr(catalog.q, "run_constraints", noted)
+    load_queries()["q10_suite"].run(testbed.spark, testbed.sf_dir)
+    assert len(seen) == len(catalog.FRAMES)
+    for name, frame in seen.items():
+        files = frame.inputFiles()
+        assert not any("lineitem" in file for file in files), name
