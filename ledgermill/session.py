@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 # Runtime settings every operator assumes. Nothing here fixes a partition count:
 # AQE coalesces or splits shuffle partitions from the sizes it sees at run time. Times are
 # written as microseconds, since Parquet keeps no minimum and maximum of Spark's default format.
+# Partitions are merged up to 32 MB as shuffled, not 64: ledger keys shrink to a tenth in a
+# shuffle, and what a task sorts or counts of them is several times that.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 

@@ -263,3 +263,8 @@ def test_lines_are_joined_before_their_texts(testbed):
     plan = physical(testbed.all_inventory_items.hint("merge"))
     first = re.search(r"concat_ws", plan).start()
     assert first < plan.index("Join ")
+
+
+def test_merged_partitions_stay_small(testbed):
+    """Sessions that the library configures merge shuffled partitions up to 32 MB."""
+    assert testbed.spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
