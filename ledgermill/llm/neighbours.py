@@ -14,7 +14,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ledgermill.session import staged
@@ -243,6 +243,21 @@ def _descent_round(nodes: DataFrame, graph: DataFrame, number: int) -> DataFrame
     )
 
 
+def _walked(seen: DataFrame, beam: int) -> tuple[DataFrame, int]:
+    """The nodes of ``seen`` (q, node, d, done) that a walk goes on from: the ``beam`` nearest of
+    each query, of which ``front`` marks the next ones to expand. And the number of these.
+
+    A node that fell out stays out when it is reached again, as the beam only gets nearer.
+    """
+    order = Window.partitionBy("q").orderBy("d", "node")
+    waiting = F.count_if(~F.col("done")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    front = (~F.col("done") & (waiting <= EXPANDED)).alias("front")
+    marked = _nearest(seen, "q", ["d", "node"], beam).select("*", front)
+    fronts = Observation()
+    written = staged(marked.observe(fronts, F.count_if("front").alias("number")), "walked")
+    return written, fronts.get["number"]
+
+
 class NeighbourIndex:
     """A neighbour graph over the distinct usable vectors of a table.
 
@@ -300,9 +315,14 @@ class NeighbourIndex:
         vectors = self.nodes.select("node", "vector")
         graph = staged(_best_links(starts.withColumn("fresh", F.lit(True)).repartition("a")), "graph")
         for number in count():  # ends: links only get nearer, and each is tried once
-            graph = staged(_descent_round(vectors, graph, number), "graph")
-            fresh, links = graph.agg(F.count_if("fresh"), F.count("*")).first()
-            if fresh <= ENOUGH * links:
+            links = Observation()  # counted as they are written
+            graph = staged(
+                _descent_round(vectors, graph, number).observe(
+                    links, F.count_if("fresh").alias("fresh"), F.count("*").alias("all")
+                ),
+                "graph",
+            )
+            if links.get["fresh"] <= ENOUGH * links.get["all"]:
                 return graph
 
     def _walkable(self) -> DataFrame:
@@ -333,18 +353,14 @@ class NeighbourIndex:
         own = asked.join(nodes, F.col("qv").cast(kind) == F.col("vector")).select(
             "q", "node", _distance("qv", "vector").alias("d")
         )
-        start = near.unionByName(own)
-        start = start.groupBy("q", "node").agg(F.min("d").alias("d"))
-        seen = staged(start.withColumn("done", F.lit(False)), "walked")
+        start = near.unionByName(own).groupBy("q", "node").agg(F.min("d").alias("d"))
         beam = max(BEAM, 2 * k + 2)
-        while True:  # ends: every round expands nodes that were not
-            closest = _nearest(seen, "q", ["d", "node"], beam)
-            front = _nearest(closest.filter("not done"), "q", ["d", "node"], EXPANDED)
-            front = front.select("q", "node")
-            if front.isEmpty():
-                break
+        seen, fronts = _walked(start.withColumn("done", F.lit(False)), beam)
+        while fronts:  # ends: every round expands nodes that were not
             reached = (
-                front.join(walk, front.node == walk.a)
+                seen.filter("front")
+                .select("q", F.col("node").alias("a"))
+                .join(walk, "a")
                 .select("q", F.col("b").alias("node"))
                 .distinct()
                 .join(seen.select("q", "node"), ["q", "node"], "left_anti")
@@ -353,11 +369,8 @@ class NeighbourIndex:
                 .select("q", "node", _distance("qv", "vector").alias("d"))
                 .withColumn("done", F.lit(False))
             )
-            expanded = front.withColumn("now", F.lit(True))
-            kept = seen.join(expanded, ["q", "node"], "left").select(
-                "q", "node", "d", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done")
-            )
-            seen = staged(kept.unionByName(reached), "walked")
+            kept = seen.select("q", "node", "d", (F.col("done") | F.col("front")).alias("done"))
+            seen, fronts = _walked(kept.unionByName(reached), beam)
         closest = _nearest(seen, "q", ["d", "node"], k + 1)
         found = closest.join(self.nodes.select("node", F.explode("ids").alias("id")), "node")
         scored = found.filter("id <> q").select(

@@ -640,6 +640,35 @@ def test_queries_start_from_an_equal_vector(spark, monkeypatch):
         assert own == [(i + 1, 20 + i, 0.0) for i in range(10)]
 
 
+def test_a_walk_keeps_no_more_than_its_beam(spark, monkeypatch):
+    from ledgermill.llm import neighbours
+
+    walked, write = [], neighbours.staged
+
+    def noted(df, label):
+        out = write(df, label)
+        if label == "walked":
+            walked.append(out.groupBy("q").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(neighbours, "BEAM", 40)
+    monkeypatch.setattr(neighbours, "staged", noted)
+    generator = np.random.default_rng(5)
+    vectors = generator.standard_normal((1500, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = NeighbourIndex(table)
+    queries = index.rows.filter("id % 100 = 0")
+    found = {(r.query_id, r.vec_id) for r in index.search(queries).collect()}
+    wanted = set()
+    for q in range(0, 1500, 100):
+        apart = ((vectors - vectors[q]) ** 2).sum(1)
+        apart[q] = np.inf
+        wanted |= {(q, int(i)) for i in np.argsort(apart)[:10]}
+    assert len(found & wanted) >= 0.9 * len(wanted)
+    assert len(walked) > 1 and max(walked) <= 40
+
+
 def test_more_neighbours_than_the_index_keeps_are_refused(spark):
     """Forty equal vectors: with ids enough, all are found at distance 0."""
     rows = [(i, [1.0, 2.0]) for i in range(40)] + [(100 + i, [float(i), -1.0]) for i in range(10)]
