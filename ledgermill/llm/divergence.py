@@ -26,7 +26,7 @@ LEAST = 30
 TOP_TERMS = 50
 UNIT = 1_000_000_000  # shares are counted in billionths
 SMOOTHING = 5
-FIRST_SIZE = 6  # bytes of the first level's prefixes; every level doubles it
+FIRST_SIZE = 8  # bytes of the first level's prefixes; every level doubles it
 KEPT_BYTES = 24_000_000  # of prefixes or terms in one pass; more are taken in slices
 KEY_BYTES = 90  # what a key takes besides its bytes
 HELD_KEYS = 500_000  # counters or remembered terms of a task
@@ -38,6 +38,7 @@ CHUNK = 512  # terms of one comparison task
 _LETTERS = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x61 <= c <= 0x7A else 32 for c in range(256)
 )
+_LOWEST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of n bytes
 Kept = dict[str, dict[bytes, int]]
 Batches = Iterable[pa.RecordBatch]
 
@@ -47,6 +48,52 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_LETTERS).split()
 
 
+@dataclass
+class Words:
+    """The terms of several texts as arrays: where each begins and ends in ``data``, the place of
+    its text, its length and its first bytes, up to 8, as a little-endian number. No term holds
+    a zero byte, so numbers are equal for equal beginnings only."""
+
+    data: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    text: np.ndarray
+    sizes: np.ndarray
+    heads: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[bytes]) -> Words:
+        data = b" " + b" ".join(texts).translate(_LETTERS) + b" " * 8
+        inside = np.frombuffer(data, np.uint8) != 32
+        edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        starts, ends = edges[::2], edges[1::2]
+        after = 1 + np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        number = np.diff(np.searchsorted(starts, after), prepend=0)
+        sizes = ends - starts
+        eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # at every byte
+        heads = eight[starts] & _LOWEST[np.minimum(sizes, 8)]
+        return cls(data, starts, ends, np.repeat(np.arange(len(texts)), number), sizes, heads)
+
+    def taken(self, where: np.ndarray) -> list[bytes]:
+        """The terms at these places."""
+        data, bounds = self.data, zip(self.starts[where].tolist(), self.ends[where].tolist(), strict=True)
+        return [data[a:b] for a, b in bounds]
+
+
+def _heads_of(keys: Iterable[bytes], size: int = 8) -> np.ndarray:
+    """The sorted first bytes of keys, as ``Words.heads`` has them."""
+    return np.unique(np.array([int.from_bytes(k[:size], "little") for k in keys], np.uint64))
+
+
+def _places(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which ``values`` are among the sorted ``known`` ones, and where those stand."""
+    if not len(known):
+        return np.zeros(len(values), bool), np.empty(0, np.int64)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    found = known[at] == values
+    return found, at[found]
+
+
 def _slices(kept: DataFrame) -> Iterator[Kept]:
     """The keys of ``kept`` (lang, key, number) in parts of bounded size, one after the other."""
     size = kept.agg(F.sum(F.octet_length("key") + F.octet_length("lang") + KEY_BYTES)).first()[0] or 0
@@ -89,11 +136,75 @@ class _Prefixes(dict):
         return key
 
 
+def _coded(values: list[str]) -> tuple[list[str], np.ndarray]:
+    """The distinct values, and for each value its place among them."""
+    names = {value: place for place, value in enumerate(dict.fromkeys(values))}
+    return list(names), np.fromiter(map(names.__getitem__, values), np.int64, len(values))
+
+
+def _by_lang(langs: list[str], words: Words) -> Iterator[tuple[str, np.ndarray]]:
+    """The places of the terms of each language, in the order of texts."""
+    names, code = _coded(langs)
+    code = code[words.text]
+    for number, lang in enumerate(names):
+        yield lang, np.flatnonzero(code == number)
+
+
+def _first_counts(shared, size: int) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
+    """What ``_document_counts`` gives for prefixes of up to 8 bytes without a parent."""
+
+    def count(batches: Batches) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        number = 0
+
+        def summed() -> int:
+            for lang, parts in held.items():
+                keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+                docs = np.zeros(len(keys), np.int64)
+                np.add.at(docs, place, np.concatenate([n for _, n in parts]))
+                held[lang] = [(keys, docs)]
+            return sum(len(keys) for [(keys, _)] in held.values())
+
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            for lang, [(keys, docs)] in held.items():
+                data = keys.astype("<u8").view(np.uint8).reshape(-1, 8)
+                ends = np.concatenate([[0], np.cumsum((data > 0).sum(1))]).astype(np.int32)
+                buffers = [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data[data > 0].tobytes())]
+                named = pa.Array.from_buffers(pa.binary(), len(keys), buffers)
+                langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(keys), np.int64)))
+                yield pa.RecordBatch.from_arrays([langs, named, pa.array(docs)], names=["lang", "key", "docs"])
+            held.clear()
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                langs, words = part.column(0).to_pylist(), Words.of(raw(part.column(1)))
+                for lang, places in _by_lang(langs, words):
+                    if lang not in shared.value or not len(places):
+                        continue
+                    keys, rank = np.unique(words.heads[places] & _LOWEST[size], return_inverse=True)
+                    once = np.unique(rank * len(langs) + words.text[places])
+                    docs = np.bincount(once // len(langs), minlength=len(keys))
+                    held.setdefault(lang, []).append((keys, docs))
+                    number += len(keys)
+                if number > 2 * HELD_KEYS:
+                    number = summed()
+                    if number > HELD_KEYS:
+                        yield from handed_on()
+                        number = 0
+        summed()
+        yield from handed_on()
+
+    return count
+
+
 def _document_counts(shared, size: int, parent: int) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
     """Batches of (lang, text) to batches of (lang, key, docs)."""
 
     def count(batches: Batches) -> Iterator[pa.RecordBatch]:
         levels = {lang: _Prefixes(known, size, parent) for lang, known in shared.value.items()}
+        begun = min(parent, 8)  # bytes that rule out most terms before they are looked up
+        parents = {lang: _heads_of(known, begun) for lang, known in shared.value.items()}
         counts: dict[str, Counter] = {lang: Counter() for lang in levels}
 
         def handed_on() -> pa.RecordBatch:
@@ -108,13 +219,19 @@ def _document_counts(shared, size: int, parent: int) -> Callable[[Batches], Iter
         for batch in batches:
             for at in range(0, batch.num_rows, 500):  # texts may be long: a few at a time
                 part = batch.slice(at, 500)
-                for lang, text in zip(part.column(0).to_pylist(), raw(part.column(1)), strict=True):
-                    level = levels.get(lang)
-                    if level is None:
+                langs, words = part.column(0).to_pylist(), Words.of(raw(part.column(1)))
+                for lang, places in _by_lang(langs, words):
+                    if lang not in levels:
                         continue
-                    found = set(map(level.__getitem__, terms_of(text)))
-                    found.discard(None)
-                    counts[lang].update(found)
+                    level, heads = levels[lang], words.heads[places] & _LOWEST[begun]
+                    long = (words.sizes[places] >= parent) & _places(heads, parents[lang])[0]
+                    places = places[long]
+                    terms, texts = words.taken(places), words.text[places]
+                    cuts = [0, *(np.flatnonzero(np.diff(texts)) + 1).tolist(), len(terms)]
+                    for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                        found = set(map(level.__getitem__, terms[start:end]))
+                        found.discard(None)
+                        counts[lang].update(found)
                     if len(level) > HELD_KEYS:
                         level.clear()
             if sum(map(len, counts.values())) > HELD_KEYS:
@@ -132,7 +249,10 @@ def frequent_terms(docs: DataFrame, least: int = LEAST, first: int = FIRST_SIZE)
     kept = staged(docs.select("lang").distinct().select("lang", F.lit(b"").alias("key"), none), "langs")
     size, parent, found = first, 0, None
     while not kept.isEmpty():
-        make = partial(_document_counts, size=size, parent=parent)
+        if parent == 0 and size <= 8:
+            make = partial(_first_counts, size=size)
+        else:
+            make = partial(_document_counts, size=size, parent=parent)
         counts = _passes(docs, kept, make, "lang string, key binary", "docs").filter(F.col("docs") >= least)
         whole = F.octet_length("key") < size  # shorter than the level: the term ends here
         terms = counts.filter(whole).withColumnRenamed("key", "term")
@@ -150,6 +270,13 @@ def _occurrences(shared) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
     def count(batches: Batches) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[np.ndarray]] = {}
         size = 0
+        short, numbers_of, longer, begun = {}, {}, {}, {}
+        for lang, known in shared.value.items():
+            own = {int.from_bytes(term, "little"): n for term, n in known.items() if len(term) <= 8}
+            short[lang] = np.array(sorted(own), np.uint64)
+            numbers_of[lang] = np.array([own[k] for k in short[lang].tolist()], np.int64)
+            longer[lang] = {term: n for term, n in known.items() if len(term) > 8}
+            begun[lang] = _heads_of(longer[lang])
 
         def handed_on() -> Iterator[pa.RecordBatch]:
             for source, parts in held.items():
@@ -163,13 +290,25 @@ def _occurrences(shared) -> Callable[[Batches], Iterator[pa.RecordBatch]]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                groups = zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
-                for (lang, source), text in zip(groups, raw(part.column(2)), strict=True):
-                    known = shared.value.get(lang)
-                    if known:
-                        numbers = [known[t] for t in terms_of(text) if t in known]
-                        held.setdefault(source, []).append(np.array(numbers, np.int64))
-                        size += len(numbers)
+                langs, (names, code) = part.column(0).to_pylist(), _coded(part.column(1).to_pylist())
+                words = Words.of(raw(part.column(2)))
+                for lang, places in _by_lang(langs, words):
+                    if not shared.value.get(lang):
+                        continue
+                    whole = words.sizes[places] <= 8
+                    within, at_short = _places(words.heads[places[whole]], short[lang])
+                    rest = places[~whole]
+                    rest = rest[_places(words.heads[rest], begun[lang])[0]]
+                    found = [longer[lang].get(term, -1) for term in words.taken(rest)]
+                    numbers = np.concatenate([numbers_of[lang][at_short], np.array(found, np.int64)])
+                    texts = words.text[np.concatenate([places[whole][within], rest])]
+                    texts, numbers = texts[numbers >= 0], numbers[numbers >= 0]
+                    size += len(numbers)
+                    order = np.argsort(code[texts], kind="stable")
+                    cuts = np.searchsorted(code[texts][order], np.arange(len(names) + 1))
+                    for i, source in enumerate(names):
+                        if cuts[i] < cuts[i + 1]:
+                            held.setdefault(source, []).append(numbers[order[cuts[i] : cuts[i + 1]]])
                 if size > HELD_OCCURRENCES:
                     yield from handed_on()
                     size = 0

@@ -7,8 +7,10 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +95,23 @@ def test_divergence_in_slices_and_blocks(spark, monkeypatch):
     assert audited(audit_sources(spark.createDataFrame(rows, DOCS), least=2)) == plain_audit(rows, 2)
 
 
+def test_short_terms_and_terms_of_rare_beginnings_are_not_looked_up(monkeypatch):
+    looked_up, find = [], divergence._Prefixes.__missing__
+    monkeypatch.setattr(
+        divergence._Prefixes, "__missing__", lambda self, term: looked_up.append(term) or find(self, term)
+    )
+    rows = [("en", "Brief termination, termini.\x00terminal"), ("en\x00", "terminations"), ("en", ""), ("de", "x")]
+    langs, texts = (pa.array(column, pa.string()) for column in zip(*rows, strict=True))
+    batches = [pa.RecordBatch.from_arrays([langs, texts], names=["lang", "text"])]
+    shared = SimpleNamespace(value={"en": {b"terminat": 0}, "en\x00": {b"terminat": 0}})
+    found = [r for b in divergence._document_counts(shared, 16, 8)(batches) for r in b.to_pylist()]
+    assert [(r["lang"], r["key"], r["docs"]) for r in found] == [
+        ("en", b"termination", 1),
+        ("en\x00", b"terminations", 1),
+    ]
+    assert looked_up == [b"termination", b"terminations"]
+
+
 def test_divergence_of_nothing(spark):
     audit = audit_sources(spark.createDataFrame([], DOCS))
     assert audited(audit) == [] and audit.terms.count() == 0
