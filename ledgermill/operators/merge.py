@@ -11,7 +11,7 @@ off.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -42,6 +42,10 @@ def duplicate_keys(updates: DataFrame, key: str) -> DataFrame:
     return counted.filter(F.col(key).isNotNull() & (F.col("rows") > 1))
 
 
+def _repeated_keys(key: str, repeated: list[Row]) -> ValueError:
+    return ValueError(f"duplicate {key} in the updates: {[row[key] for row in repeated]}")
+
+
 def unique_keys(updates: DataFrame, key: str) -> DataFrame:
     """The keys of a batch; reading them fails when one occurs twice."""
     message = F.concat(F.lit(f"duplicate {key} in the updates: "), F.col(key).cast("string"))
@@ -133,6 +137,7 @@ def _write_periods(
     balanced = rows.hint("rebalance", PERIOD) if by_period else rows.hint("rebalance")
     if cluster_by:
         balanced = balanced.sortWithinPartitions(PERIOD, z_value(cluster_by))
+    options = {"partitionOverwriteMode": "static"} | options
     balanced.write.mode("overwrite").options(**options).partitionBy(PERIOD).parquet(folder)
 
 
@@ -146,6 +151,24 @@ def rebuild_mart(
     _write_periods(rows, f"{path}/{GENERATION}{number:08d}", period is not None, cluster_by)
 
 
+def _create_mart(
+    rows: DataFrame, path: str, key: str, by_period: bool, cluster_by: tuple[str, ...]
+) -> None:
+    """Write the first generation, with its period column, straight from the plan of ``rows``.
+
+    Its keys are counted in the written files, and only then Spark's marker makes it complete.
+    """
+    spark, folder = rows.sparkSession, f"{path}/{GENERATION}{1:08d}"
+    unmarked = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+    _write_periods(rows, folder, by_period, cluster_by, **unmarked)
+    repeated = duplicate_keys(_read_periods(spark, folder, rows.schema), key).limit(3).collect()
+    found, fs = _hadoop_path(spark, folder)
+    if repeated:
+        fs.delete(found, True)
+        raise _repeated_keys(key, repeated)
+    fs.create(_hadoop_path(spark, f"{folder}/_SUCCESS")[0]).close()
+
+
 def prune_generations(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete all but the newest ``keep`` complete generations, with their key locators.
 
@@ -172,14 +195,14 @@ def merge_mart(
 ) -> None:
     """Merge a batch into a mart; the first batch creates it."""
     place = F.lit(NO_PERIOD) if period is None else period
-    batch = staged(updates.withColumn(PERIOD, place), "batch")
-    repeated = duplicate_keys(batch, key).limit(3).collect()
-    if repeated:
-        raise ValueError(f"duplicate {key} in the updates: {[row[key] for row in repeated]}")
     folder = current_path(spark, path)
     if folder is None:
-        rebuild_mart(batch.drop(PERIOD), path, period, cluster_by)
+        _create_mart(updates.withColumn(PERIOD, place), path, key, period is not None, cluster_by)
         return
+    batch = staged(updates.withColumn(PERIOD, place), "batch")
+    repeated = duplicate_keys(batch, key).limit(3).collect()
+    if repeated:
+        raise _repeated_keys(key, repeated)
     mart = _read_periods(spark, folder, batch.schema)
     locator = key_locator(spark, path, key)
     if not fs_exists(spark, f"{locator.path}/_SUCCESS"):

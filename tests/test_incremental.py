@@ -46,6 +46,19 @@ def period():
     return merge.month_period("at")
 
 
+def test_first_batch_is_written_once(spark, frame, monkeypatch):
+    staged, write = [], merge.staged
+    monkeypatch.setattr(merge, "staged", lambda df, label: staged.append(label) or write(df, label))
+    path = stage_path(spark, "mart")
+    twice = frame(MART, ("a", 2.0, FEB), ("a", 3.0, MAR))
+    with pytest.raises(ValueError, match="duplicate id"):
+        merge.merge_mart(spark, path, twice, "id", period())
+    assert merge.current_path(spark, path) is None
+    merge.merge_mart(spark, path, frame(MART, ("b", 1.0, MAR), (None, 2.0, None)), "id", period())
+    assert staged == []
+    assert rows(merge.read_mart(spark, path), "id", "amount") == [("b", 1.0), (None, 2.0)]
+
+
 def test_merge_rewrites_only_touched_periods(spark, frame):
     path = stage_path(spark, "mart")
     merge.rebuild_mart(frame(MART, ("a", 1.0, FEB), ("b", 2.0, MAR), ("n", 9.0, None)), path,
