@@ -12,8 +12,10 @@ from __future__ import annotations
 import os
 import re
 import struct
+import threading
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from ledgermill.llm.text import bound_batches
 
 BLOCK_IDS = 1 << 20
+KEPT_SECONDS = 2.0  # that an idle worker keeps its encoder
 _HEADER = struct.Struct("<4sBIQ")
 _MAGIC = b"EFB1"
 _SUPER = 512  # bits of the upper part per entry of the select directory
@@ -134,9 +137,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # words never hold special tokens
-        self.whole, self.special = Tokenizer.from_file(path), []
+        self.special = []
         if special:
-            added = self.whole.get_added_tokens_decoder().values()
+            added = self.tokenizer.get_added_tokens_decoder().values()
             self.special = [t.content for t in added if t.special]
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         [self.newline] = self._ids(["\n"])[0]
@@ -165,6 +168,14 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts with the names of special tokens."""
+        self.tokenizer.encode_special_tokens = False
+        try:
+            return [np.array(ids, self.dtype).tobytes() for ids in self._ids(texts)]
+        finally:
+            self.tokenizer.encode_special_tokens = True
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
         cut, heads, tails = [], {"", "\n"}, set()
@@ -196,25 +207,40 @@ class Encoder:
                     newline.join(head(x[0]) + b"".join(map(tail, x[1:])) for x in parts)
                 )
         if whole:
-            found = self.whole.encode_batch_fast(taken, add_special_tokens=False)
-            for i, made in zip(whole, found, strict=True):
-                out[i] = np.array(made.ids, self.dtype).tobytes()
+            for i, made in zip(whole, self._whole(taken), strict=True):
+                out[i] = made
         return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
+_FORGETS: dict[str, threading.Timer] = {}
+
 
+@contextmanager
+def encoder(path: str) -> Iterator[Encoder]:
+    """One encoder per Python worker, so that its memory outlives a task.
 
-def encoder(path: str) -> Encoder:
-    """One encoder per Python worker, so that its memory outlives a task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path, special=True)
-    return _ENCODERS[path]
+    Spark keeps idle workers and hands them other work, beside which the memory would stay. So
+    it goes when no task has asked for it for a while.
+    """
+    if path in _FORGETS:
+        _FORGETS.pop(path).cancel()
+    own = _ENCODERS.get(path) or Encoder(path, special=True)
+    _ENCODERS[path] = own
+    try:
+        yield own
+    finally:
+        _FORGETS[path] = threading.Timer(KEPT_SECONDS, _ENCODERS.pop, (path, None))
+        _FORGETS[path].daemon = True
+        _FORGETS[path].start()
 
 
 def _packed(tokenizer_path: str, end_id: int, block_ids: int, id_type: pa.DataType, schema):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer_path)
+        with encoder(tokenizer_path) as own:
+            yield from blocks(own, batches)
+
+    def blocks(own: Encoder, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], own.dtype).tobytes()
         width = np.dtype(own.dtype).itemsize
         part = TaskContext.get().partitionId()

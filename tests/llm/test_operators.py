@@ -96,6 +96,19 @@ def test_encoder_equals_whole_text_encoding():
         assert np.frombuffer(ids, "<u2").tolist() == expected, repr(text)
 
 
+def test_idle_worker_drops_its_encoder(monkeypatch):
+    from ledgermill.llm import tokens
+
+    monkeypatch.setattr(tokens, "KEPT_SECONDS", 0.5)
+    with tokens.encoder(BPE) as first:
+        pass
+    with tokens.encoder(BPE) as second:
+        time.sleep(1)  # a task that takes longer
+        assert second is first and BPE in tokens._ENCODERS
+    time.sleep(1.5)
+    assert BPE not in tokens._ENCODERS
+
+
 def test_token_files(spark, awkward):
     from tokenizers import Tokenizer
 
