@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +93,27 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_ROWS, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system; Python's and Arrow's allocators would keep it for
+    as long as the worker lives, beside what the JVM and other workers need."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def tidy(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``function`` over batches of a task, with ``give_back`` at the task's end."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return rows
+
+
 def with_results(
     df: DataFrame, inputs: Iterable[str], function: Callable[..., pa.Array], fields: str
 ) -> DataFrame:

@@ -9,28 +9,32 @@ the rows, so a task that is lost and run again leaves no half-written file.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import threading
 import zlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgermill.llm.text import bound_batches
+from ledgermill.llm.text import bound_batches, give_back, tidy
 
 BLOCK_IDS = 1 << 20
+BATCH_BYTES = 2 << 20  # of text that is encoded at once
 KEPT_SECONDS = 2.0  # that an idle worker keeps its encoder
 _HEADER = struct.Struct("<4sBIQ")
 _MAGIC = b"EFB1"
 _SUPER = 512  # bits of the upper part per entry of the select directory
-_TWO_BLANKS = re.compile(r"\s\s")
+_TWO_BLANKS = r"[\t-\r\x1c-\x1f\x{85}\p{Z}]{2}"  # what Python's \s\s finds, for Arrow
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")  # letters by every version of Unicode
 _WORD_START = re.compile(r"(?= \S)")
 
 
@@ -113,21 +117,26 @@ class WordMemory:
         self.now: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
-    def missing(self, words: set[str]) -> list[str]:
-        """The words that neither generation has; the others are in ``now`` afterwards."""
+    def missing(self, words: Collection[str]) -> list[str]:
+        """The words, each given once, that neither generation has; the others are in ``now`` afterwards."""
         new = [w for w in words if w not in self.now]
         if len(self.now) + len(new) > self.limit:
             self.before, self.now, new = self.now, {}, list(words)
         self.now.update((w, self.before[w]) for w in new if w in self.before)
         return [w for w in new if w not in self.now]
 
+    def known(self, word: str) -> bytes | None:
+        found = self.now.get(word)
+        return self.before.get(word) if found is None else found
+
 
 class Encoder:
     """Whole texts to token ids through the tokenizers library, with a memory of words.
 
     A byte-level vocabulary never merges across a blank that a word follows, so a text may be
-    cut there and each word encoded once. Texts with neighbouring white space are cut before
-    such blanks only. The names of special tokens are ordinary text or, if ``special``, the
+    cut there and each word encoded once. Arrow cuts the texts, numbers their words and lays out
+    the ids; Python sees each distinct word of a batch once. Texts with neighbouring white space
+    are cut before such blanks only. The names of special tokens are ordinary text or, if ``special``, the
     tokens themselves, as the library has it by default; texts with one go through it whole.
     """
 
@@ -144,12 +153,45 @@ class Encoder:
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         [self.newline] = self._ids(["\n"])[0]
         self.heads, self.tails = WordMemory(limit), WordMemory(limit)
-
-    def _learn(self, words: set[str], memory: WordMemory, prefix: str) -> None:
-        new = memory.missing(words)
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            memory.now.update(zip(part, self._encode_words(part, prefix), strict=True))
+        self.marks: dict[str, bytes] = {}
+        self.pieces = None
+        kind = json.loads(self.tokenizer.to_str()).get("pre_tokenizer") or {}
+        if kind.get("type") == "ByteLevel" and kind.get("use_regex"):
+            self._know_letters(path)
+
+    def _know_letters(self, path: str) -> None:
+        """The expression of byte-level vocabularies keeps letters apart from all else. So a mark
+        behind a letter has ids of its own, and words of letters alone, spelt in the signs that
+        stand for bytes, need the library's model only, not its expression."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.marks = {m: np.array(self._ids([m])[0], self.dtype).tobytes() for m in ",."}
+        self.pieces = Tokenizer.from_file(path)
+        self.pieces.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.signs = {}
+        for code in range(256):  # in UTF-8, a code from 128 is a lead and a further byte
+            spelt = level.pre_tokenize_str(chr(code))[0][0]
+            if code < 128:
+                self.signs[code] = spelt
+            else:
+                self.signs[128 + code % 64] = spelt[1]
+        for lead in range(0xC3, 0xCA):  # of the letters from À to ɏ
+            self.signs[lead] = level.pre_tokenize_str(bytes([lead, 128]).decode())[0][0][0]
+        self.signs[ord("\n")] = f" {self.signs[ord('\n')]} "
+
+    def _learn(self, words: Collection[str], memory: WordMemory, prefix: str) -> None:
+        new = dict.fromkeys(memory.missing(words))
+        marked = [w for w in new if w[-1:] in self.marks and _LETTERS.fullmatch(w, len(w) - 2, len(w) - 1)]
+        for w in marked:
+            del new[w]
+        new.update((w[:-1], None) for w in marked if memory.known(w[:-1]) is None)
+        letters = [w for w in new if w.isalpha()]
+        for kind in letters, [w for w in new if not w.isalpha()]:
+            for i in range(0, len(kind), 20_000):
+                part = kind[i : i + 20_000]
+                memory.now.update(zip(part, self._encode_words(part, prefix), strict=True))
+        memory.now.update((w, memory.known(w[:-1]) + self.marks[w[-1]]) for w in marked)
 
     def _encode_words(self, words: list[str], prefix: str) -> list[bytes]:
         """Words without white space go through the tokenizer as the lines of one text, whose
@@ -157,7 +199,12 @@ class Encoder:
         width = np.dtype(self.dtype).itemsize
         if "\n".join(words).split() == words:
             text = "".join(f"{prefix}{w}\n" for w in words)
-            ids = np.array(self._ids([text])[0], self.dtype)
+            if self.pieces and _LETTERS.fullmatch("".join(words)):
+                text = text.encode().decode("latin-1").translate(self.signs)
+                [found] = self.pieces.encode_batch_fast([text], add_special_tokens=False)
+                ids = np.array(found.ids, self.dtype)
+            else:
+                ids = np.array(self._ids([text])[0], self.dtype)
             ends = np.flatnonzero(ids == self.newline)
             if len(ends) == len(words):
                 data = ids.tobytes()
@@ -178,44 +225,74 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
-        cut, heads, tails = [], {"", "\n"}, set()
-        whole = [i for i, text in enumerate(texts) if any(name in text for name in self.special)]
-        if whole:
-            taken = [texts[i] for i in whole]
-            texts = ["" if any(name in t for name in self.special) else t for t in texts]
-        for text in texts:
-            if _TWO_BLANKS.search(text):
-                pieces = _WORD_START.split(text)
-                heads.update(pieces)
-                cut.append(pieces)
-            else:
-                lines = [line.split(" ") for line in text.split("\n")]
-                for line in lines:
-                    heads.add(line[0])
-                    tails.update(line[1:])
-                cut.append(lines)
-        self._learn(heads, self.heads, "")
-        self._learn(tails, self.tails, " ")
-        head, tail = self.heads.now.__getitem__, self.tails.now.__getitem__
-        newline = head("\n")
-        out = []
-        for parts in cut:
-            if isinstance(parts[0], str):
-                out.append(b"".join(map(head, parts)))
-            else:
-                out.append(
-                    newline.join(head(x[0]) + b"".join(map(tail, x[1:])) for x in parts)
-                )
-        if whole:
-            for i, made in zip(whole, self._whole(taken), strict=True):
-                out[i] = made
+        return self.encode_column(pa.array(texts, pa.large_string()))
+
+    def encode_column(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text as bytes; a null text has none."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        named = pa.array(np.zeros(len(texts), bool))
+        for name in self.special:
+            named = pc.or_(named, pc.match_substring(texts, name))
+        spaced = pc.and_not(pc.match_substring_regex(texts, _TWO_BLANKS), named)
+        out = self._plain(pc.if_else(pc.or_(named, spaced), "", texts))
+        for rows, method in ((named, self._whole), (spaced, self._spaced)):
+            places = np.flatnonzero(rows.to_numpy(zero_copy_only=False))
+            if len(places):
+                for place, ids in zip(places, method(texts.filter(rows).to_pylist()), strict=True):
+                    out[place] = ids
         return out
 
+    def _spaced(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts with neighbouring white space."""
+        cut = [_WORD_START.split(text) for text in texts]
+        self._learn({piece for pieces in cut for piece in pieces}, self.heads, "")
+        return [b"".join(map(self.heads.now.__getitem__, pieces)) for pieces in cut]
+
+    def _plain(self, texts: pa.Array) -> list[bytes]:
+        """The ids of texts without neighbouring white space. The words of a line follow a blank,
+        which is part of their first token, but for the first one, its head."""
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
+        coded = lists.flatten().dictionary_encode()
+        starts, number = lists.offsets.to_numpy(), coded.indices.to_numpy()
+        words = coded.dictionary.to_numpy(zero_copy_only=False)  # far faster than to_pylist
+        newline = pc.index(coded.dictionary, "\n").as_py()  # -1 if no text has one
+        is_head = np.zeros(len(number) + 1, bool)
+        is_head[starts[:-1]] = True
+        is_head[np.flatnonzero(number == newline) + 1] = True
+        is_head = is_head[:-1]
+        used = np.zeros(len(words), bool)
+        used[number[~is_head]] = True
+        if newline >= 0:
+            used[newline] = False
+        tails, heads = np.flatnonzero(used), np.unique(number[is_head])
+        entries = [np.array([self.newline], self.dtype).tobytes()]
+        tail_place, head_place = np.zeros((2, len(words)), np.int64)  # a newline stays at 0
+        for memory, prefix, chosen, place in (
+            (self.tails, " ", tails, tail_place),
+            (self.heads, "", heads, head_place),
+        ):
+            own = words[chosen].tolist()
+            self._learn(own, memory, prefix)
+            place[chosen] = len(entries) + np.arange(len(own))
+            entries += map(memory.now.__getitem__, own)
+        laid = pa.array(entries, pa.large_binary()).take(
+            pa.array(np.where(is_head, head_place[number], tail_place[number]))
+        )
+        _, offsets, data = laid.buffers()
+        ends = np.frombuffer(offsets, np.int64, len(laid) + 1)[starts].tolist()
+        view = memoryview(data) if data is not None else b""
+        return [bytes(view[a:b]) for a, b in zip(ends, ends[1:])]
+
 
 _ENCODERS: dict[str, Encoder] = {}
 _FORGETS: dict[str, threading.Timer] = {}
 
 
+def _forget(path: str) -> None:
+    _ENCODERS.pop(path, None)
+    give_back()
+
+
 @contextmanager
 def encoder(path: str) -> Iterator[Encoder]:
     """One encoder per Python worker, so that its memory outlives a task.
@@ -230,11 +307,23 @@ def encoder(path: str) -> Iterator[Encoder]:
     try:
         yield own
     finally:
-        _FORGETS[path] = threading.Timer(KEPT_SECONDS, _ENCODERS.pop, (path, None))
+        _FORGETS[path] = threading.Timer(KEPT_SECONDS, _forget, (path,))
         _FORGETS[path].daemon = True
         _FORGETS[path].start()
 
 
+def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with up to ``BATCH_BYTES`` of text (column 1), or single longer rows."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + BATCH_BYTES, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def _packed(tokenizer_path: str, end_id: int, block_ids: int, id_type: pa.DataType, schema):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with encoder(tokenizer_path) as own:
@@ -255,10 +344,8 @@ def _packed(tokenizer_path: str, end_id: int, block_ids: int, id_type: pa.DataTy
             return pa.RecordBatch.from_arrays(columns, schema=schema), int(ends[-1])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                texts = [x or "" for x in piece.column(1).to_pylist()]
-                ids = own.encode(texts)
+            for piece in bounded(batch):
+                ids = own.encode_column(piece.column(1))
                 for name, data in zip(piece.column(0).to_pylist(), ids, strict=True):
                     held += [data, end]
                     names.append(name)
@@ -266,6 +353,7 @@ def _packed(tokenizer_path: str, end_id: int, block_ids: int, id_type: pa.DataTy
                 if sum(lengths) >= block_ids:
                     made, size = block()
                     yield made
+                    give_back()
                     number, start, held, names, lengths = number + 1, start + size, [], [], []
         if names:
             yield block()[0]
@@ -310,7 +398,9 @@ def write_tokens(
         "part int, block int, part_start long, n_docs int, n_ids long, width int, "
         f"ids binary, ends binary, doc_ids array<{id_ddl}>"
     )
-    packed = ordered.mapInArrow(_packed(tokenizer_path, end_id, block_ids, id_type, schema), ddl)
+    packed = ordered.mapInArrow(
+        tidy(_packed(tokenizer_path, end_id, block_ids, id_type, schema)), ddl
+    )
     packed.write.parquet(f"{path}/blocks")
     totals = (
         spark.read.parquet(f"{path}/blocks")
@@ -359,4 +449,4 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     ddl = f"doc_id {id_ddl}, start long, n_tokens long, ids_crc32 long, ids binary"
-    return rows.mapInArrow(unpack, ddl)
+    return rows.mapInArrow(tidy(unpack), ddl)

@@ -96,6 +96,42 @@ def test_encoder_equals_whole_text_encoding():
         assert np.frombuffer(ids, "<u2").tolist() == expected, repr(text)
 
 
+def test_library_sees_a_word_once_whatever_mark_follows(monkeypatch):
+    from tokenizers import Tokenizer
+
+    whole, own, asked = Tokenizer.from_file(BPE), Encoder(BPE), []
+    make = own._encode_words
+    monkeypatch.setattr(own, "_encode_words", lambda words, prefix: asked.extend(words) or make(words, prefix))
+    texts = ["On blend, blend. blend\nOn été. été, ɏÀ, x2, 2, don't, 's. é\u0301, ,", "On blend. ɐ, ɐ", ""]
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert (asked.count("blend"), asked.count("été"), asked.count("ɏÀ")) == (1, 1, 1)
+    assert not {"blend,", "blend.", "été.", "été,", "ɏÀ,"} & {*asked}
+
+
+def test_texts_are_encoded_in_bounded_parts(monkeypatch):
+    from ledgermill.llm import tokens
+
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 10)
+    texts = ["a" * 4, None, "b" * 6, "c", "d" * 30, "", "e"]
+    batch = pa.record_batch({"doc_id": pa.array(range(7)), "text": pa.array(texts)})
+    assert [x.column(0).to_pylist() for x in tokens.bounded(batch)] == [[0, 1, 2], [3], [4], [5, 6]]
+    assert list(tokens.bounded(batch.slice(0, 0))) == []
+
+
+def test_workers_give_memory_back_after_a_task(monkeypatch):
+    from ledgermill.llm import text
+
+    given = []
+    monkeypatch.setattr(text, "give_back", lambda: given.append(1))
+    rows = text.tidy(lambda batches: (b for b in batches))
+    assert (list(rows(iter([1, 2]))), len(given)) == ([1, 2], 1)
+    broken = rows(iter([1, 2]))
+    next(broken)
+    broken.close()
+    assert len(given) == 2
+
+
 def test_idle_worker_drops_its_encoder(monkeypatch):
     from ledgermill.llm import tokens
 
