@@ -11,11 +11,12 @@ from __future__ import annotations
 import heapq
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.ranks import with_running_sum
-from ledgermill.llm.text import WORD_PATTERN, md5_text
+from ledgermill.llm.text import WORD_PATTERN, md5_text, small_table
 from ledgermill.session import staged
 
 MAX_REPEATS = 3
@@ -132,9 +133,9 @@ def mix_sources(
         )
         for p in plans
     ]
-    quotas = spark.createDataFrame(
-        rows, "__source string, source_size long, target double, quota long, steps array<long>"
-    )
+    fields = {"__source": pa.string(), "source_size": pa.int64(), "target": pa.float64()}
+    fields |= {"quota": pa.int64(), "steps": pa.list_(pa.int64())}
+    quotas = small_table(spark, rows, fields)
     if len(rows) <= BROADCAST_SOURCES:
         quotas = F.broadcast(quotas)
     placed = with_running_sum(

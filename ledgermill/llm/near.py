@@ -41,6 +41,7 @@ from ledgermill.llm.text import (
     raw,
     shingles,
     signed,
+    tidy,
     word_hashes,
 )
 from ledgermill.session import staged
@@ -359,7 +360,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select("a", "salt", "kind", "b", "features")
         .repartition("a", "salt")
         .sortWithinPartitions("a", "salt", "kind")
-        .mapInArrow(_linked(percent), "a long, b long")
+        .mapInArrow(tidy(_linked(percent)), "a long, b long")
         .distinct()
     )
 
@@ -478,7 +479,7 @@ def near_copies(
     id_type = dict(texts.dtypes)["id"]
     rows = staged(
         texts.mapInArrow(
-            _node_rows(n), f"id {id_type}, n_shingles long, node long, sketch binary"
+            tidy(_node_rows(n)), f"id {id_type}, n_shingles long, node long, sketch binary"
         ),
         "rows",
     )
@@ -492,11 +493,11 @@ def near_copies(
         ),
         "nodes",
     )
-    signed_rows = texts.select("text").mapInArrow(_signature_rows(n), "sig long, node long")
+    signed_rows = texts.select("text").mapInArrow(tidy(_signature_rows(n)), "sig long, node long")
     buckets = staged(
         signed_rows.repartition("sig")
         .sortWithinPartitions("sig", "node")
-        .mapInArrow(_leader_rows, "sig long, lead long, node long, many boolean"),
+        .mapInArrow(tidy(_leader_rows), "sig long, lead long, node long, many boolean"),
         "buckets",
     )
 
@@ -514,7 +515,7 @@ def near_copies(
         chosen = if_small(staged(ids, "chosen")).withColumnRenamed("id", "__id")
         picked = texts.join(chosen, F.col("id").eqNullSafe(F.col("__id")), "left_semi")
         return staged(
-            picked.select("text").mapInArrow(_set_rows(n), "node long, features binary"), "sets"
+            picked.select("text").mapInArrow(tidy(_set_rows(n)), "node long, features binary"), "sets"
         )
 
     test = F.arrow_udf(_plausible, returnType="boolean")
@@ -589,7 +590,7 @@ def near_copies(
             .repartition("task")
             .sortWithinPartitions("sig", "part", F.xxhash64("sig", "node"))
             .select("sig", "part", "node", "x.size", "label", "x.sketch")
-            .mapInArrow(_cross_pairs(keep, chunk), "a long, b long, apart long, x long, y long")
+            .mapInArrow(tidy(_cross_pairs(keep, chunk)), "a long, b long, apart long, x long, y long")
         )
 
     def open_pairs() -> DataFrame:

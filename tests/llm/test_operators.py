@@ -341,6 +341,14 @@ def test_targets_share_what_is_over():
     assert capped_targets([], [], 3) == []
 
 
+def test_mix_starts_no_python_workers(spark, awkward, monkeypatch):
+    from pyspark import RDD
+
+    expected = sorted(mix_sources(awkward).collect(), key=repr)
+    monkeypatch.setattr(RDD, "_to_java_object_rdd", lambda self: pytest.fail("rows went through Python workers"))
+    assert sorted(mix_sources(awkward).collect(), key=repr) == expected
+
+
 def test_mix_of_awkward_rows(awkward, nothing):
     rows = mix_sources(awkward, n_shards=2, block_words=4).collect()
     assert len(rows) == len(AWKWARD)
