@@ -68,7 +68,7 @@ def join_units(inventory_items: DataFrame, order_items: DataFrame) -> DataFrame:
     """
     received, left = F.col("received_at"), F.col("outbound_at")
     units = full_outer_many_to_one(
-        staged(outbound_units(order_items), "outbound-units"),
+        staged(outbound_units(order_items), "outbound-units", "zstd"),
         inbound_units(inventory_items),
         "outbound_item_id",
         "inbound_item_id",

@@ -17,15 +17,15 @@ SLICE_ROWS = 4_000_000  # facts and versions of one key that one task orders
 MOST_SLICES = 1024  # of one key
 
 
-def _with_null_spread(df: DataFrame, key: str) -> DataFrame:
+def _null_spread(columns: list[str], key: str, side: str = "") -> Column:
     """Number rows by their key, or without one by their content: the same on every attempt.
 
     The number of a keyed row depends on its key, not on a constant, which the optimizer
     would fold out of the join keys where a key cannot be NULL.
     """
-    by_content = F.pmod(F.xxhash64(*df.columns), F.lit(SPREADS))
-    by_key = F.pmod(F.xxhash64(F.col(key)), F.lit(SPREADS))
-    return df.withColumn(_SPREAD, F.when(F.col(key).isNull(), by_content).otherwise(by_key))
+    by_content = F.pmod(F.xxhash64(*[F.col(f"{side}{c}") for c in columns]), F.lit(SPREADS))
+    by_key = F.pmod(F.xxhash64(F.col(f"{side}{key}")), F.lit(SPREADS))
+    return F.when(F.col(f"{side}{key}").isNull(), by_content).otherwise(by_key)
 
 
 def full_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -35,12 +35,15 @@ def full_outer(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     one partition although they can match nothing. A content hash in the join condition
     deals them out over the partitions. Column names must not clash.
     """
-    spread_left = _with_null_spread(left, left_key).alias("l")
-    spread_right = _with_null_spread(right, right_key).alias("r")
     same_key = F.col(f"l.{left_key}") == F.col(f"r.{right_key}")
-    same_spread = F.col(f"l.{_SPREAD}") == F.col(f"r.{_SPREAD}")
-    joined = spread_left.join(spread_right, same_key & same_spread, "full_outer")
-    return joined.select(*left.columns, *right.columns)
+    same_spread = _null_spread(left.columns, left_key, "l.") == _null_spread(
+        right.columns, right_key, "r."
+    )
+    joined = left.alias("l").join(right.alias("r"), same_key & same_spread, "full_outer")
+    return joined.select(
+        *[F.col(f"l.{c}").alias(c) for c in left.columns],
+        *[F.col(f"r.{c}").alias(c) for c in right.columns],
+    )
 
 
 def hot_keys(rows: DataFrame, key: str) -> list:
@@ -70,20 +73,25 @@ def full_outer_many_to_one(
     without a key match nothing and are dealt out by content.
     """
     hot = hot_keys(many, many_key)
-    left = _with_null_spread(many, many_key).withColumn("__present", F.lit(True))
-    right = _with_null_spread(one, one_key)
-    if hot:
-        by_content = F.pmod(F.xxhash64(*many.columns), F.lit(SALTS))
-        left = left.withColumn(_SPREAD, F.when(F.col(many_key).isin(hot), by_content).otherwise(F.col(_SPREAD)))
-        every = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
-        copies = F.when(F.col(one_key).isin(hot), every).otherwise(F.array(_SPREAD))
-        right = right.withColumn(_SPREAD, F.explode(copies))
+    if not hot:
+        return full_outer(many, one, many_key, one_key)
+    by_content = F.pmod(F.xxhash64(*many.columns), F.lit(SALTS))
+    spread = _null_spread(many.columns, many_key)
+    left = many.withColumns(
+        {
+            _SPREAD: F.when(F.col(many_key).isin(hot), by_content).otherwise(spread),
+            "__present": F.lit(True),
+        }
+    )
+    every = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    spread = F.array(_null_spread(one.columns, one_key))
+    copies = F.when(F.col(one_key).isin(hot), every).otherwise(spread)
+    right = one.withColumn(_SPREAD, F.explode(copies))
     same_key = F.col(f"l.{many_key}") == F.col(f"r.{one_key}")
     same_spread = F.col(f"l.{_SPREAD}") == F.col(f"r.{_SPREAD}")
     joined = left.alias("l").join(right.alias("r"), same_key & same_spread, "full_outer")
-    if hot:
-        alone = F.col("__present").isNull() & F.col(f"r.{one_key}").isin(hot)
-        joined = joined.filter(~F.coalesce(alone, F.lit(False)))
+    alone = F.col("__present").isNull() & F.col(f"r.{one_key}").isin(hot)
+    joined = joined.filter(~F.coalesce(alone, F.lit(False)))
     return joined.select(
         *[F.col(f"l.{c}").alias(c) for c in many.columns],
         *[F.col(f"r.{c}").alias(c) for c in one.columns],

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,7 @@ RUNTIME_CONF = {
 STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 STAGE_DIR_CONF = "spark.checkpoint.dir"
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
@@ -84,13 +87,30 @@ def clear_stages(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of each query that is run in here as soon as it has ended."""
+    before = spark.conf.get(CLEANUP_CONF, None)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_CONF)
+        else:
+            spark.conf.set(CLEANUP_CONF, before)
+
+
+def staged(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` once and read it back, so that several consumers share the work.
 
     A written table survives the loss of executors and cuts the lineage; its readers
-    still prune columns and push filters.
+    still prune columns and push filters. The shuffles that led to it are deleted, so the
+    disk holds the table and not also what it was made of. ``codec`` packs ledgers closer
+    than Spark's default.
     """
     spark = df.sparkSession
     path = stage_path(spark, label)
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)

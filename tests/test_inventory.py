@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from ledgermill.operators import fiscal, inventory
+from ledgermill.operators import fiscal, inventory, joins
 from ledgermill.sources import seeds
 from tests.conftest import rows
 from tests.test_orders import ITEMS, item
@@ -284,3 +284,48 @@ def test_years_without_units_are_zero(spark, frame):
     found = {(r[1], r[0]): (r[5], r[6]) for r in fiscal.every_year(flow, years).collect()}
     empty = {(p, y): (0.0, None) for p in "pq" for y in (2020, 2021, 2022, 2024)}
     assert found == empty | {("p", 2021): (5.0, 1.0), ("p", 2024): (7.0, 2.0)}
+
+
+CELL_UNITS = """product_id string, product_name string, product_category string,
+    product_brand string, inbound_fiscal_year int, outbound_fiscal_year int,
+    historical_unit_cost double, current_market_price double, inventory_item_id string,
+    sale_price double, inbound_at timestamp"""
+
+
+@pytest.mark.parametrize("least", [100_000, 3])
+def test_cells_of_a_product_are_those_of_its_units(frame, monkeypatch, least):
+    """Dealt by product, with and without hot ones: the cells that ``unit_cells`` counts."""
+    monkeypatch.setattr(joins, "HOT_ROWS", least)
+    given = [("hot", "x", "c", "b", 2020, 2021 + i % 2, 1.0, 2.0, str(i), 2.5 + i, "2020-03-01 00:00:00")
+             for i in range(9)]
+    given += [
+        ("p", "x", "c", "b", 2020, None, 1.0, 2.0, "a", None, "2020-03-01 10:00:00"),
+        ("p", "x", "c", "b", 2020, None, 1.0, 2.0, None, None, "2020-03-02 00:00:00"),
+        ("p", "y", None, "b", None, None, None, 2.0, "a", 1.25, None),
+        (None, "x", "c", "b", 2020, 2020, 1.0, 2.0, "b", 1.5, "2020-03-01 00:00:00"),
+        (None, "x", "c", "b", 2020, 2020, 1.0, 2.0, "b", 0.75, "2020-03-01 00:00:00"),
+    ]
+    units = frame(CELL_UNITS, *given)
+    wanted = fiscal.unit_cells(units)
+    found = fiscal.product_cells(fiscal.single_cells(units))
+    assert rows(found, *wanted.columns) == rows(wanted)
+
+
+def test_units_of_the_report_move_once_to_their_product(frame, monkeypatch):
+    """What is written is not counted before, and what is read moves by the product alone."""
+    written, write = [], fiscal.staged
+
+    def noted(df, label, *codec):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label, *codec)
+
+    monkeypatch.setattr(fiscal, "staged", noted)
+    units = frame(CELL_UNITS, ("p", "x", "c", "b", 2020, None, 1.0, 2.0, "a", None, "2020-03-01 10:00:00"))
+    history = frame("product_id string, retail_price double, dbt_valid_from timestamp, dbt_valid_to timestamp")
+    thresholds = frame("product_category string, risk_tier string, materiality_threshold int")
+    report = fiscal.inventory_fiscal_report(units, history, thresholds, AS_OF)
+    assert [plan.count("Exchange") for plan in written] == [0]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(product_id" in line]
+    assert any("REPARTITION_BY_COL" in line for line in moved)
+    assert sum("product_name" in line.split("), ")[0] for line in moved) == 1  # of hot products and of none

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import Counter
 from contextlib import contextmanager
 from datetime import datetime, timedelta
@@ -18,7 +19,7 @@ from ledgermill.operators.orders import Lookback
 from ledgermill.operators.prefix import running_sums
 from ledgermill.plans.daily import staged_sources
 from ledgermill.schemas import RAW_TABLES
-from ledgermill.session import stage_path
+from ledgermill.session import CLEANUP_CONF, stage_path, staged
 from ledgermill.sources import tables
 
 
@@ -268,3 +269,22 @@ def test_lines_are_joined_before_their_texts(testbed):
 def test_merged_partitions_stay_small(testbed):
     """Sessions that the library configures merge shuffled partitions up to 32 MB."""
     assert testbed.spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
+
+
+def test_a_staged_frame_leaves_no_shuffle(spark):
+    """The files of the shuffles behind a staged frame are deleted once it is written."""
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.length())
+                if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    counted = spark.range(0, 5000, 1, 3).groupBy((F.col("id") % 700).alias("k")).count()
+    kept = staged(counted, "counted")
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)  # they are deleted in the background
+    assert not shuffled() - before
+    assert kept.agg(F.sum("count")).first()[0] == 5000
+    assert spark.conf.get(CLEANUP_CONF, None) is None
+    assert counted.count() == 700 and counted.count() == 700
