@@ -17,7 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgermill.operators.layout import z_value
 from ledgermill.operators.locator import KeyLocator
-from ledgermill.session import staged
+from ledgermill.session import shuffles_dropped, staged
 
 GENERATION = "gen-"
 LOCATOR = "keys-"
@@ -138,7 +138,8 @@ def _write_periods(
     if cluster_by:
         balanced = balanced.sortWithinPartitions(PERIOD, z_value(cluster_by))
     options = {"partitionOverwriteMode": "static"} | options
-    balanced.write.mode("overwrite").options(**options).partitionBy(PERIOD).parquet(folder)
+    with shuffles_dropped(rows.sparkSession):
+        balanced.write.mode("overwrite").options(**options).partitionBy(PERIOD).parquet(folder)
 
 
 def rebuild_mart(

@@ -88,17 +88,25 @@ def clear_stages(spark: SparkSession) -> None:
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Delete the shuffle files of each query that is run in here as soon as it has ended."""
-    before = spark.conf.get(CLEANUP_CONF, None)
-    spark.conf.set(CLEANUP_CONF, "true")
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """These settings, with ``__`` for a dot, for what is run in here."""
+    named = {key.replace("__", "."): value for key, value in conf.items()}
+    before = {key: spark.conf.get(key, None) for key in named}
+    for key, value in named.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP_CONF)
-        else:
-            spark.conf.set(CLEANUP_CONF, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def shuffles_dropped(spark: SparkSession):
+    """Delete the shuffle files of each query that is run in here as soon as it has ended."""
+    return settings(spark, **{CLEANUP_CONF: "true"})
 
 
 def staged(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgermill.operators.layout import clustered
 from ledgermill.schemas import GROWING_TABLES, RAW_TABLES
+from ledgermill.session import shuffles_dropped
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -45,7 +46,8 @@ def append_parquet(df: DataFrame, path: str, cluster_by: tuple[str, ...] = ()) -
     Z-curve through them.
     """
     rows = clustered(df, cluster_by) if cluster_by else df
-    rows.write.mode("append").parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        rows.write.mode("append").parquet(path)
 
 
 def export_csv(marts: dict[str, DataFrame], out_dir: str) -> None:

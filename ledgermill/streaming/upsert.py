@@ -15,6 +15,15 @@ from pyspark.sql.types import StructType
 
 from ledgermill.operators.merge import merge_mart
 from ledgermill.operators.orders import aggregate_order_items
+from ledgermill.session import settings
+
+# The state of a stream of orders lives on the executors' disks, in a bounded part of their memory.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",  # one read a write
+}
 
 
 def file_stream(
@@ -67,8 +76,7 @@ def changed_orders(lines: DataFrame) -> DataFrame:
     """Sub-ledger of a stream of order lines; in update mode, of the orders that changed.
 
     Partial aggregates of a batch meet the state of their orders in one shuffle of the batch,
-    whatever was read before. The state holds one row per order and lives in the checkpoint;
-    for ledgers beyond executor memory, choose Spark's RocksDB state store in the session.
+    whatever was read before. The state holds one row per order and lives in the checkpoint.
     Lines without an order have no key to be merged by and are left out, as the incremental
     order marts do.
     """
@@ -88,16 +96,23 @@ def stream_orders(
     ``model`` takes the sub-ledger of the changed orders, whole orders with all their lines so
     far. State and file offsets are committed after the merge: a batch repeated after a
     failure finds the state before it, gives the same orders and merges to the same mart.
+
+    The state store is RocksDB, so a ledger need not fit the executors' memory; a checkpoint
+    that was begun with another one goes on with that. Spark plans a stateful stream without
+    adaptive execution, but a merge reads no state and is planned with it: else every task
+    writes a small file into every period.
     """
 
     def merge(changed: DataFrame, _batch_id: int) -> None:
-        merge_mart(changed.sparkSession, mart_path, model(changed), key, period)
-
-    return (
-        changed_orders(lines)
-        .writeStream.outputMode("update")
-        .foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        with settings(changed.sparkSession, spark__sql__adaptive__enabled="true"):
+            merge_mart(changed.sparkSession, mart_path, model(changed), key, period)
+
+    with settings(lines.sparkSession, **STATE_CONF):
+        return (
+            changed_orders(lines)
+            .writeStream.outputMode("update")
+            .foreachBatch(merge)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )

@@ -9,6 +9,7 @@ from ledgermill.operators import orders
 from ledgermill.operators.merge import month_period, read_mart
 from ledgermill.session import stage_path
 from ledgermill.sources import tables
+from ledgermill.streaming import upsert
 from ledgermill.streaming.upsert import changed_orders, file_stream, stream_orders
 from tests.conftest import rows
 
@@ -110,3 +111,34 @@ def test_old_lines_are_not_read_again(run):
     plan = query._jsq.explainInternal(False)
     assert plan.count("StateStoreSave") == 1 and plan.count("FileScan") == 1
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_state_is_kept_on_disk_and_merges_are_adaptive(run):
+    """The state store is RocksDB, merges gather each period, and the session is as before."""
+    adaptive = []
+
+    def model(changed):
+        adaptive.append(changed.sparkSession.conf.get("spark.sql.adaptive.enabled"))
+        return orders.refund_reconciliation(changed)
+
+    chosen = "spark.sql.streaming.stateStore.providerClass"
+    before = run.spark.conf.get(chosen, None)
+    lines = [(str(i), f"o{i}", "u", "p", "complete", 1.0, JUNE, JUNE, None) for i in range(40)]
+    run.arrive(lines)
+    run.start(model)
+    run.check([lines])
+    offsets = "".join(run.spark.read.text(f"{run.checkpoint}/offsets").toPandas()["value"])
+    assert "RocksDBStateStoreProvider" in offsets
+    assert adaptive == ["true"] and run.spark.conf.get(chosen, None) == before
+    assert len(run.spark.read.parquet(run.mart + "/gen-00000001").inputFiles()) == 1
+
+
+def test_a_stream_begun_with_another_state_store_goes_on(run, monkeypatch):
+    """A checkpoint names its state store, and a restart takes that one."""
+    monkeypatch.setattr(upsert, "STATE_CONF", {})
+    run.arrive(BATCHES[0])
+    run.start()
+    monkeypatch.undo()
+    run.arrive(BATCHES[1])
+    run.start()
+    run.check(BATCHES[:2])
