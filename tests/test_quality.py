@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgermill.operators import quality as q
 from ledgermill.plans.constraints import declared_constraints
@@ -175,3 +176,33 @@ def test_suite_joins_the_test_lines_once(testbed, monkeypatch):
     for name, frame in seen.items():
         files = frame.inputFiles()
         assert not any("lineitem" in file for file in files), name
+
+
+def test_keys_are_packed_one_to_one(spark):
+    """No two texts have the same bytes, and those of digits are half as long."""
+    signs = ["", "0", "1", "a", "A", "b", "f", "x", "-", ":", "\u00ff", "\u0661", " "]
+    texts = {a + b + c for a in signs for b in signs for c in signs} | {"17-4-25:1", "0017", "17"}
+    df = spark.createDataFrame([(t,) for t in sorted(texts)] + [(None,)], "key string")
+    found = {r.key: r.bytes for r in df.select("key", q.packed(F.col("key")).alias("bytes")).collect()}
+    assert found.pop(None) is None
+    assert None not in found.values()
+    assert len({bytes(b) for b in found.values()}) == len(found) == len(texts)
+    assert len(found["17-4-25:1"]) == 5
+
+
+def test_tables_under_test_need_no_shuffle(testbed, monkeypatch):
+    """The suite holds the shuffle of its keys and none that a table was made with."""
+    from ledgermill.catalog import load_queries
+    from ledgermill.catalog import quality as catalog
+
+    seen = {}
+
+    def noted(tables, constraints):
+        seen.update(tables)
+        return tables["thresholds"]
+
+    monkeypatch.setattr(catalog.q, "run_constraints", noted)
+    load_queries()["q10_suite"].run(testbed.spark, testbed.sf_dir)
+    shuffled = [name for name, frame in seen.items()
+                if "Exchange hashpartitioning" in frame._jdf.queryExecution().executedPlan().toString()]
+    assert len(seen) == len(catalog.FRAMES) and shuffled == []
